@@ -193,11 +193,11 @@ def check_orphans(
 
 def check_orphan_pct(facts: DataFrame, dim: DataFrame, fk: str, table: str, dim_key: str | None = None) -> DataFrame:
     """Total, orphaned and percentage of a fact table's rows; no row when nothing is orphaned."""
-    counted = facts.groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    counted = facts.groupBy(fk).agg(F.count(F.lit(1)).alias("__n"))
     flagged = flag_join(counted, dim, [(fk, dim_key or fk)], "__known")
-    lost = F.coalesce(F.sum(F.when(~F.col("__known"), F.col("n")).otherwise(0)), F.lit(0))
+    lost = F.coalesce(F.sum(F.when(~F.col("__known"), F.col("__n")).otherwise(0)), F.lit(0))
     return (
-        flagged.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"), lost.alias("orphan_records"))
+        flagged.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total_records"), lost.alias("orphan_records"))
         .where("orphan_records > 0")
         .select(
             F.lit(table).alias("fact_table"),
@@ -289,12 +289,12 @@ def check_lineage(
     ``star_keys`` maps the typed key columns to their star names; both sides join on them.
     """
     pages = raw.select(F.col("ingestion_id").alias(run_id)).distinct()
-    per_page = typed_rows.groupBy(run_id).agg(F.count(F.lit(1)).alias("n"))
-    no_raw = per_page.join(pages, run_id, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    per_page = typed_rows.groupBy(run_id).agg(F.count(F.lit(1)).alias("__n"))
+    no_raw = per_page.join(pages, run_id, "left_anti").agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"))
     keys = list(star_keys)
-    traced = star_rows.groupBy(*[F.col(g).alias(s) for s, g in star_keys.items()]).agg(F.count(F.lit(1)).alias("n"))
+    traced = star_rows.groupBy(*[F.col(g).alias(s) for s, g in star_keys.items()]).agg(F.count(F.lit(1)).alias("__n"))
     no_typed = traced.join(typed_rows.select(*keys).distinct(), keys, "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows")
     )
     return (
         no_raw.select(F.lit("typed_without_raw").alias("break"), "rows")

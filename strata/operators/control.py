@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.expr import FULL_LOAD, partition_value, share, typed
 from strata.operators.quality import dedup_latest
@@ -110,17 +111,12 @@ def execution_log_append(
         "status": status,
         "records_read": 0,
         "records_written": 0,
+        "execution_start" if status == "RUNNING" else "execution_end": at,
+        "created_at": at,
         **values,
     }
-    names = [f.split()[0] for f in EXECUTION_LOG.replace("\n", " ").split(",")]
-    time_column = "execution_start" if status == "RUNNING" else "execution_end"
-    data = [tuple(row.get(n) if n not in _TIMES else None for n in names)]
-    event = spark.createDataFrame(data, EXECUTION_LOG)
-    when = F.lit(at).cast("timestamp")
-    return event.withColumns({time_column: when, "created_at": when})
-
-
-_TIMES = ("execution_start", "execution_end", "created_at")
+    fields = StructType.fromDDL(EXECUTION_LOG).fields
+    return spark.range(1).select(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def execution_state(events: DataFrame) -> DataFrame:

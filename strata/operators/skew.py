@@ -69,7 +69,9 @@ def lookup_join(
         .where(F.col("count") > max(1, total // width))
         .select(*r_keys)
     )
-    hot_rows = slim.join(F.broadcast(hot), r_keys, "left_semi").select(
+    # A hot key without a match is hot as well, so the hot keys lead and the match may be missing.
+    found = slim.join(F.broadcast(hot), r_keys, "left_semi")
+    hot_rows = hot.join(F.broadcast(found), r_keys, "left").select(
         *[F.col(k).alias(f"__h{i}") for i, k in enumerate(r_keys)],
         *[F.col(f"__a_{c}").alias(f"__b_{c}") for c in add],
         F.lit(True).alias("__hot"),
@@ -82,7 +84,8 @@ def lookup_join(
     marked = marked.withColumn("__salt", F.coalesce(spread, F.lit(0)).cast("int"))
     for i, (lc, _) in enumerate(on):
         marked = marked.withColumn(f"__l{i}", F.when(F.col("__salt") == 0, F.col(lc)))
-    cold = slim.withColumn("__rsalt", F.lit(0))
+    # Always 0. A literal would be folded out of the join keys, and the salt would not spread anything.
+    cold = slim.withColumn("__rsalt", F.pmod(F.xxhash64(*r_keys), F.lit(1)).cast("int"))
     joined = marked.join(
         cold,
         _keys_equal([f"__l{i}" for i in range(len(on))], r_keys)

@@ -28,6 +28,11 @@ from strata.sources.tables import (
 class Warehouse:
     """Loads and reads the layers. Every write goes through the sinks of ``strata.sources.tables``."""
 
+    RAW_SCHEMA = """ingestion_id STRING, payload_json STRING, record_count INT, api_endpoint STRING,
+      api_http_status INT, api_call_timestamp TIMESTAMP, ingestion_datetime TIMESTAMP,
+      source_system STRING, pipeline_run_id STRING, created_at TIMESTAMP,
+      partition_column STRING, entity_name STRING"""
+
     def __init__(self, spark: SparkSession, base: str, configs: list[TableConfig] | None = None):
         self.spark = spark
         self.base = base.rstrip("/")
@@ -47,18 +52,11 @@ class Warehouse:
         # Partition values such as 01 must stay text, so the types are stated and not inferred.
         rows = (
             self.spark.read.option("basePath", self.path("bronze", "extracts"))
-            .schema(self._raw_schema())
+            .schema(self.RAW_SCHEMA)
             .parquet(self.path("bronze", "extracts"))
         )
         return rows if entity is None else bronze_read_entity(rows, entity, partition)
 
-    @staticmethod
-    def _raw_schema() -> str:
-        return """ingestion_id STRING, payload_json STRING, record_count INT, api_endpoint STRING,
-          api_http_status INT, api_call_timestamp TIMESTAMP, ingestion_datetime TIMESTAMP,
-          source_system STRING, pipeline_run_id STRING, created_at TIMESTAMP,
-          partition_column STRING, entity_name STRING"""
-
     # ---- typed -------------------------------------------------------------------------------
 
     def build_silver(self, name: str, as_of: str, period: int | None = None) -> None:
@@ -104,7 +102,7 @@ class Warehouse:
             wanted = sorted(periods)
             typed_rows, last = typed_rows.where(F.col(column).isin(wanted)), None
         else:
-            wanted, last = None, last_watermark(self.log(), table, config.watermark_type)
+            wanted, last = None, last_watermark(self.log_events(), table, config.watermark_type)
         if upto is not None:
             typed_rows = typed_rows.where(F.col(column) <= upto)
         dims = {x["dimension_table"]: self.gold(x["dimension_table"]) for x in config.lookups}
@@ -152,11 +150,15 @@ class Warehouse:
 
     # ---- log ---------------------------------------------------------------------------------
 
-    def log(self) -> DataFrame:
+    def log_events(self) -> DataFrame:
         path = self.path("control", "execution_log")
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], EXECUTION_LOG)
-        return execution_state(self.spark.read.schema(EXECUTION_LOG).parquet(path))
+        return self.spark.read.schema(EXECUTION_LOG).parquet(path)
+
+    def log(self) -> DataFrame:
+        """One row per execution."""
+        return execution_state(self.log_events())
 
     def _append_log(self, run: str, table: str, at: str, status: str = "RUNNING", **values: object) -> None:
         event = execution_log_append(self.spark, run, table, at, status, **values)

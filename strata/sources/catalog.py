@@ -136,7 +136,7 @@ def check_catalog(catalog: DataFrame, columns: DataFrame) -> DataFrame:
     source = F.col("silver_source.table")
     refs = [
         catalog.select(source.alias("table_name"), F.lower("keys.business_key").alias("column_name")),
-        catalog.select(source.alias("table_name"), F.lower(F.explode("update_columns")).alias("column_name")),
+        catalog.select(source.alias("table_name"), F.explode(F.transform("update_columns", F.lower)).alias("column_name")),
         catalog.select(source.alias("table_name"), F.col("watermark.column").alias("column_name")),
         catalog.select(source.alias("table_name"), F.explode("fact_columns.source").alias("column_name")),
         catalog.select(

@@ -22,8 +22,12 @@ def replace_partitions(
     Returns the rows written. Running it again with the same rows gives the same table. The rows
     must not be read from ``path``: store them elsewhere first. Without ``targets`` the partitions
     present in ``df`` are the ones replaced.
+
+    Rows are first brought together by partition, so that a task does not write a small file into
+    every directory; adaptive execution splits a partition that is large and merges small ones.
     """
     spark = df.sparkSession
+    df = df.hint("rebalance", *[F.col(c) for c in cols])
     seen = Observation()
     labels = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)) for c in cols])
     # One label per partition directory, so the observed set is as small as the directory listing.

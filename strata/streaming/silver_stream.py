@@ -20,14 +20,16 @@ def stream_bronze_to_silver(
     entity: Entity,
     silver_path: str,
     checkpoint: str,
-    event_time: str,
-    delay: str = "1 day",
+    event_time: str | None = None,
+    delay: str | None = None,
     max_files: int = 100,
 ) -> StreamingQuery:
     """Start a query that types new raw pages and keeps the newest row of each key.
 
-    Exact repeats within ``delay`` of event time are dropped in the stream. Each micro-batch then
-    merges with the partitions it touches, so older versions that arrive late change nothing.
+    Each micro-batch merges with the partitions it touches, so a repeat or an older version changes
+    nothing, however late it arrives. With ``event_time`` and ``delay`` exact repeats within that
+    delay are already dropped in the stream, which saves rewriting their partitions; rows later than
+    the delay are then dropped too, so give it only where the source bounds its lateness.
     """
     pages = (
         spark.readStream.schema(bronze_schema)
@@ -40,12 +42,14 @@ def stream_bronze_to_silver(
     good = rows
     for rule in entity.rules():
         good = good.where(rule.predicate)
-    fresh = (
-        good.withColumn("event_time", F.col(event_time).cast("timestamp"))
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark([*entity.columns])
-        .drop("event_time")
-    )
+    fresh = good
+    if event_time and delay:
+        fresh = (
+            good.withColumn("__at", F.col(event_time).cast("timestamp"))
+            .withWatermark("__at", delay)
+            .dropDuplicatesWithinWatermark([*entity.columns])
+            .drop("__at")
+        )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         upsert_partitions(entity.derive(batch, ""), entity, silver_path)
@@ -61,12 +65,15 @@ def stream_bronze_to_silver(
 def upsert_partitions(batch: DataFrame, entity: Entity, path: str) -> int:
     """Merge rows into the partitions they belong to; newest row per key wins. Safe to repeat."""
     spark = batch.sparkSession
-    merged = batch
-    if path_exists(spark, path):
-        touched = batch.select(entity.partition).distinct()
-        known = spark.read.schema(batch.schema).parquet(path)
-        # One row per partition directory: as small as the directory listing.
-        old = known.join(F.broadcast(touched), entity.partition, "left_semi")
-        merged = batch.unionByName(old.select(*batch.columns))
-    newest = stored(q.dedup_latest(merged, entity.keys, entity.order), "stream-merge")
-    return replace_partitions(newest, path, [entity.partition])
+    batch = batch.persist()
+    try:
+        # One value per partition directory: as small as the directory listing.
+        touched = [row[0] for row in batch.select(entity.partition).distinct().collect()]
+        merged = batch
+        if path_exists(spark, path):
+            known = spark.read.schema(batch.schema).parquet(path)
+            merged = batch.unionByName(known.where(F.col(entity.partition).isin(touched)))
+        newest = stored(q.dedup_latest(merged, entity.keys, entity.order), "stream-merge")
+        return replace_partitions(newest, path, [entity.partition])
+    finally:
+        batch.unpersist()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import checks
+from strata.operators.skew import lookup_join
 from strata.operators.star import assign_surrogate_keys, fk_lookup
 from strata.plans.layers import ENTITIES, gold_fact
 from strata.suite.raw import event_pages
@@ -277,7 +278,7 @@ def check_lineage(s: Samples, l: Layers) -> DataFrame:
     """Traced against typed rows up to period 20 and raw rows without period 26."""
     typed, raw = l.silver("fact_earnings"), l.bronze("fact_earnings").where("partition_column <> '26'")
     dim = l.gold("dwh_dim_employee").select("EMPLOYEE_KEY", "EMPLOYEE_NUMBER")
-    gold = l.gold("fact_payroll_earnings").join(dim, "EMPLOYEE_KEY", "left")
+    gold = lookup_join(l.gold("fact_payroll_earnings"), dim, [("EMPLOYEE_KEY", "EMPLOYEE_KEY")], ["EMPLOYEE_NUMBER"])
     keys = {"employee_number": "EMPLOYEE_NUMBER", "pay_period_id": "PAY_PERIOD_ID", "earning_code": "EARNING_CODE"}
     no_raw = checks.check_lineage(gold, typed, raw, keys).where("break = 'typed_without_raw'")
     no_typed = checks.check_lineage(gold, typed.where("pay_period_id <= 20"), raw, keys)

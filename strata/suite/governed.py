@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import governance as g
+from strata.operators.skew import lookup_join
 from strata.suite.registry import Layers, query
 from strata.suite.samples import FINAL, Samples
 
@@ -14,9 +15,9 @@ _OWN = "(SELECT min(email) FROM emp_final WHERE department = 'FURNITURE')"
 def secured(s: Samples, l: Layers) -> DataFrame:
     """Earnings with the e-mail and department of their employee, as the secure views see them."""
     people = s.employees().select("employee_number", F.col("email").alias("employee_email"), "department")
-    return l.silver("fact_earnings").select("employee_number", "pay_period_id", "earning_code").join(
-        people, "employee_number"
-    )
+    facts = l.silver("fact_earnings").select("employee_number", "pay_period_id", "earning_code")
+    on = [("employee_number", "employee_number")]
+    return lookup_join(facts, people, on, ["employee_email", "department"]).where("employee_email IS NOT NULL")
 
 
 def someone(s: Samples) -> str:

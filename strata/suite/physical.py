@@ -132,8 +132,7 @@ def stream_bronze_to_silver_(s: Samples, l: Layers) -> DataFrame:
     replace_partitions(pages, raw, landing.RAW_PARTITIONS)
     silver = scratch_path(spark, "stream-silver")
     query_ = stream_bronze_to_silver(
-        spark, raw, Warehouse._raw_schema(), entity, silver, scratch_path(spark, "stream-state"), "happened_at",
-        delay="40 days", max_files=60,
+        spark, raw, Warehouse.RAW_SCHEMA, entity, silver, scratch_path(spark, "stream-state"), max_files=50
     )
     query_.awaitTermination()
     return spark.read.parquet(silver).select("user_id", "day", "event_id", "value")

@@ -79,8 +79,8 @@ class Samples:
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", F.col("n_name").alias("location_code"))
         )
-        lines = self.table("lineitem").select(*columns).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        placed = lookup_join(lines, sites, [("l_suppkey", "s_suppkey")], ["location_code"])
+        owned = lookup_join(self.table("lineitem").select(*columns), orders, [("l_orderkey", "o_orderkey")], ["o_custkey"])
+        placed = lookup_join(owned.where(F.col("o_custkey").isNotNull()), sites, [("l_suppkey", "s_suppkey")], ["location_code"])
         return placed.withColumns(
             {
                 "employee_number": F.concat(F.lit("Customer#"), _digits(F.col("o_custkey"), 9)),

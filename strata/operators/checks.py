@@ -329,15 +329,21 @@ def check_pipeline_counts(raw: DataFrame, typed_rows: DataFrame, star_rows: Data
 
 
 def layer_health(layers: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per layer with PASS where there are any."""
+    """Records per layer with PASS where there are any. Raw pages count by their ``record_count``."""
     counted = [
-        df.agg(F.count(F.lit(1)).alias("record_count")).select(F.lit(name).alias("layer"), "record_count")
+        df.agg(_records(df).cast("long").alias("record_count")).select(F.lit(name).alias("layer"), "record_count")
         for name, df in layers.items()
     ]
     status = F.when(F.col("record_count") > 0, "PASS").otherwise("FAIL")
     return reduce(DataFrame.unionByName, counted).withColumn("status", status)
 
 
+def _records(df: DataFrame) -> Column:
+    if "record_count" in df.columns:
+        return F.coalesce(F.sum("record_count"), F.lit(0))
+    return F.count(F.lit(1))
+
+
 def check_results(checks: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
     """One row per check: its criticality, the number of violations, and PASS or FAIL."""
     rows = [

@@ -79,10 +79,11 @@ def cluster_zorder(df: DataFrame, columns: Sequence[str], files: int | None = No
     z = _interleave(ranges)
     spread = F.xxhash64(*df.columns) + F.spark_partition_id()
     keyed = df.withColumns({"__z": z, "__spread": spread})
-    parts = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number of files adaptive execution sizes the partitions.
+    along = ["__z", "__spread"]
+    ranged = keyed.repartitionByRange(files, *along) if files else keyed.repartitionByRange(*along)
     return (
-        keyed.repartitionByRange(parts, "__z", "__spread")
-        .sortWithinPartitions("__z", *columns)
+        ranged.sortWithinPartitions("__z", *columns)
         .drop("__z", "__spread")
     )
 

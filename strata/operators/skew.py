@@ -121,7 +121,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Col
     """
     scratch_root(df.sparkSession)
     ranged = (
-        df.repartitionByRange(shuffle_width(df), *order)
+        df.repartitionByRange(*order)
         .withColumn("__part", F.spark_partition_id())
         .checkpoint()
     )

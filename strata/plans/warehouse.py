@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from strata.functions.expr import FULL_LOAD
 from strata.operators.control import EXECUTION_LOG, execution_log_append, execution_state, last_watermark
 from strata.operators.layout import cluster_zorder
+from strata.operators.star import incremental_filter
 from strata.plans.layers import ENTITIES, empty_dimension, gold_dimension, gold_fact, silver
-from strata.session import stored
+from strata.session import staged
 from strata.sources.catalog import TableConfig, read_catalog, table_configs
 from strata.sources.landing import RAW_PARTITIONS, bronze_envelope, bronze_read_entity
 from strata.sources.tables import (
@@ -109,11 +110,10 @@ class Warehouse:
         self._append_log(run, table, as_of)
         rows = gold_fact(typed_rows, dims, config, as_of, last)
         targets = None if wanted is None else [(p,) for p in wanted]
-        written = replace_partitions(rows, self.path("gold", table), config.partition_columns, targets)
-        mark = last
-        if written:
-            loaded = self.gold(table).agg(F.max(config.partition_columns[0])).first()[0]
-            mark = loaded if last is None else max(last, loaded)
+        loaded = incremental_filter(typed_rows, column, last, config.watermark_type).agg(F.max(column)).first()[0]
+        written = replace_partitions(rows, self.path("gold", table), _partitions(config), targets)
+        known = last_watermark(self.log_events(), table, config.watermark_type)
+        mark = max((m for m in (known, loaded) if m is not None), default=None)
         self._append_log(
             run, table, as_of, "SUCCESS", watermark_column=column,
             watermark_value=None if mark is None else str(mark), records_read=written, records_written=written,
@@ -145,8 +145,9 @@ class Warehouse:
         if config.table_type == "DIMENSION":
             overwrite_snapshot(rows, self.path("gold", table))
         else:
-            # Stored first: a table must not be read by the job that overwrites it.
-            replace_partitions(stored(rows, table), self.path("gold", table), config.partition_columns)
+            # Staged, because a table must not be read by the job that overwrites it.
+            with staged(rows, table) as clustered:
+                replace_partitions(clustered, self.path("gold", table), _partitions(config))
 
     # ---- log ---------------------------------------------------------------------------------
 
@@ -171,3 +172,11 @@ class Warehouse:
             self._append_log(uuid.uuid4().hex, table, as_of, "FAILED", error_message=str(error)[:2000])
             return "FAILED"
         return "SUCCESS"
+
+
+def _partitions(config: TableConfig) -> list[str]:
+    """Partition columns of a fact. Without configured ones it is kept by its watermark column, since
+    a period can only be replaced as a whole where it is a partition."""
+    if config.partition_columns:
+        return config.partition_columns
+    return [next(c["target"] for c in config.columns if c["source"] == config.watermark_column)]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +62,18 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the scratch folder, for a table that is computed from what it replaces.
+
+    The copy is removed once the block is left.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

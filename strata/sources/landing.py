@@ -37,18 +37,20 @@ def bronze_envelope(
     name = F.lit(entity) if isinstance(entity, str) else entity
     fields = list(records.columns)
     keys = ["partition_column", "entity_name", "__slice"]
+    content = F.xxhash64(*fields)
     dealt = records.select(
         F.struct(*fields).alias("__record"),
         period.alias("partition_column"),
         name.alias("entity_name"),
-        F.pmod(F.xxhash64(*fields) + F.spark_partition_id(), F.lit(width)).alias("__slice"),
+        content.alias("__content"),
+        F.pmod(content + F.spark_partition_id(), F.lit(width)).alias("__slice"),
     )
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy("__record"))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy("__content"))
     pages = (
         dealt.withColumn("__page", F.floor((position - 1) / page_size))
         .groupBy(*keys, "__page")
         .agg(
-            F.to_json(F.array_sort(F.collect_list("__record")), {"ignoreNullFields": "true"}).alias("payload_json"),
+            F.to_json(F.collect_list("__record"), {"ignoreNullFields": "true"}).alias("payload_json"),
             F.count(F.lit(1)).cast("int").alias("record_count"),
         )
     )

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.operators import quality as q
 from strata.operators.typing import parse_payload, typed_cast
 from strata.plans.layers import Entity
-from strata.session import stored
+from strata.session import staged
 from strata.sources.tables import path_exists, replace_partitions
 
 
@@ -73,7 +73,7 @@ def upsert_partitions(batch: DataFrame, entity: Entity, path: str) -> int:
         if path_exists(spark, path):
             known = spark.read.schema(batch.schema).parquet(path)
             merged = batch.unionByName(known.where(F.col(entity.partition).isin(touched)))
-        newest = stored(q.dedup_latest(merged, entity.keys, entity.order), "stream-merge")
-        return replace_partitions(newest, path, [entity.partition])
+        with staged(q.dedup_latest(merged, entity.keys, entity.order), "stream-merge") as newest:
+            return replace_partitions(newest, path, [entity.partition])
     finally:
         batch.unpersist()

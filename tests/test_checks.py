@@ -145,7 +145,7 @@ def test_layer_counts(spark, rows):
     assert c.check_pipeline_counts(pages, typed, spark.range(3)).count() == 0
     assert rows(c.check_pipeline_counts(pages, typed, spark.range(2))) == [(3, 3, 2)]
     assert c.check_pipeline_counts(pages.limit(0), typed, typed).count() == 1
-    assert rows(c.layer_health({"a": typed, "b": spark.range(0)})) == [("a", 3, "PASS"), ("b", 0, "FAIL")]
+    assert rows(c.layer_health({"a": typed, "b": spark.range(0), "raw": pages})) == [("a", 3, "PASS"), ("b", 0, "FAIL"), ("raw", 3, "PASS")]
 
 
 def test_report_blocks_on_critical_failures_only(spark):

@@ -1,5 +1,6 @@
 """The layers loaded several times, the file layout, and the stream against the batch."""
 
+import dataclasses
 import datetime
 from decimal import Decimal
 
@@ -89,6 +90,17 @@ def test_rerun_of_a_period_that_lost_its_rows_empties_it(spark, warehouse):
     assert [r["PAY_PERIOD_ID"] for r in w.gold(EARN).collect()] == [1]
 
 
+def test_a_fact_without_configured_partitions_is_kept_by_period(spark, rows, warehouse):
+    w = warehouse
+    w.configs = [dataclasses.replace(c, partition_columns=[]) for c in w.configs]
+    load_pay(w, pay(spark, ("b", 1, 10.0), ("b", 2, 20.0), ("c", 2, 1.0)), DAYS[0])
+    w.load_star(DAYS[0])
+    assert w.load_fact(EARN, DAYS[1], periods=[1]) == 1
+    assert rows(w.gold(EARN), "PAY_PERIOD_ID") == [(1,), (2,), (2,)]
+    marks = w.log().where(F.col("table_name") == EARN).select("watermark_value").collect()
+    assert {r[0] for r in marks} == {"2"}, "reloading an old period does not move the watermark back"
+
+
 def test_a_failed_table_does_not_stop_the_others(spark, warehouse):
     outcome = warehouse.load_star(DAYS[0])
     assert outcome == {"dwh_dim_employee": "SUCCESS", "dwh_dim_location": "SUCCESS", EARN: "FAILED"}

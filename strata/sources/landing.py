@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, partition_value, status_class
-from strata.operators.skew import shuffle_width, trailing_hour_counts
+from strata.operators.skew import lookup_join, trailing_hour_counts
+from strata.session import stored
 
 RAW_PARTITIONS = ["partition_column", "entity_name"]
+ROWS_PER_SLICE = 100_000
 
 
 def bronze_envelope(
@@ -23,28 +25,31 @@ def bronze_envelope(
     run_id: str | None = None,
     endpoint: str | None = None,
     status: int = 200,
-    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Raw rows holding JSON arrays of at most ``page_size`` records each.
 
     ``entity`` is a name, or a column when the records mix entities. An entity without a period is
-    a snapshot. The records of one (entity, period) are first dealt over ``slices`` so that a large
-    one is paged by many tasks. A slice depends on the content of a record and on the partition it
-    is read from, which a retry reproduces and which also spreads copies of one record.
+    a snapshot. Records are counted per (entity, period) first, and a large one is dealt over slices
+    of about ``rows_per_slice``, so that many tasks page it. A slice depends on the content of a
+    record and on the partition it is read from, which a retry reproduces and which also spreads
+    copies of one record.
     """
-    width = slices or shuffle_width(records)
     period = F.lit(FULL_LOAD) if period_col is None else partition_value(F.lit("INCREMENTAL"), period_col)
     name = F.lit(entity) if isinstance(entity, str) else entity
     fields = list(records.columns)
     keys = ["partition_column", "entity_name", "__slice"]
-    content = F.xxhash64(*fields)
-    dealt = records.select(
+    routed = records.select(
         F.struct(*fields).alias("__record"),
         period.alias("partition_column"),
         name.alias("entity_name"),
-        content.alias("__content"),
-        F.pmod(content + F.spark_partition_id(), F.lit(width)).alias("__slice"),
+        F.xxhash64(*fields).alias("__content"),
+        F.spark_partition_id().alias("__part"),
     )
+    sizes = routed.groupBy(*RAW_PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_slice).alias("__slices"))
+    on = [(c, c) for c in RAW_PARTITIONS]
+    sized = lookup_join(routed, stored(sizes, "sizes"), on, ["__slices"])
+    dealt = sized.withColumn("__slice", F.pmod(F.col("__content") + F.col("__part"), F.col("__slices")))
     position = F.row_number().over(Window.partitionBy(*keys).orderBy("__content"))
     pages = (
         dealt.withColumn("__page", F.floor((position - 1) / page_size))

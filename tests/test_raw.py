@@ -23,7 +23,7 @@ def test_envelope_keeps_every_record_in_pages_of_the_given_size(spark):
 def test_envelope_spreads_copies_of_one_record(spark):
     """A record repeated many times over several input partitions does not meet in one slice."""
     copies = spark.range(0, 4000, numPartitions=8).select(F.lit("same").alias("name"), F.lit(1).alias("period"))
-    pages = landing.bronze_envelope(copies, "fact_x", "period", page_size=5000, ingested_at=AT, slices=8)
+    pages = landing.bronze_envelope(copies, "fact_x", "period", page_size=5000, ingested_at=AT, rows_per_slice=500)
     sizes = [r["record_count"] for r in pages.select("record_count").collect()]
     assert sum(sizes) == 4000 and max(sizes) <= 1000
 

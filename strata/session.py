@@ -28,6 +28,12 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in its terms."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach, for checkpoints and intermediate tables.
 
@@ -75,5 +81,5 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        fs, where = file_system(spark, path)
+        fs.delete(where, True)

@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import file_system
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -43,7 +45,7 @@ def replace_partitions(
         if label not in written:
             escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
             folder = "/".join(f"{c}={escape(v)}" for c, v in zip(cols, label, strict=True))
-            _delete(spark, f"{path.rstrip('/')}/{folder}")
+            remove_path(spark, f"{path.rstrip('/')}/{folder}")
     return metrics["rows"]
 
 
@@ -81,24 +83,19 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _fs(spark, path)
+    fs, where = file_system(spark, path)
     return fs.exists(where)
 
 
-def _fs(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, where = _fs(spark, path)
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
     if fs.exists(where):
         fs.delete(where, True)
 
 
 def _current_version(spark: SparkSession, base: str) -> int | None:
     """Highest version whose marker was created; a version without marker was never finished."""
-    fs, where = _fs(spark, f"{base.rstrip('/')}/_versions")
+    fs, where = file_system(spark, f"{base.rstrip('/')}/_versions")
     if not fs.exists(where):
         return None
     names = [status.getPath().getName() for status in fs.listStatus(where)]
@@ -106,5 +103,5 @@ def _current_version(spark: SparkSession, base: str) -> int | None:
 
 
 def _set_version(spark: SparkSession, base: str, version: int) -> None:
-    fs, where = _fs(spark, f"{base.rstrip('/')}/_versions/{version}")
+    fs, where = file_system(spark, f"{base.rstrip('/')}/_versions/{version}")
     fs.create(where, True).close()

@@ -10,7 +10,9 @@ from strata.operators import quality as q
 from strata.operators.typing import parse_payload, typed_cast
 from strata.plans.layers import Entity
 from strata.session import staged
-from strata.sources.tables import path_exists, replace_partitions
+from strata.sources.tables import path_exists, remove_path, replace_partitions
+
+BATCH = "batch_id"
 
 
 def stream_bronze_to_silver(
@@ -18,18 +20,20 @@ def stream_bronze_to_silver(
     bronze_path: str,
     bronze_schema: str,
     entity: Entity,
-    silver_path: str,
+    increments: str,
     checkpoint: str,
     event_time: str | None = None,
     delay: str | None = None,
     max_files: int = 100,
 ) -> StreamingQuery:
-    """Start a query that types new raw pages and keeps the newest row of each key.
+    """Start a query that types new raw pages into ``increments``, one folder per micro-batch.
+
+    A micro-batch writes the newest row of each of its keys and nothing else, so its cost follows
+    the new data and not the size of the table. Repeating a batch after a failure overwrites its own
+    folder. ``latest_rows`` reads the table with its increments; ``settle`` merges them into it.
 
-    Each micro-batch merges with the partitions it touches, so a repeat or an older version changes
-    nothing, however late it arrives. With ``event_time`` and ``delay`` exact repeats within that
-    delay are already dropped in the stream, which saves rewriting their partitions; rows later than
-    the delay are then dropped too, so give it only where the source bounds its lateness.
+    With ``event_time`` and ``delay`` exact repeats within that delay are dropped in the stream.
+    Rows later than the delay are dropped then too, so give it only where lateness is bounded.
     """
     pages = (
         spark.readStream.schema(bronze_schema)
@@ -38,42 +42,47 @@ def stream_bronze_to_silver(
         .where(F.col("entity_name") == entity.name)
     )
     typed = typed_cast(parse_payload(pages, entity.as_strings), entity.columns)
-    rows = typed.withColumnRenamed("ingestion_id", "source_file_id")
-    good = rows
-    for rule in entity.rules():
-        good = good.where(rule.predicate)
-    fresh = good
+    good = q.keep_valid(typed.withColumnRenamed("ingestion_id", "source_file_id"), *entity.rules())
     if event_time and delay:
-        fresh = (
+        good = (
             good.withColumn("__at", F.col(event_time).cast("timestamp"))
             .withWatermark("__at", delay)
             .dropDuplicatesWithinWatermark([*entity.columns])
             .drop("__at")
         )
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert_partitions(entity.derive(batch, ""), entity, silver_path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        newest = q.dedup_latest(entity.derive(batch, ""), entity.keys, entity.order)
+        replace_partitions(newest.withColumn(BATCH, F.lit(batch_id)), increments, [BATCH, entity.partition])
 
     return (
-        fresh.writeStream.foreachBatch(merge)
+        good.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def upsert_partitions(batch: DataFrame, entity: Entity, path: str) -> int:
-    """Merge rows into the partitions they belong to; newest row per key wins. Safe to repeat."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        # One value per partition directory: as small as the directory listing.
-        touched = [row[0] for row in batch.select(entity.partition).distinct().collect()]
-        merged = batch
-        if path_exists(spark, path):
-            known = spark.read.schema(batch.schema).parquet(path)
-            merged = batch.unionByName(known.where(F.col(entity.partition).isin(touched)))
-        with staged(q.dedup_latest(merged, entity.keys, entity.order), "stream-merge") as newest:
-            return replace_partitions(newest, path, [entity.partition])
-    finally:
-        batch.unpersist()
+def latest_rows(spark: SparkSession, entity: Entity, table: str, increments: str) -> DataFrame:
+    """The newest row of every key in the table and its increments. Older rows change nothing,
+    however late they arrived."""
+    parts = [spark.read.parquet(p) for p in (table, increments) if path_exists(spark, p)]
+    rows = parts[0].drop(BATCH)
+    for more in parts[1:]:
+        rows = rows.unionByName(more.drop(BATCH), allowMissingColumns=True)
+    return q.dedup_latest(rows, entity.keys, entity.order)
+
+
+def settle(spark: SparkSession, entity: Entity, table: str, increments: str) -> int:
+    """Merge finished increments into the partitions they touch, then remove them. Run it while no
+    stream writes. A crash before the removal is harmless: the same rows merge again."""
+    if not path_exists(spark, increments):
+        return 0
+    new = spark.read.parquet(increments)
+    # One value per partition directory: as small as the directory listing.
+    touched = [row[0] for row in new.select(entity.partition).distinct().collect()]
+    merged = latest_rows(spark, entity, table, increments).where(F.col(entity.partition).isin(touched))
+    with staged(merged, "settle") as rows:
+        written = replace_partitions(rows, table, [entity.partition])
+    remove_path(spark, increments)
+    return written

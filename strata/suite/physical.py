@@ -12,7 +12,7 @@ from strata.plans.warehouse import Warehouse
 from strata.session import scratch_path
 from strata.sources import landing
 from strata.sources.tables import replace_partitions
-from strata.streaming.silver_stream import stream_bronze_to_silver
+from strata.streaming.silver_stream import settle, stream_bronze_to_silver
 from strata.suite.registry import Layers, query
 from strata.suite.samples import Samples
 
@@ -130,9 +130,10 @@ def stream_bronze_to_silver_(s: Samples, l: Layers) -> DataFrame:
     raw = scratch_path(spark, "stream-raw")
     pages = landing.bronze_envelope(s.event_records(), F.col("event_type"), "day", ingested_at="2024-01-31 06:00:00")
     replace_partitions(pages, raw, landing.RAW_PARTITIONS)
-    silver = scratch_path(spark, "stream-silver")
+    increments, table = scratch_path(spark, "stream-new"), scratch_path(spark, "stream-silver")
     query_ = stream_bronze_to_silver(
-        spark, raw, Warehouse.RAW_SCHEMA, entity, silver, scratch_path(spark, "stream-state"), max_files=50
+        spark, raw, Warehouse.RAW_SCHEMA, entity, increments, scratch_path(spark, "stream-state"), max_files=50
     )
     query_.awaitTermination()
-    return spark.read.parquet(silver).select("user_id", "day", "event_id", "value")
+    settle(spark, entity, table, increments)
+    return spark.read.parquet(table).select("user_id", "day", "event_id", "value")

@@ -15,7 +15,7 @@ from strata.plans.warehouse import Warehouse
 from strata.sources import landing
 from strata.sources.catalog import read_catalog, table_configs
 from strata.sources.tables import append_rows, replace_partitions
-from strata.streaming.silver_stream import stream_bronze_to_silver, upsert_partitions
+from strata.streaming.silver_stream import latest_rows, settle, stream_bronze_to_silver
 
 DAYS = ("2024-01-10 00:00:00", "2024-01-24 00:00:00")
 
@@ -222,7 +222,8 @@ X = "k STRING, p INT, v INT, at STRING"
 @pytest.mark.parametrize("delay", [None, "10 days"])
 def test_stream_equals_batch(spark, rows, tmp_path, delay):
     """Three landings: a newer version, a late older one, exact repeats, and rejects."""
-    bronze, path, state, entity = str(tmp_path / "b"), str(tmp_path / "s"), str(tmp_path / "c"), sample_entity()
+    bronze, path, new, state = (str(tmp_path / n) for n in ("bronze", "silver", "new", "state"))
+    entity = sample_entity()
     batches = [
         [("a", 1, 1, "2024-01-01"), ("b", 1, 1, "2024-01-01"), (None, 1, 1, "2024-01-01")],
         [("a", 1, 2, "2024-01-03"), ("c", 2, 1, "2024-01-02"), ("c", 30, 1, "2024-01-02")],
@@ -232,17 +233,27 @@ def test_stream_equals_batch(spark, rows, tmp_path, delay):
         pages = landing.bronze_envelope(spark.createDataFrame(batch, X), "fact_x", "p", ingested_at=f"2024-02-0{i + 1}")
         append_rows(pages, bronze, landing.RAW_PARTITIONS)
         late = {"event_time": "at", "delay": delay} if delay else {}
-        run = stream_bronze_to_silver(spark, bronze, Warehouse.RAW_SCHEMA, entity, path, state, **late)
+        run = stream_bronze_to_silver(spark, bronze, Warehouse.RAW_SCHEMA, entity, new, state, **late)
         run.awaitTermination()
-    streamed = rows(spark.read.parquet(path), "k", "p", "v")
+        if i == 0:
+            settle(spark, entity, path, new)
+    streamed = rows(latest_rows(spark, entity, path, new), "k", "p", "v")
+    settle(spark, entity, path, new)
+    assert rows(spark.read.parquet(path), "k", "p", "v") == streamed
+    assert settle(spark, entity, path, new) == 0
     pages = spark.read.schema(Warehouse.RAW_SCHEMA).parquet(bronze)
     assert streamed == rows(silver(pages, entity, "2024-03-01"), "k", "p", "v")
     assert streamed == [("a", 1, 2), ("b", 1, 1), ("c", 2, 1), ("d", 2, 1)]
 
 
-def test_upsert_is_repeatable(spark, rows, tmp_path):
-    path, entity = str(tmp_path / "u"), sample_entity()
-    batch = spark.createDataFrame([("a", 1, 1, datetime.datetime(2024, 1, 1))], "k STRING, p INT, v INT, at TIMESTAMP")
-    for _ in range(2):
-        upsert_partitions(batch, entity, path)
-    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1)]
+def test_settle_only_touches_the_periods_of_the_increments(spark, rows, tmp_path):
+    path, new, entity = str(tmp_path / "t"), str(tmp_path / "n"), sample_entity()
+    ddl = "k STRING, p INT, v INT, at TIMESTAMP, source_file_id STRING"
+    day = datetime.datetime(2024, 1, 1)
+    replace_partitions(spark.createDataFrame([("a", 1, 1, day, "f"), ("b", 2, 1, day, "f")], ddl), path, ["p"])
+    kept = sorted(p.name for p in (tmp_path / "t" / "p=1").iterdir())
+    fresh = spark.createDataFrame([("b", 2, 5, day + datetime.timedelta(1), "g")], ddl).withColumn("batch_id", F.lit(0))
+    replace_partitions(fresh, new, ["batch_id", "p"])
+    assert settle(spark, entity, path, new) == 1
+    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1), ("b", 5)]
+    assert sorted(p.name for p in (tmp_path / "t" / "p=1").iterdir()) == kept

@@ -17,6 +17,11 @@ EXECUTION_LOG = """
   watermark_column STRING, watermark_value STRING, records_read BIGINT, records_written BIGINT,
   status STRING, error_message STRING, created_at TIMESTAMP
 """
+WATERMARKS = """
+  source_system STRING, entity_name STRING, watermark_column STRING, watermark_type STRING,
+  last_processed_value STRING, last_ingestion_time TIMESTAMP, records_ingested BIGINT, is_active BOOLEAN,
+  created_at TIMESTAMP, updated_at TIMESTAMP
+"""
 # Minutes allowed for a run, and the minutes at which it is reported as slow.
 SLA_MINUTES = 70
 WARN_MINUTES = 60

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators import quality as q
 from strata.operators.star import fk_lookup, incremental_filter, merge_dimension_scd1
-from strata.operators.typing import map_dimension_columns, map_fact_columns, parse_payload, typed_cast
+from strata.operators.typing import (
+    detect_new_columns,
+    infer_payload_schema,
+    map_dimension_columns,
+    map_fact_columns,
+    parse_payload,
+    typed_cast,
+)
 from strata.sources.catalog import TableConfig
 
 
@@ -28,7 +36,7 @@ class Entity:
 
     @property
     def as_strings(self) -> str:
-        return ", ".join(f"{c} STRING" for c in self.columns)
+        return ", ".join(f"`{c}` STRING" for c in self.columns)
 
 
 def _fact(name: str, code: str, columns: Mapping[str, str], derive=None) -> Entity:
@@ -124,6 +132,23 @@ GOLD_DIMENSIONS = {
 }
 
 
+def unseen_columns(bronze: DataFrame, known: Mapping[str, str]) -> dict[str, str]:
+    """Columns of the payloads that are not ``known`` yet, with their types. Nested values stay JSON text.
+
+    Every payload counts: a column that only one record carries is found.
+    """
+    declared = StructType([StructField(c, StringType()) for c in known])
+    found = detect_new_columns(infer_payload_schema(bronze), declared)
+    nested = ("struct", "array", "map", "void", "variant")
+    return {c: "string" if kind.startswith(nested) else kind for c, kind in found}
+
+
+def widened(entity: Entity, extra: Mapping[str, str]) -> Entity:
+    """The entity with further columns; declared types stay."""
+    new = {c: kind for c, kind in extra.items() if c not in entity.columns}
+    return replace(entity, columns={**entity.columns, **new})
+
+
 def typed_records(bronze: DataFrame, entity: Entity, errors: str | None = None) -> DataFrame:
     """One typed row per record of the entity's raw rows, before any rule."""
     records = parse_payload(bronze, entity.as_strings)

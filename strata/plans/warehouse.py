@@ -5,14 +5,31 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from strata.functions.expr import FULL_LOAD
-from strata.operators.control import EXECUTION_LOG, execution_log_append, execution_state, last_watermark
+from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, typed
+from strata.operators.control import (
+    EXECUTION_LOG,
+    WATERMARKS,
+    execution_log_append,
+    execution_state,
+    last_watermark,
+    period_worklist,
+    watermark_upsert,
+)
 from strata.operators.layout import cluster_zorder
 from strata.operators.star import incremental_filter
-from strata.plans.layers import ENTITIES, empty_dimension, gold_dimension, gold_fact, silver
+from strata.plans.layers import (
+    ENTITIES,
+    empty_dimension,
+    gold_dimension,
+    gold_fact,
+    silver,
+    unseen_columns,
+    widened,
+)
 from strata.session import staged
 from strata.sources.catalog import TableConfig, read_catalog, table_configs
 from strata.sources.landing import RAW_PARTITIONS, bronze_envelope, bronze_read_entity
@@ -23,6 +40,7 @@ from strata.sources.tables import (
     read_snapshot,
     replace_partitions,
     snapshot_exists,
+    snapshot_folder,
 )
 
 
@@ -45,9 +63,44 @@ class Warehouse:
     # ---- raw ---------------------------------------------------------------------------------
 
     def land(self, records: DataFrame, entity: str, period_col: str | None, at: str, run_id: str | None = None) -> int:
-        """Land records, replacing the (partition, entity) pairs they belong to."""
-        rows = bronze_envelope(records, entity, period_col, ingested_at=at, run_id=run_id)
-        return replace_partitions(rows, self.path("bronze", "extracts"), RAW_PARTITIONS)
+        """Land records, replacing the (partition, entity) pairs they belong to. Returns their number.
+
+        The watermark of a periodic entity moves after the write, and never back.
+        """
+        seen = Observation()
+        rows = bronze_envelope(records, entity, period_col, ingested_at=at, run_id=run_id).observe(
+            seen,
+            F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
+            F.max(F.expr("try_cast(partition_column AS INT)")).alias("period"),
+        )
+        replace_partitions(rows, self.path("bronze", "extracts"), RAW_PARTITIONS)
+        landed = seen.get
+        if landed["period"] is not None:
+            self._move_watermark(entity, period_col, landed["period"], landed["records"], at)
+        return landed["records"]
+
+    def watermarks(self) -> DataFrame:
+        base = self.path("control", "ingestion_watermarks")
+        if not snapshot_exists(self.spark, base):
+            return self.spark.createDataFrame([], WATERMARKS)
+        return read_snapshot(self.spark, base)
+
+    def worklist(self, catalog: DataFrame, current: int) -> DataFrame:
+        """What to extract next: the periods of each entity after its watermark, and the snapshots."""
+        return period_worklist(catalog, self.watermarks(), current)
+
+    def _move_watermark(self, entity: str, column: str, period: int, records: int, at: str) -> None:
+        known = self.watermarks()
+        last = known.where(F.col("entity_name") == entity).select(F.max(typed("last_processed_value", "int"))).first()[0]
+        update = self.spark.range(1).select(
+            F.lit(SOURCE_SYSTEM).alias("source_system"),
+            F.lit(entity).alias("entity_name"),
+            F.lit(column).alias("watermark_column"),
+            F.lit("int").alias("watermark_type"),
+            F.lit(str(max(period, last or period))).alias("last_processed_value"),
+            F.lit(records).cast("long").alias("records_ingested"),
+        )
+        overwrite_snapshot(watermark_upsert(known, update, at), self.path("control", "ingestion_watermarks"))
 
     def bronze(self, entity: str | None = None, partition: str | int | None = None) -> DataFrame:
         # Partition values such as 01 must stay text, so the types are stated and not inferred.
@@ -60,21 +113,55 @@ class Warehouse:
 
     # ---- typed -------------------------------------------------------------------------------
 
-    def build_silver(self, name: str, as_of: str, period: int | None = None) -> None:
-        """Rebuild a typed table from its raw rows, or one period of a fact."""
+    def build_silver(self, name: str, as_of: str, period: int | None = None, evolve: bool = True) -> list[str]:
+        """Rebuild a typed table from its raw rows, or one period of a fact.
+
+        With ``evolve`` columns that appear in the payloads are added to the table, and their names
+        returned; rows written before hold NULL in them. Looking for them reads the payloads once
+        more, so leave it out where the source's columns are fixed.
+        """
         entity = ENTITIES[name]
         partition = FULL_LOAD if entity.partition is None else period
-        rows = silver(self.bronze(name, partition), entity, as_of)
+        raw = self.bronze(name, partition)
+        extra = self.added_columns(name)
+        new = unseen_columns(raw, {**entity.columns, **extra}) if evolve else {}
+        rows = silver(raw, widened(entity, {**extra, **new}), as_of)
         if entity.partition is None:
             overwrite_snapshot(rows, self.path("silver", name))
         else:
             targets = None if period is None else [(period,)]
             replace_partitions(rows, self.path("silver", name), [entity.partition], targets)
+        if new or not snapshot_exists(self.spark, self.path("control", f"columns/{name}")):
+            self._store_schema(name, rows, {*extra, *new})
+        return list(new)
 
     def silver(self, name: str) -> DataFrame:
+        # The stored schema, because files written before a column was added lack it.
+        reader = self.spark.read.schema(self._stored_schema(name))
         if ENTITIES[name].partition is None:
-            return read_snapshot(self.spark, self.path("silver", name))
-        return self.spark.read.parquet(self.path("silver", name))
+            return reader.parquet(snapshot_folder(self.spark, self.path("silver", name)))
+        return reader.parquet(self.path("silver", name))
+
+    def added_columns(self, name: str) -> dict[str, str]:
+        """Columns the typed table gained beyond the declared ones."""
+        if not snapshot_exists(self.spark, self.path("control", f"columns/{name}")):
+            return {}
+        rows = self._columns(name).where("added").collect()
+        return {r["column_name"]: r["data_type"] for r in rows}
+
+    def _columns(self, name: str) -> DataFrame:
+        return read_snapshot(self.spark, self.path("control", f"columns/{name}")).orderBy("position")
+
+    def _stored_schema(self, name: str) -> StructType:
+        rows = self._columns(name).collect()
+        return StructType.fromDDL(", ".join(f"`{r['column_name']}` {r['data_type']}" for r in rows))
+
+    def _store_schema(self, name: str, rows: DataFrame, added: set[str]) -> None:
+        data = [
+            (i, f.name, f.dataType.simpleString(), f.name in added) for i, f in enumerate(rows.schema.fields)
+        ]
+        table = self.spark.createDataFrame(data, "position INT, column_name STRING, data_type STRING, added BOOLEAN")
+        overwrite_snapshot(table, self.path("control", f"columns/{name}"))
 
     # ---- star --------------------------------------------------------------------------------
 

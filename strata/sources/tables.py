@@ -75,11 +75,15 @@ def snapshot_exists(spark: SparkSession, base: str) -> bool:
     return _current_version(spark, base) is not None
 
 
-def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
+def snapshot_folder(spark: SparkSession, base: str) -> str:
     version = _current_version(spark, base)
     if version is None:
         raise FileNotFoundError(f"no snapshot at {base}")
-    return spark.read.parquet(f"{base.rstrip('/')}/v={version}")
+    return f"{base.rstrip('/')}/v={version}"
+
+
+def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(snapshot_folder(spark, base))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -63,13 +63,17 @@ def stream_bronze_to_silver(
     )
 
 
-def latest_rows(spark: SparkSession, entity: Entity, table: str, increments: str) -> DataFrame:
+def latest_rows(
+    spark: SparkSession, entity: Entity, table: str, increments: str, only: list | None = None
+) -> DataFrame:
     """The newest row of every key in the table and its increments. Older rows change nothing,
-    however late they arrived."""
+    however late they arrived. ``only`` names the partitions to read; the key contains them."""
     parts = [spark.read.parquet(p) for p in (table, increments) if path_exists(spark, p)]
     rows = parts[0].drop(BATCH)
     for more in parts[1:]:
         rows = rows.unionByName(more.drop(BATCH), allowMissingColumns=True)
+    if only is not None:
+        rows = rows.where(F.col(entity.partition).isin(only))
     return q.dedup_latest(rows, entity.keys, entity.order)
 
 
@@ -81,8 +85,7 @@ def settle(spark: SparkSession, entity: Entity, table: str, increments: str) ->
     new = spark.read.parquet(increments)
     # One value per partition directory: as small as the directory listing.
     touched = [row[0] for row in new.select(entity.partition).distinct().collect()]
-    merged = latest_rows(spark, entity, table, increments).where(F.col(entity.partition).isin(touched))
-    with staged(merged, "settle") as rows:
+    with staged(latest_rows(spark, entity, table, increments, touched), "settle") as rows:
         written = replace_partitions(rows, table, [entity.partition])
     remove_path(spark, increments)
     return written

@@ -101,6 +101,41 @@ def test_a_fact_without_configured_partitions_is_kept_by_period(spark, rows, war
     assert {r[0] for r in marks} == {"2"}, "reloading an old period does not move the watermark back"
 
 
+def test_a_new_column_joins_the_table(spark, rows, warehouse):
+    w = warehouse
+    load_pay(w, pay(spark, ("b", 1, 10.0)), DAYS[0])
+    assert w.added_columns("fact_earnings") == {}
+    more = pay(spark, ("b", 2, 20.0), ("c", 2, 5.0)).withColumns(
+        {"bonus_rate": F.when(F.col("employee_number") == "c", F.lit(3)), "detail": F.struct(F.lit(1).alias("x"))}
+    )
+    w.land(more, "fact_earnings", "pay_period_id", DAYS[1])
+    assert sorted(w.build_silver("fact_earnings", DAYS[1], period=2)) == ["bonus_rate", "detail"]
+    got = rows(w.silver("fact_earnings"), "employee_number", "pay_period_id", "bonus_rate", "detail")
+    assert got == sorted([("b", 1, None, None), ("b", 2, None, '{"x":1}'), ("c", 2, 3, '{"x":1}')], key=repr)
+    w.land(pay(spark, ("b", 3, 1.0)), "fact_earnings", "pay_period_id", DAYS[1])
+    assert w.build_silver("fact_earnings", DAYS[1], period=3, evolve=False) == []
+    assert w.silver("fact_earnings").where("pay_period_id = 3").first()["bonus_rate"] is None
+    w.load_star(DAYS[1])
+    assert w.gold(EARN).count() == 4
+
+
+def test_landing_moves_the_watermark_and_the_worklist(spark, rows, warehouse):
+    w = warehouse
+    catalog = spark.createDataFrame(
+        [("fact_earnings", "INCREMENTAL", 1, True), ("dim_employee", "FULL_LOAD", None, True)],
+        "entity_name STRING, load_type STRING, start_period INT, is_active BOOLEAN",
+    )
+    assert w.worklist(catalog, 3).count() == 4
+    assert w.land(pay(spark, ("b", 1, 10.0), ("b", 2, 20.0)), "fact_earnings", "pay_period_id", DAYS[0]) == 2
+    todo = rows(w.worklist(catalog, 3), "entity_name", "period")
+    assert todo == sorted([("dim_employee", None), ("fact_earnings", 3)], key=repr)
+    assert w.land(pay(spark, ("b", 1, 11.0)), "fact_earnings", "pay_period_id", DAYS[1]) == 1
+    mark = w.watermarks().where("entity_name = 'fact_earnings'").first()
+    assert (mark["last_processed_value"], mark["records_ingested"], mark["created_at"].day) == ("2", 1, 10)
+    pages = w.bronze("fact_earnings", 1)
+    assert pages.agg(F.sum("record_count"), F.count_distinct("ingestion_datetime")).first()[:] == (1, 1)
+
+
 def test_a_failed_table_does_not_stop_the_others(spark, warehouse):
     outcome = warehouse.load_star(DAYS[0])
     assert outcome == {"dwh_dim_employee": "SUCCESS", "dwh_dim_location": "SUCCESS", EARN: "FAILED"}

@@ -126,14 +126,13 @@ def execution_log_append(
 
 def execution_state(events: DataFrame) -> DataFrame:
     """One row per execution from its events: the latest status, with the start of the first event."""
-    starts = events.groupBy("execution_id").agg(F.min("execution_start").alias("__start"))
-    final = events.withColumn("__final", (F.col("status") != "RUNNING").cast("int"))
-    latest = dedup_latest(final, ["execution_id"], ["__final", "created_at"]).drop("__final")
-    return (
-        latest.join(starts, "execution_id")
-        .withColumn("execution_start", F.coalesce("execution_start", "__start"))
-        .select(*events.columns)
+    rest = [c for c in events.columns if c not in ("execution_id", "execution_start")]
+    final = F.col("status") != "RUNNING"
+    state = events.groupBy("execution_id").agg(
+        F.min("execution_start").alias("execution_start"),
+        F.max_by(F.struct(*rest), F.struct(final, "created_at", *rest)).alias("__latest"),
     )
+    return state.select("execution_id", "execution_start", "__latest.*").select(*events.columns)
 
 
 def failed_worklist(log: DataFrame, keys: Sequence[str] = ("table_name",)) -> DataFrame:
@@ -215,7 +214,7 @@ def count_variance(
     A previous count of zero has no percentage; any change from it is reported.
     """
     slim = log.select(job, run, start, rows)
-    seen = previous_value(slim, [job], [start, run], rows, F.date_trunc("hour", start), "previous_rows")
+    seen = previous_value(slim, [job], [start, run], rows, "previous_rows")
     move = share(F.abs(F.col(rows) - F.col("previous_rows")), F.abs(F.col("previous_rows")))
     moved = F.coalesce(F.col("variance_pct") > max_pct, F.col(rows) != F.col("previous_rows"))
     return seen.withColumn("variance_pct", move).where(F.col("previous_rows").isNotNull() & moved)

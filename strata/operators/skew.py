@@ -112,19 +112,21 @@ def flag_join(
     return out.withColumn(flag, F.coalesce("__there", F.lit(False))).drop("__there")
 
 
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows range partitioned along ``order``, with the partition of each row frozen in ``__part``.
+
+    The checkpoint keeps a later loss of an executor from moving a row to another partition.
+    """
+    scratch_root(df.sparkSession)
+    return df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).checkpoint()
+
+
 def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Column = 1) -> DataFrame:
     """Dense numbers in the order of unique ``order`` columns, without a single-partition sort.
 
-    Rows are range partitioned and sorted; the partition number is frozen by a checkpoint, so a
-    later loss of an executor cannot move a row; the row count before each partition is added to
-    the position within it.
+    A row's number is its position within its range plus the row counts of the ranges before.
     """
-    scratch_root(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(*order)
-        .withColumn("__part", F.spark_partition_id())
-        .checkpoint()
-    )
+    ranged = _ranged(df, order)
     sizes = ranged.groupBy("__part").count()
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
@@ -138,24 +140,22 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Col
     )
 
 
-def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, bucket: Column, name: str
-) -> DataFrame:
-    """``lag(value)`` per key, windowed inside time buckets so that a long key is split.
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """``lag(value)`` per key along ``order``, for keys too long for one task.
 
-    ``bucket`` must not decrease along ``order``. The first row of a bucket takes the last value of
-    the key's previous bucket, found on one aggregated row per bucket.
+    Rows are cut into ranges along key and order, and the window stays inside a range. The first row
+    of a key in a range takes the key's last value of an earlier range, found on one row per both.
     """
-    keyed = df.withColumn("__bucket", bucket)
-    parts = [*keys, "__bucket"]
-    last = keyed.groupBy(*parts).agg(F.max_by(F.struct(value), F.struct(*order)).alias("__last"))
+    ranged = _ranged(df, [*keys, *order])
+    parts = [*keys, "__part"]
+    last = ranged.groupBy(*parts).agg(F.max_by(F.struct(value), F.struct(*order)).alias("__last"))
     carried = last.select(
         *[F.col(k).alias(f"__c_{k}") for k in parts],
-        F.lag("__last").over(Window.partitionBy(*keys).orderBy("__bucket")).alias("__carry"),
+        F.lag("__last").over(Window.partitionBy(*keys).orderBy("__part")).alias("__carry"),
     )
     inside = Window.partitionBy(*parts).orderBy(*order)
     return (
-        keyed.withColumn("__pos", F.row_number().over(inside))
+        ranged.withColumn("__pos", F.row_number().over(inside))
         .withColumn("__lag", F.lag(value).over(inside))
         .join(carried, _keys_equal(parts, [f"__c_{k}" for k in parts]), "left")
         .withColumn(name, F.when(F.col("__pos") == 1, F.col(f"__carry.{value}")).otherwise(F.col("__lag")))

@@ -119,8 +119,8 @@ def check_reconciliation(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "check_layer_reconciliation",
-    """SELECT pay_period_id AS period, count(*) AS silver_rows, NULL::BIGINT AS gold_rows, sum(earning_amount) AS silver_amount,
-         NULL::DECIMAL(38,2) AS gold_amount
+    """SELECT pay_period_id AS period, count(*) AS silver_rows, NULL::BIGINT AS gold_rows, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS silver_amount,
+         NULL::DECIMAL(20,2) AS gold_amount
        FROM silver_earn WHERE pay_period_id > 20 GROUP BY ALL""",
 )
 def check_layer_reconciliation(s: Samples, l: Layers) -> DataFrame:
@@ -200,7 +200,7 @@ def check_orphans_anti(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "check_idempotent",
-    """SELECT pay_period_id, earning_code, sum(earning_amount) AS total, count(*) AS rows, 'first' AS run FROM earn_std
+    """SELECT pay_period_id, earning_code, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS total, count(*) AS rows, 'first' AS run FROM earn_std
        WHERE (pay_period_id, earning_code) IN (SELECT (pay_period_id, earning_code) FROM silver_earn) GROUP BY ALL
        UNION ALL
        SELECT pay_period_id, earning_code, sum(earning_amount), count(*), 'second' FROM silver_earn GROUP BY ALL""",

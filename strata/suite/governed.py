@@ -138,7 +138,7 @@ _CUT = f"DATE '{FINAL}' - INTERVAL {g.RETENTION_DAYS['silver']} DAY"
 
 @query(
     "retention_purge",
-    f"SELECT pay_period_id, count(*) AS n, sum(earning_amount) AS amount FROM silver_earn WHERE modified_on >= {_CUT} GROUP BY ALL",
+    f"SELECT pay_period_id, count(*) AS n, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS amount FROM silver_earn WHERE modified_on >= {_CUT} GROUP BY ALL",
 )
 def retention_purge(s: Samples, l: Layers) -> DataFrame:
     kept = g.retention_purge(l.silver("fact_earnings"), "modified_on", FINAL, g.RETENTION_DAYS["silver"])
@@ -147,7 +147,7 @@ def retention_purge(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "archive_expired",
-    f"SELECT pay_period_id, count(*) AS n, sum(earning_amount) AS amount FROM silver_earn WHERE modified_on < {_CUT} GROUP BY ALL",
+    f"SELECT pay_period_id, count(*) AS n, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS amount FROM silver_earn WHERE modified_on < {_CUT} GROUP BY ALL",
 )
 def archive_expired(s: Samples, l: Layers) -> DataFrame:
     gone = g.archive_expired(l.silver("fact_earnings"), "modified_on", FINAL, g.RETENTION_DAYS["silver"])

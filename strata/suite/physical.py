@@ -36,7 +36,7 @@ def file_stats(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "compact_files",
-    "SELECT count(*) AS row_count, sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS amount, TRUE AS fewer_files FROM lineitem",
+    "SELECT count(*) AS row_count, CAST(sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS amount, TRUE AS fewer_files FROM lineitem",
 )
 def compact_files(s: Samples, l: Layers) -> DataFrame:
     source, target = scattered(s), scratch_path(s.spark, "compact")
@@ -49,7 +49,7 @@ def compact_files(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "compact_partition",
-    "SELECT pay_period_id, count(*) AS n, sum(tax_amount) AS amount FROM tax_rec GROUP BY pay_period_id",
+    "SELECT pay_period_id, count(*) AS n, CAST(sum(tax_amount) AS DECIMAL(20,2)) AS amount FROM tax_rec GROUP BY pay_period_id",
 )
 def compact_partition(s: Samples, l: Layers) -> DataFrame:
     path = scratch_path(s.spark, "parts")
@@ -65,7 +65,7 @@ def compact_partition(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "cluster_zorder",
-    "SELECT count(*) AS row_count, TRUE AS skips_files, sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS amount FROM lineitem",
+    "SELECT count(*) AS row_count, TRUE AS skips_files, CAST(sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS amount FROM lineitem",
 )
 def cluster_zorder(s: Samples, l: Layers) -> DataFrame:
     """Clustered by two columns, a lookup on both can skip files that it had to open before."""

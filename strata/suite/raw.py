@@ -70,7 +70,7 @@ def partition_route(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "replace_partitions",
-    """SELECT pay_period_id, count(*) AS n, sum(earning_amount) AS amount FROM earn_rec
+    """SELECT pay_period_id, count(*) AS n, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS amount FROM earn_rec
        WHERE pay_period_id <> 25 AND (pay_period_id <> 26 OR hours >= 10) GROUP BY pay_period_id""",
 )
 def replace_partitions_(s: Samples, l: Layers) -> DataFrame:
@@ -88,7 +88,7 @@ def replace_partitions_(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "append_fact",
-    "SELECT pay_period_id, count(*) AS n, sum(tax_amount) AS amount FROM tax_rec GROUP BY pay_period_id",
+    "SELECT pay_period_id, count(*) AS n, CAST(sum(tax_amount) AS DECIMAL(20,2)) AS amount FROM tax_rec GROUP BY pay_period_id",
 )
 def append_fact(s: Samples, l: Layers) -> DataFrame:
     path = scratch_path(s.spark, "append")

@@ -69,7 +69,7 @@ def high_watermark(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "incremental_filter",
-    "SELECT pay_period_id, count(*) AS n, sum(tax_amount) AS amount FROM silver_tax WHERE pay_period_id > 20 GROUP BY ALL",
+    "SELECT pay_period_id, count(*) AS n, CAST(sum(tax_amount) AS DECIMAL(20,2)) AS amount FROM silver_tax WHERE pay_period_id > 20 GROUP BY ALL",
 )
 def incremental_filter(s: Samples, l: Layers) -> DataFrame:
     fresh = star.incremental_filter(l.silver("fact_taxes"), "pay_period_id", "20", "int")
@@ -256,7 +256,7 @@ def merge_dimension_scd2(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "dim_as_of",
-    """SELECT e.job_title AS JOB_TITLE, count(*) AS rows, sum(earning_amount) AS amount
+    """SELECT e.job_title AS JOB_TITLE, count(*) AS rows, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS amount
        FROM silver_earn s LEFT JOIN emp_early e ON e.employee_number = s.employee_number GROUP BY e.job_title""",
 )
 def dim_as_of(s: Samples, l: Layers) -> DataFrame:

@@ -110,7 +110,7 @@ def payload_key_check(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "map_fact_columns",
-    """SELECT employee_number, PAY_PERIOD_ID, EARNING_CODE, sum(EARNING_AMOUNT) AS amount, sum(HOURS) AS hours
+    """SELECT employee_number, PAY_PERIOD_ID, EARNING_CODE, CAST(sum(EARNING_AMOUNT) AS DECIMAL(20,2)) AS amount, CAST(sum(HOURS) AS DECIMAL(15,2)) AS hours
        FROM earn_std GROUP BY employee_number, PAY_PERIOD_ID, EARNING_CODE""",
 )
 def map_fact_columns(s: Samples, l: Layers) -> DataFrame:
@@ -194,7 +194,7 @@ def dedup_latest(s: Samples, l: Layers) -> DataFrame:
 
 @query(
     "earnings_standardise",
-    """SELECT earning_code, location_code, count(*) AS n, sum(earning_amount) AS amount, sum(total_earnings) AS total
+    """SELECT earning_code, location_code, count(*) AS n, CAST(sum(earning_amount) AS DECIMAL(20,2)) AS amount, CAST(sum(total_earnings) AS DECIMAL(20,2)) AS total
        FROM earn_std GROUP BY earning_code, location_code""",
 )
 def earnings_standardise(s: Samples, l: Layers) -> DataFrame:

@@ -141,15 +141,28 @@ def test_fk_lookup_follows_the_configuration(spark, rows):
     assert rows(star.fk_lookup(facts, {"d": members(spark)}, inner)) == [("hot", 0)]
 
 
-def test_previous_value_crosses_buckets(spark, rows):
+def test_previous_value_crosses_ranges(spark, rows):
     data = [("a", 1, 10), ("a", 5, 20), ("a", 31, 30), ("a", 65, None), ("a", 66, 40), ("b", 2, 1)]
     df = spark.createDataFrame(data, "k STRING, t INT, v INT")
-    got = previous_value(df, ["k"], ["t"], "v", F.floor(F.col("t") / 10), "prev")
+    got = previous_value(df, ["k"], ["t"], "v", "prev")
     assert rows(got, "k", "t", "prev") == sorted(
         [("a", 1, None), ("a", 5, 10), ("a", 31, 20), ("a", 65, 30), ("a", 66, None), ("b", 2, None)], key=repr
     )
 
 
+def test_previous_value_splits_a_long_key(spark):
+    """One key with all rows is cut over several tasks and still sees every neighbour."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(2000).select(F.lit("k").alias("k"), "id", (F.col("id") * 2).alias("v"))
+        got = previous_value(df, ["k"], ["id"], "v", "prev")
+        assert got.where("id > 0 AND (prev IS NULL OR prev <> v - 2)").count() == 0
+        assert got.where("prev IS NULL").count() == 1 and got.count() == 2000
+        assert got.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_incremental_filter_reaches_the_scan(spark, plan, tmp_path):
     path = str(tmp_path / "f")
     spark.range(100).select("id", (F.col("id") % 26 + 1).cast("int").alias("p")).write.partitionBy("p").parquet(path)

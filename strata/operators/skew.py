@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import scratch_root
+from strata.session import scratch_root, stored
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_HOT_KEYS = 2000
+SKETCH_GROUPS = 64
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -34,6 +36,22 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return data_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
+def hot_keys(keys: DataFrame, share: int) -> DataFrame:
+    """Keys that may hold more than one ``share``-th of the rows.
+
+    A sketch of frequent items reads every row once and shuffles no key. It is taken per group of
+    input partitions: a key above the share overall is above it in at least one group. A key missed
+    or named too much changes where rows travel and never the result.
+    """
+    key = F.to_json(F.struct(*keys.columns)).alias("key")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("group")
+    sketches = keys.select(key, group).groupBy("group").agg(
+        F.expr(f"approx_top_k(key, {share}, {8 * share})").alias("top"), F.count(F.lit(1)).alias("n")
+    )
+    frequent = sketches.select("n", F.inline("top")).where(F.col("count") * share > F.col("n"))
+    return frequent.select(F.from_json("item", keys.schema).alias("k")).select("k.*").distinct()
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -45,8 +63,8 @@ def lookup_join(
 
     ``on`` pairs a left column with a right column. When the needed columns of ``right`` measure at
     most ``max_bytes`` they are broadcast and ``left`` is not shuffled. Otherwise both sides shuffle
-    on the key, with the hot keys taken out: their rows are matched against a broadcast of at most
-    one row per shuffle partition, and are spread by a salt through the shuffle of the others.
+    on the key, with the hot keys taken out: their rows are matched against a broadcast of those few
+    keys, and are spread by a salt through the shuffle of the others.
     """
     r_keys = [f"__r{i}" for i in range(len(on))]
     slim = right.select(
@@ -61,14 +79,7 @@ def lookup_join(
 
     width = shuffle_width(left)
     keys = left.select(*[F.col(lc).alias(k) for (lc, _), k in zip(on, r_keys, strict=True)])
-    total = keys.count()
-    hot = (
-        keys.where(_all_present(r_keys))
-        .groupBy(*r_keys)
-        .count()
-        .where(F.col("count") > max(1, total // width))
-        .select(*r_keys)
-    )
+    hot = stored(hot_keys(keys.where(_all_present(r_keys)), min(width, MAX_HOT_KEYS)), "hot")
     # A hot key without a match is hot as well, so the hot keys lead and the match may be missing.
     found = slim.join(F.broadcast(hot), r_keys, "left_semi")
     hot_rows = hot.join(F.broadcast(found), r_keys, "left").select(

@@ -102,6 +102,16 @@ def test_lookup_gives_the_same_rows_broadcast_and_shuffled(spark, rows):
     assert all(r["SK"] == want.get(r["code"]) for r in large.collect())
 
 
+def test_hot_keys_are_found_without_shuffling_keys(spark, rows, plan):
+    from strata.operators.skew import hot_keys
+
+    keys = skewed_facts(spark).select(F.col("code").alias("a"), F.lit(7).alias("b")).where("a IS NOT NULL")
+    found = hot_keys(keys, 8)
+    assert rows(found) == [("hot", 7), ("lost", 7)]
+    assert "Exchange hashpartitioning(group" in plan(found) and "hashpartitioning(key" not in plan(found)
+    assert rows(hot_keys(keys.limit(0), 8)) == []
+
+
 def test_shuffled_lookup_spreads_hot_keys(spark, plan):
     """No shuffle partition of the facts may hold a third of them, whether the hot key is known or not."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, typed
+from strata.operators.checks import (
+    check_amount_rule,
+    check_duplicates,
+    check_key_uniqueness,
+    check_layer_reconciliation,
+    check_null_fk,
+    check_orphan_pct,
+    check_results,
+    check_suite_report,
+)
 from strata.operators.control import (
     EXECUTION_LOG,
     WATERMARKS,
@@ -44,6 +54,10 @@ from strata.sources.tables import (
 )
 
 
+class QualityError(RuntimeError):
+    """A strict load found rows it must not write."""
+
+
 class Warehouse:
     """Loads and reads the layers. Every write goes through the sinks of ``strata.sources.tables``."""
 
@@ -176,11 +190,19 @@ class Warehouse:
             target = empty_dimension(self.spark, table)
         overwrite_snapshot(gold_dimension(target, self.silver(config.source), config, as_of), base)
 
-    def load_fact(self, table: str, as_of: str, periods: Iterable[int] | None = None, upto: int | None = None) -> int:
+    def load_fact(
+        self,
+        table: str,
+        as_of: str,
+        periods: Iterable[int] | None = None,
+        upto: int | None = None,
+        strict: bool = False,
+    ) -> int:
         """Load the periods after the watermark, or reload the given ones. Returns the rows written.
 
         The log entry follows the write: after a crash in between, the same periods load again and
-        give the same partitions.
+        give the same partitions. A ``strict`` load writes nothing and leaves the watermark when a
+        row lacks a foreign key; otherwise such rows are loaded for the checks to report.
         """
         config = self.config(table)
         run = uuid.uuid4().hex
@@ -194,10 +216,19 @@ class Warehouse:
         if upto is not None:
             typed_rows = typed_rows.where(F.col(column) <= upto)
         dims = {x["dimension_table"]: self.gold(x["dimension_table"]) for x in config.lookups}
+        loaded = incremental_filter(typed_rows, column, last, config.watermark_type).agg(F.max(column)).first()[0]
+        if loaded is None and wanted is None:
+            return 0
         self._append_log(run, table, as_of)
         rows = gold_fact(typed_rows, dims, config, as_of, last)
+        if strict:
+            broken = check_null_fk(rows, [x["surrogate_key_column"] for x in config.lookups], _partitions(config))
+            bad = broken.agg(F.sum("orphan_records")).first()[0]
+            if bad:
+                message = f"{bad} rows without a foreign key"
+                self._append_log(run, table, as_of, "FAILED", error_message=message)
+                raise QualityError(f"{table}: {message}")
         targets = None if wanted is None else [(p,) for p in wanted]
-        loaded = incremental_filter(typed_rows, column, last, config.watermark_type).agg(F.max(column)).first()[0]
         written = replace_partitions(rows, self.path("gold", table), _partitions(config), targets)
         known = last_watermark(self.log_events(), table, config.watermark_type)
         mark = max((m for m in (known, loaded) if m is not None), default=None)
@@ -212,7 +243,7 @@ class Warehouse:
             return read_snapshot(self.spark, self.path("gold", table))
         return self.spark.read.parquet(self.path("gold", table))
 
-    def load_star(self, as_of: str) -> dict[str, str]:
+    def load_star(self, as_of: str, strict: bool = False) -> dict[str, str]:
         """All active tables, dimensions first. A table that fails does not stop the others."""
         outcome = {}
         for config in self.configs:
@@ -220,7 +251,7 @@ class Warehouse:
                 if c.table_type == "DIMENSION":
                     self.load_dimension(c.table_name, as_of)
                 else:
-                    self.load_fact(c.table_name, as_of)
+                    self.load_fact(c.table_name, as_of, strict=strict)
 
             outcome[config.table_name] = self._attempt(config.table_name, as_of, load)
         return outcome
@@ -236,6 +267,40 @@ class Warehouse:
             with staged(rows, table) as clustered:
                 replace_partitions(clustered, self.path("gold", table), _partitions(config))
 
+    # ---- checks ------------------------------------------------------------------------------
+
+    def run_checks(self, as_of: str) -> DataFrame:
+        """Check every loaded table, keep the results in the control layer, and return the report."""
+        found: dict[str, tuple[str, DataFrame]] = {}
+        for c in self.configs:
+            rows, source = self.gold(c.table_name), self.silver(c.source)
+            found[f"{c.source}: unique"] = ("HIGH", check_duplicates(source, ENTITIES[c.source].keys))
+            if c.table_type == "DIMENSION":
+                found[f"{c.table_name}: unique"] = ("HIGH", check_key_uniqueness(rows, [c.surrogate_key, c.business_key]))
+                continue
+            keys = [x["surrogate_key_column"] for x in c.lookups]
+            found[f"{c.table_name}: keyed"] = ("HIGH", check_null_fk(rows, keys, _partitions(c)))
+            for x in c.lookups:
+                dim, fk = self.gold(x["dimension_table"]), x["surrogate_key_column"]
+                orphans = check_orphan_pct(rows.where(F.col(fk).isNotNull()), dim, fk, c.table_name)
+                found[f"{c.table_name}: {fk}"] = ("HIGH", orphans)
+            measure = next(m for m in c.columns if m.get("is_measure"))
+            period = _partitions(c)[0]
+            found[f"{c.table_name}: reconciled"] = (
+                "HIGH",
+                check_layer_reconciliation(
+                    source, rows, (c.watermark_column, period), (measure["source"], measure["target"])
+                ),
+            )
+            odd = check_amount_rule(source, measure["source"], ENTITIES[c.source].keys)
+            found[f"{c.source}: amounts"] = ("MEDIUM", odd)
+        run, path = uuid.uuid4().hex, self.path("control", "test_results")
+        stamped = check_results(found).withColumns(
+            {"test_run_id": F.lit(run), "recorded_at": F.lit(as_of).cast("timestamp")}
+        )
+        append_rows(stamped, path)
+        return check_suite_report(self.spark.read.parquet(path).where(F.col("test_run_id") == run))
+
     # ---- log ---------------------------------------------------------------------------------
 
     def log_events(self) -> DataFrame:
@@ -255,6 +320,8 @@ class Warehouse:
     def _attempt(self, table: str, as_of: str, load: Callable[[], None]) -> str:
         try:
             load()
+        except QualityError:
+            return "FAILED"
         except Exception as error:  # one table's failure is recorded and must not stop the rest
             self._append_log(uuid.uuid4().hex, table, as_of, "FAILED", error_message=str(error)[:2000])
             return "FAILED"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators.typing import parse_payload
 from strata.session import scratch_path
 from strata.sources import landing
+from strata.sources.catalog import catalog_load, check_catalog
 from strata.sources.tables import append_rows, overwrite_snapshot, read_snapshot, replace_partitions
 from strata.suite.registry import Layers, query
 from strata.suite.samples import EARLY, FINAL, Samples
@@ -176,6 +177,74 @@ def bronze_data_age(s: Samples, l: Layers) -> DataFrame:
     return landing.bronze_data_age(landed, "2024-04-15")
 
 
+def site_catalog(s: Samples) -> DataFrame:
+    """A catalog with one table per site: its departments are the columns to update."""
+    departments = s.employees().groupBy("location_code").agg(
+        F.array_sort(F.collect_set("department")).alias("update_columns")
+    )
+    region = s.location_records().select("location_code", "region")
+    return departments.join(region, "location_code").select(
+        F.col("location_code").alias("table_name"),
+        F.lit("DIMENSION").alias("table_type"),
+        F.concat(F.lit("Site in "), F.col("region")).alias("description"),
+        F.struct(
+            F.lit("silver").alias("lakehouse"), F.lit("sens").alias("schema"), F.col("location_code").alias("table")
+        ).alias("silver_source"),
+        F.struct(F.col("location_code").alias("table")).alias("gold_target"),
+        F.struct(
+            F.lit(None).cast("string").alias("business_key"), F.lit("K").alias("surrogate_key"), F.lit(1).alias("surrogate_start_value")
+        ).alias("keys"),
+        "update_columns",
+        F.slice("update_columns", 1, 2).alias("zorder_columns"),
+        F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("type")).alias("watermark"),
+        F.array().cast("array<struct<business_key_column:string>>").alias("dimension_lookups"),
+        F.array().cast("array<struct<source:string>>").alias("fact_columns"),
+        F.struct(F.lit(False).alias("enabled"), F.array().cast("array<string>").alias("columns")).alias("partitioning"),
+        (F.col("region") != "AFRICA").alias("is_active"),
+    )
+
+
+_SITES = """SELECT location_code AS table_name, department AS column_name,
+    CAST(row_number() OVER (PARTITION BY location_code ORDER BY department) AS INTEGER) AS sort_order
+  FROM (SELECT DISTINCT location_code, department FROM emp_final)"""
+
+
+@query(
+    "catalog_load",
+    f"""SELECT table_name, column_name, sort_order, 'update' AS kind FROM ({_SITES})
+         WHERE table_name NOT IN (SELECT location_code FROM loc WHERE region = 'AFRICA')
+       UNION ALL SELECT table_name, column_name, sort_order, 'cluster' FROM ({_SITES})
+         WHERE sort_order <= 2 AND table_name NOT IN (SELECT location_code FROM loc WHERE region = 'AFRICA')""",
+)
+def catalog_load_(s: Samples, l: Layers) -> DataFrame:
+    """The column lists of the active sites; the packaged catalog is read by the unit tests."""
+    control = catalog_load(site_catalog(s), RUN_1)
+    listed = {"update": control["gold_update_columns"], "cluster": control["gold_zorder_columns"]}
+    sides = [
+        df.join(control["gold_catalog"].select("table_name"), "table_name", "left_semi").select(
+            "table_name", "column_name", "sort_order", F.lit(kind).alias("kind")
+        )
+        for kind, df in listed.items()
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query(
+    "check_catalog",
+    """SELECT DISTINCT location_code AS table_name, lower(department) AS column_name FROM emp_final
+       EXCEPT SELECT location_code, lower(department) FROM emp_final WHERE termination_date IS NOT NULL
+       UNION ALL SELECT table_name, column_name FROM (SELECT location_code AS table_name, department AS column_name,
+         row_number() OVER (PARTITION BY location_code ORDER BY department) AS r
+         FROM (SELECT DISTINCT location_code, department FROM emp_final)) WHERE r <= 2""",
+)
+def check_catalog_(s: Samples, l: Layers) -> DataFrame:
+    """Departments listed in the catalog of sites, against those some employee has left."""
+    left = s.employees().where("termination_date IS NOT NULL").select(
+        F.col("location_code").alias("table_name"), F.lower("department").alias("column_name")
+    )
+    return check_catalog(site_catalog(s), left.distinct())
+
+
 @query(
     "api_status_summary",
     """SELECT event_type AS entity_name, CASE event_id % 4 WHEN 0 THEN 'OK' WHEN 1 THEN 'AUTH' WHEN 2 THEN 'RATE_LIMIT'

@@ -136,6 +136,34 @@ def test_landing_moves_the_watermark_and_the_worklist(spark, rows, warehouse):
     assert pages.agg(F.sum("record_count"), F.count_distinct("ingestion_datetime")).first()[:] == (1, 1)
 
 
+def test_a_strict_load_writes_nothing_it_cannot_key(spark, rows, warehouse):
+    w = warehouse
+    load_pay(w, pay(spark, ("b", 1, 10.0)), DAYS[0])
+    assert w.load_star(DAYS[0], strict=True)[EARN] == "SUCCESS"
+    load_pay(w, pay(spark, ("b", 2, 10.0), ("unknown", 2, 1.0)), DAYS[1])
+    assert w.load_star(DAYS[1], strict=True)[EARN] == "FAILED"
+    assert rows(w.gold(EARN), "PAY_PERIOD_ID") == [(1,)]
+    failed = w.log().where("status = 'FAILED'").collect()
+    assert [r["error_message"] for r in failed] == ["1 rows without a foreign key"]
+    load_people(w, people(spark, "unknown"), DAYS[1])
+    assert w.load_star(DAYS[1], strict=True)[EARN] == "SUCCESS" and w.gold(EARN).count() == 3
+
+
+def test_checks_approve_clean_layers_and_block_broken_ones(spark, rows, warehouse):
+    w = warehouse
+    load_pay(w, pay(spark, ("b", 1, 10.0), ("c", 1, 60000.0)), DAYS[0])
+    w.load_star(DAYS[0])
+    report = w.run_checks(DAYS[0]).first()
+    assert (report["deployment_recommendation"], report["failed"], report["critical_failures"]) == ("APPROVED", 1, 0)
+    load_pay(w, pay(spark, ("unknown", 2, 1.0)), DAYS[1])
+    w.load_star(DAYS[1])
+    report = w.run_checks(DAYS[1]).first()
+    assert (report["deployment_recommendation"], report["critical_failures"]) == ("BLOCKED", 1)
+    kept = spark.read.parquet(w.path("control", "test_results"))
+    assert kept.select("test_run_id").distinct().count() == 2
+    assert rows(kept.where("status = 'FAIL'"), "test_id").count((f"{EARN}: keyed",)) == 1
+
+
 def test_a_failed_table_does_not_stop_the_others(spark, warehouse):
     outcome = warehouse.load_star(DAYS[0])
     assert outcome == {"dwh_dim_employee": "SUCCESS", "dwh_dim_location": "SUCCESS", EARN: "FAILED"}

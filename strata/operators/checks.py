@@ -248,7 +248,9 @@ def check_fact_grain(facts: DataFrame, grain: Sequence[str]) -> DataFrame:
     return check_duplicates(facts, grain)
 
 
-def check_star_columns(facts: DataFrame, columns: Sequence[Mapping], audit: Sequence[str] = tuple(AUDIT_COLUMNS)) -> DataFrame:
+def check_star_columns(
+    facts: DataFrame, columns: Sequence[Mapping], audit: Sequence[str] = tuple(AUDIT_COLUMNS)
+) -> DataFrame:
     """Fact columns that are neither keys, configured dimensions or measures, nor audit columns."""
     allowed = {c["target"] for c in columns if c.get("is_degenerate_dim") or c.get("is_measure")} | set(audit)
     odd = [(c,) for c in facts.columns if c not in allowed and not c.endswith("_KEY")]

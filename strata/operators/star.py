@@ -94,10 +94,6 @@ def merge_dimension_scd1(
     return both.select(*out)
 
 
-def empty_like(spark, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def merge_dimension_scd2(
     history: DataFrame, source: DataFrame, bk: str, tracked: Sequence[str], as_of: str
 ) -> DataFrame:

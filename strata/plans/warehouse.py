@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +30,7 @@ from strata.operators.control import (
     period_worklist,
     watermark_upsert,
 )
+from strata.operators.governance import ARCHIVE_FIRST, RETENTION_DAYS, archive_expired, retention_purge
 from strata.operators.layout import cluster_zorder
 from strata.operators.star import incremental_filter
 from strata.plans.layers import (
@@ -301,6 +303,36 @@ class Warehouse:
         append_rows(stamped, path)
         return check_suite_report(self.spark.read.parquet(path).where(F.col("test_run_id") == run))
 
+    # ---- lifecycle ---------------------------------------------------------------------------
+
+    def apply_retention(self, layer: str, table: str, as_of: str, days: int | None = None) -> int:
+        """Remove a partitioned table's rows past the layer's retention. Returns how many went.
+
+        Where the layer keeps an archive they are written there first, below the day of the run, so
+        that a repeated run overwrites its own copy. Only partitions with expired rows are rewritten.
+        """
+        if layer == "bronze":
+            rows, parts, column, path = self.bronze(table), RAW_PARTITIONS, "ingestion_datetime", "bronze/extracts"
+        elif layer == "silver":
+            rows, parts, column = self.silver(table), [ENTITIES[table].partition], "ingestion_datetime"
+            path = f"silver/{table}"
+        else:
+            rows, parts, column, path = self.gold(table), _partitions(self.config(table)), "LOAD_DATETIME", f"gold/{table}"
+        keep = RETENTION_DAYS[layer] if days is None else days
+        expired = archive_expired(rows, column, as_of, keep)
+        # One row per partition directory: as small as the directory listing.
+        counts = expired.groupBy(*parts).count().collect()
+        if not counts:
+            return 0
+        if ARCHIVE_FIRST[layer]:
+            replace_partitions(expired, f"{self.base}/archive/{path}/{as_of[:10]}", parts)
+        touched = [tuple(r[p] for p in parts) for r in counts]
+        matches = [reduce(Column.__and__, [F.col(p).eqNullSafe(v) for p, v in zip(parts, t, strict=True)]) for t in touched]
+        affected = rows.where(reduce(Column.__or__, matches))
+        with staged(retention_purge(affected, column, as_of, keep), table) as kept:
+            replace_partitions(kept, f"{self.base}/{path}", parts, touched)
+        return sum(r["count"] for r in counts)
+
     # ---- log ---------------------------------------------------------------------------------
 
     def log_events(self) -> DataFrame:

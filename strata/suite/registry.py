@@ -16,7 +16,6 @@ ORACLES: dict[str, str] = {}
 VIEWS: dict[str, str] = {}
 
 FIRST_LOAD_UPTO = 20  # the last period of the first incremental fact load
-CODES = {"fact_earnings": "earning", "fact_deductions": "deduction", "fact_taxes": "tax"}
 STAR = {
     "fact_earnings": "fact_payroll_earnings",
     "fact_deductions": "fact_payroll_deductions",

@@ -164,6 +164,23 @@ def test_checks_approve_clean_layers_and_block_broken_ones(spark, rows, warehous
     assert rows(kept.where("status = 'FAIL'"), "test_id").count((f"{EARN}: keyed",)) == 1
 
 
+def test_retention_archives_and_rewrites_only_expired_partitions(spark, rows, warehouse):
+    w = warehouse
+    for i, at in enumerate(("2022-01-01 00:00:00", "2024-01-01 00:00:00")):
+        w.land(pay(spark, ("b", i + 1, 10.0), ("c", i + 1, 20.0)), "fact_earnings", "pay_period_id", at)
+        w.build_silver("fact_earnings", at, period=i + 1)
+    kept = w.silver("fact_earnings").where("pay_period_id = 2").select("_metadata.file_path").distinct().collect()
+    for gone in (2, 0):
+        assert w.apply_retention("silver", "fact_earnings", "2024-06-01") == gone
+        assert rows(w.silver("fact_earnings"), "employee_number", "pay_period_id") == [("b", 2), ("c", 2)]
+    assert w.silver("fact_earnings").select("_metadata.file_path").distinct().collect() == kept
+    archive = spark.read.parquet(f"{w.base}/archive/silver/fact_earnings/2024-06-01")
+    assert rows(archive, "employee_number", "pay_period_id") == [("b", 1), ("c", 1)]
+    assert w.apply_retention("bronze", "fact_earnings", "2024-03-01") == 1
+    assert [r[0] for r in w.bronze("fact_earnings").select("partition_column").collect()] == ["02"]
+    assert w.bronze("dim_location").count() == 1, "other entities of the raw table stay"
+
+
 def test_a_failed_table_does_not_stop_the_others(spark, warehouse):
     outcome = warehouse.load_star(DAYS[0])
     assert outcome == {"dwh_dim_employee": "SUCCESS", "dwh_dim_location": "SUCCESS", EARN: "FAILED"}

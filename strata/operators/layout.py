@@ -30,17 +30,22 @@ def file_stats(df: DataFrame) -> DataFrame:
 
 
 def compact_files(
-    spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_FILE_BYTES, condition: str | None = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    target_bytes: int = TARGET_FILE_BYTES,
+    condition: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> str:
     """Rewrite the table at ``source`` into ``target`` with files of about ``target_bytes``.
 
-    The scan itself packs small files into read tasks of that size and each task writes one file, so
-    no row is shuffled. ``target`` must differ from ``source``.
+    The scan itself packs small files into read tasks of that size and each task writes one file, or
+    one for each partition it reads, so no row is shuffled. ``target`` must differ from ``source``.
     """
     rows = _packing(spark, target_bytes).read.parquet(source)
     if condition:
         rows = rows.where(condition)
-    rows.write.mode("overwrite").parquet(target)
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
     return target
 
 

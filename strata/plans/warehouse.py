@@ -78,10 +78,19 @@ class Warehouse:
 
     # ---- raw ---------------------------------------------------------------------------------
 
-    def land(self, records: DataFrame, entity: str, period_col: str | None, at: str, run_id: str | None = None) -> int:
+    def land(
+        self,
+        records: DataFrame,
+        entity: str,
+        period_col: str | None,
+        at: str,
+        run_id: str | None = None,
+        periods: Iterable[int] | None = None,
+    ) -> int:
         """Land records, replacing the (partition, entity) pairs they belong to. Returns their number.
 
-        The watermark of a periodic entity moves after the write, and never back.
+        ``periods`` names the periods that were extracted; one without records is emptied. The
+        watermark of a periodic entity moves after the write, and never back.
         """
         seen = Observation()
         rows = bronze_envelope(records, entity, period_col, ingested_at=at, run_id=run_id).observe(
@@ -89,7 +98,8 @@ class Warehouse:
             F.coalesce(F.sum("record_count"), F.lit(0)).alias("records"),
             F.max(F.expr("try_cast(partition_column AS INT)")).alias("period"),
         )
-        replace_partitions(rows, self.path("bronze", "extracts"), RAW_PARTITIONS)
+        targets = None if periods is None else [(f"{p:02d}", entity) for p in periods]
+        replace_partitions(rows, self.path("bronze", "extracts"), RAW_PARTITIONS, targets)
         landed = seen.get
         if landed["period"] is not None:
             self._move_watermark(entity, period_col, landed["period"], landed["records"], at)

@@ -26,7 +26,7 @@ STAR = {
 class Layers:
     """The warehouse of one data directory; each table is loaded when a query first needs it.
 
-    Dimensions are loaded twice, as known on EARLY and on FINAL. Facts are loaded in two increments.
+    Employees are loaded twice, as known on EARLY and on FINAL. Facts are loaded in two increments.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -43,14 +43,15 @@ class Layers:
     def _dimensions(self) -> None:
         if not self._first_time("dimensions"):
             return
-        w = self.warehouse
+        self._load(self.samples.location_records(), "dim_location", "dwh_dim_location", EARLY)
         for day in (EARLY, FINAL):
-            at = f"{day} 06:00:00"
-            w.land(self.samples.employee_records(day), "dim_employee", None, at)
-            w.land(self.samples.location_records(), "dim_location", None, at)
-            for entity, table in (("dim_employee", "dwh_dim_employee"), ("dim_location", "dwh_dim_location")):
-                w.build_silver(entity, at)
-                w.load_dimension(table, at)
+            self._load(self.samples.employee_records(day), "dim_employee", "dwh_dim_employee", day)
+
+    def _load(self, records: DataFrame, entity: str, table: str, day: str) -> None:
+        at = f"{day} 06:00:00"
+        self.warehouse.land(records, entity, None, at)
+        self.warehouse.build_silver(entity, at)
+        self.warehouse.load_dimension(table, at)
 
     def bronze(self, entity: str, partition: str | int | None = None) -> DataFrame:
         if entity.startswith("dim"):

@@ -9,6 +9,7 @@ from strata.operators import typing as t
 from strata.operators.governance import PII_PATTERNS
 from strata.plans.layers import ENTITIES, flagged_records
 from strata.plans.layers import silver as silver_table
+from strata.sources.landing import bronze_envelope
 from strata.suite.raw import EVENT_FIELDS, RUN_1, event_pages
 from strata.suite.registry import Layers, query
 from strata.suite.samples import EARLY, FINAL, LOADED_AT, Samples
@@ -68,7 +69,10 @@ def typed_cast(s: Samples, l: Layers) -> DataFrame:
 
 @query("detect_new_columns")
 def detect_new_columns(s: Samples, l: Layers) -> DataFrame:
-    new = t.detect_new_columns(s.employees().schema, s.employee_records().schema)
+    """Employees extracted with two more columns, against the columns of the typed table."""
+    pages = bronze_envelope(s.employees(), "dim_employee", None, ingested_at=LOADED_AT)
+    typed = l.silver("dim_employee").schema
+    new = t.detect_new_columns(t.infer_payload_schema(pages), typed)
     return s.spark.createDataFrame(new, "column_name STRING, data_type STRING")
 
 

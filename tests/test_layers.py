@@ -134,6 +134,8 @@ def test_landing_moves_the_watermark_and_the_worklist(spark, rows, warehouse):
     assert (mark["last_processed_value"], mark["records_ingested"], mark["created_at"].day) == ("2", 1, 10)
     pages = w.bronze("fact_earnings", 1)
     assert pages.agg(F.sum("record_count"), F.count_distinct("ingestion_datetime")).first()[:] == (1, 1)
+    w.land(pay(spark).limit(0), "fact_earnings", "pay_period_id", DAYS[1], periods=[1])
+    assert w.bronze("fact_earnings", 1).count() == 0 and w.bronze("fact_earnings", 2).count() == 1
 
 
 def test_a_strict_load_writes_nothing_it_cannot_key(spark, rows, warehouse):
@@ -248,6 +250,14 @@ def test_compaction(spark, tmp_path):
     assert [(s["file_count"], s["row_count"]) for s in stats] == [(20, 1000), (1, 1000)]
 
 
+def test_compaction_keeps_partitions(spark, rows, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    df = spark.range(100).select("id", (F.col("id") % 2).cast("int").alias("p"))
+    df.repartition(6).write.partitionBy("p").parquet(source)
+    layout.compact_files(spark, source, target, partition_by=["p"])
+    assert (tmp_path / "t" / "p=1").is_dir() and rows(spark.read.parquet(target), "id", "p") == rows(df)
+
+
 def test_compact_one_partition(spark, tmp_path):
     path = str(tmp_path / "p")
     df = spark.range(100).select("id", (F.col("id") % 2).alias("p"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
@@ -49,10 +50,12 @@ from strata.sources.tables import (
     append_rows,
     overwrite_snapshot,
     path_exists,
+    read_note,
     read_snapshot,
     replace_partitions,
     snapshot_exists,
     snapshot_folder,
+    write_note,
 )
 
 
@@ -157,8 +160,7 @@ class Warehouse:
         else:
             targets = None if period is None else [(period,)]
             replace_partitions(rows, self.path("silver", name), [entity.partition], targets)
-        if new or not snapshot_exists(self.spark, self.path("control", f"columns/{name}")):
-            self._store_schema(name, rows, {*extra, *new})
+        self._store_schema(name, rows, {**extra, **new})
         return list(new)
 
     def silver(self, name: str) -> DataFrame:
@@ -169,25 +171,22 @@ class Warehouse:
         return reader.parquet(self.path("silver", name))
 
     def added_columns(self, name: str) -> dict[str, str]:
-        """Columns the typed table gained beyond the declared ones."""
-        if not snapshot_exists(self.spark, self.path("control", f"columns/{name}")):
-            return {}
-        rows = self._columns(name).where("added").collect()
-        return {r["column_name"]: r["data_type"] for r in rows}
-
-    def _columns(self, name: str) -> DataFrame:
-        return read_snapshot(self.spark, self.path("control", f"columns/{name}")).orderBy("position")
+        """Columns the typed table gained beyond the declared ones, with their types."""
+        note = read_note(self.spark, self._schema_note(name))
+        return json.loads(note)["added"] if note else {}
 
     def _stored_schema(self, name: str) -> StructType:
-        rows = self._columns(name).collect()
-        return StructType.fromDDL(", ".join(f"`{r['column_name']}` {r['data_type']}" for r in rows))
-
-    def _store_schema(self, name: str, rows: DataFrame, added: set[str]) -> None:
-        data = [
-            (i, f.name, f.dataType.simpleString(), f.name in added) for i, f in enumerate(rows.schema.fields)
-        ]
-        table = self.spark.createDataFrame(data, "position INT, column_name STRING, data_type STRING, added BOOLEAN")
-        overwrite_snapshot(table, self.path("control", f"columns/{name}"))
+        note = read_note(self.spark, self._schema_note(name))
+        if note is None:
+            raise FileNotFoundError(f"typed table {name} was not built yet")
+        return StructType.fromJson(json.loads(note)["schema"])
+
+    def _store_schema(self, name: str, rows: DataFrame, added: dict[str, str]) -> None:
+        note = {"schema": rows.schema.jsonValue(), "added": added}
+        write_note(self.spark, self._schema_note(name), json.dumps(note))
+
+    def _schema_note(self, name: str) -> str:
+        return self.path("control", f"schemas/{name}.json")
 
     # ---- star --------------------------------------------------------------------------------
 

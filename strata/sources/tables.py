@@ -91,6 +91,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text next to a table, such as its schema."""
+    fs, where = file_system(spark, path)
+    out = fs.create(where, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    fs, where = file_system(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, where = file_system(spark, path)
     if fs.exists(where):

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from strata.operators import quality as q
 from strata.operators.star import fk_lookup, incremental_filter, merge_dimension_scd1
@@ -168,8 +168,18 @@ def silver(bronze: DataFrame, entity: Entity, as_of: str, run_id: str = "silver"
     return q.add_audit_columns(q.dedup_latest(good, entity.keys, entity.order), run_id, as_of)
 
 
-def empty_dimension(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], GOLD_DIMENSIONS[table])
+def empty_dimension(
+    spark: SparkSession, table: str, config: TableConfig | None = None, typed_schema: StructType | None = None
+) -> DataFrame:
+    """A star dimension without rows. One that is not declared here takes its keys and update columns
+    from the catalog and their types from the typed table."""
+    if table in GOLD_DIMENSIONS:
+        return spark.createDataFrame([], GOLD_DIMENSIONS[table])
+    types = {f.name.upper(): f.dataType for f in typed_schema.fields}
+    wanted = [c for c in [config.business_key, *config.update_columns] if c in types]
+    audit = StructType.fromDDL("IS_CURRENT BOOLEAN, CREATED_AT TIMESTAMP, UPDATED_AT TIMESTAMP").fields
+    fields = [StructField(config.surrogate_key, IntegerType()), *[StructField(c, types[c]) for c in wanted]]
+    return spark.createDataFrame([], StructType([*fields, *[f for f in audit if f.name not in wanted]]))
 
 
 def gold_dimension(target: DataFrame, typed_rows: DataFrame, config: TableConfig, as_of: str) -> DataFrame:

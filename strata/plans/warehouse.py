@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,6 +36,7 @@ from strata.operators.layout import cluster_zorder
 from strata.operators.star import incremental_filter
 from strata.plans.layers import (
     ENTITIES,
+    Entity,
     empty_dimension,
     gold_dimension,
     gold_fact,
@@ -71,10 +72,19 @@ class Warehouse:
       source_system STRING, pipeline_run_id STRING, created_at TIMESTAMP,
       partition_column STRING, entity_name STRING"""
 
-    def __init__(self, spark: SparkSession, base: str, configs: list[TableConfig] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        base: str,
+        configs: list[TableConfig] | None = None,
+        entities: Mapping[str, Entity] | None = None,
+    ):
+        """``configs`` and ``entities`` default to the packaged catalog and typed tables; further
+        tables need an entry in each and no code."""
         self.spark = spark
         self.base = base.rstrip("/")
         self.configs = configs or table_configs(read_catalog(spark))
+        self.entities = entities or ENTITIES
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
@@ -149,7 +159,7 @@ class Warehouse:
         returned; rows written before hold NULL in them. Looking for them reads the payloads once
         more, so leave it out where the source's columns are fixed.
         """
-        entity = ENTITIES[name]
+        entity = self.entities[name]
         partition = FULL_LOAD if entity.partition is None else period
         raw = self.bronze(name, partition)
         extra = self.added_columns(name)
@@ -166,7 +176,7 @@ class Warehouse:
     def silver(self, name: str) -> DataFrame:
         # The stored schema, because files written before a column was added lack it.
         reader = self.spark.read.schema(self._stored_schema(name))
-        if ENTITIES[name].partition is None:
+        if self.entities[name].partition is None:
             return reader.parquet(snapshot_folder(self.spark, self.path("silver", name)))
         return reader.parquet(self.path("silver", name))
 
@@ -198,7 +208,7 @@ class Warehouse:
         if snapshot_exists(self.spark, base):
             target = read_snapshot(self.spark, base)
         else:
-            target = empty_dimension(self.spark, table)
+            target = empty_dimension(self.spark, table, config, self.silver(config.source).schema)
         overwrite_snapshot(gold_dimension(target, self.silver(config.source), config, as_of), base)
 
     def load_fact(
@@ -285,7 +295,7 @@ class Warehouse:
         found: dict[str, tuple[str, DataFrame]] = {}
         for c in self.configs:
             rows, source = self.gold(c.table_name), self.silver(c.source)
-            found[f"{c.source}: unique"] = ("HIGH", check_duplicates(source, ENTITIES[c.source].keys))
+            found[f"{c.source}: unique"] = ("HIGH", check_duplicates(source, self.entities[c.source].keys))
             if c.table_type == "DIMENSION":
                 found[f"{c.table_name}: unique"] = ("HIGH", check_key_uniqueness(rows, [c.surrogate_key, c.business_key]))
                 continue
@@ -303,7 +313,7 @@ class Warehouse:
                     source, rows, (c.watermark_column, period), (measure["source"], measure["target"])
                 ),
             )
-            odd = check_amount_rule(source, measure["source"], ENTITIES[c.source].keys)
+            odd = check_amount_rule(source, measure["source"], self.entities[c.source].keys)
             found[f"{c.source}: amounts"] = ("MEDIUM", odd)
         run, path = uuid.uuid4().hex, self.path("control", "test_results")
         stamped = check_results(found).withColumns(
@@ -323,7 +333,7 @@ class Warehouse:
         if layer == "bronze":
             rows, parts, column, path = self.bronze(table), RAW_PARTITIONS, "ingestion_datetime", "bronze/extracts"
         elif layer == "silver":
-            rows, parts, column = self.silver(table), [ENTITIES[table].partition], "ingestion_datetime"
+            rows, parts, column = self.silver(table), [self.entities[table].partition], "ingestion_datetime"
             path = f"silver/{table}"
         else:
             rows, parts, column, path = self.gold(table), _partitions(self.config(table)), "LOAD_DATETIME", f"gold/{table}"

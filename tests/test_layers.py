@@ -2,6 +2,7 @@
 
 import dataclasses
 import datetime
+import json
 from decimal import Decimal
 
 import pytest
@@ -183,6 +184,24 @@ def test_retention_archives_and_rewrites_only_expired_partitions(spark, rows, wa
     assert w.bronze("dim_location").count() == 1, "other entities of the raw table stay"
 
 
+def test_a_new_dimension_needs_a_catalog_entry_and_no_code(spark, rows, tmp_path):
+    entry = {
+        "table_name": "dwh_dim_project", "table_type": "DIMENSION", "silver_source": {"table": "dim_project"},
+        "keys": {"business_key": "PROJECT_CODE", "surrogate_key": "PROJECT_KEY", "surrogate_start_value": 100},
+        "update_columns": ["BUDGET"], "is_active": True,
+    }
+    (tmp_path / "c.json").write_text(json.dumps([entry]))
+    entity = Entity("dim_project", {"project_code": "string", "budget": "decimal(10,2)"}, ["project_code"])
+    configs = table_configs(read_catalog(spark, [str(tmp_path / "c.json")]))
+    w = Warehouse(spark, str(tmp_path / "w"), configs, {"dim_project": entity})
+    for at, data in ((DAYS[0], [("b", "1.5")]), (DAYS[1], [("a", "2"), ("b", "3")])):
+        w.land(spark.createDataFrame(data, "project_code STRING, budget STRING"), "dim_project", None, at)
+        w.build_silver("dim_project", at)
+        assert w.load_star(at) == {"dwh_dim_project": "SUCCESS"}
+    got = rows(w.gold("dwh_dim_project"), "PROJECT_CODE", "PROJECT_KEY", "BUDGET", "IS_CURRENT")
+    assert got == [("a", 101, Decimal("2.00"), True), ("b", 100, Decimal("3.00"), True)]
+
+
 def test_a_failed_table_does_not_stop_the_others(spark, warehouse):
     outcome = warehouse.load_star(DAYS[0])
     assert outcome == {"dwh_dim_employee": "SUCCESS", "dwh_dim_location": "SUCCESS", EARN: "FAILED"}

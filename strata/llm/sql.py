@@ -17,7 +17,7 @@ ORACLES = {
             SELECT doc_id, {WORDS.format(LOWER)} AS w FROM documents
         ), shingled AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-                ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i : i + 3], ' '))))
+                ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))))
                 END AS s
             FROM split
         ), sets AS (

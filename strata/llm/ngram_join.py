@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.links import components
-from strata.llm.text import WORD, WordHashes, free_name, map_rows, mixed, shingle_hashes, text_bytes, words
+from strata.llm.text import WORD, WordHashes, free_name, importable, map_rows, mixed, row_batch, rows_of, shingle_hashes, text_bytes, words
 from strata.operators.skew import flag_join, lookup_join
 from strata.session import stored
 
@@ -51,7 +51,8 @@ EXACT, SHORTER, LEFT_OUT = 0, 1, 2
 KIND = 60  # bit at which a row's kind starts, above the set's number
 PARITY, DELETING = 1, 2  # lowest bits of a key: the band's parity; whether its band has one-deletion segments only
 SALT_A, SALT_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
-BATCH_KEYS = 1_000_000
+BATCH_KEYS = 400_000
+SHORT_OF_SEGMENTS = -1
 
 
 class Bands:
@@ -126,7 +127,9 @@ def set_keys(found: np.ndarray, bands: Bands, costly: set[int] | None = None) ->
             continue
         yield whole[~out], EXACT
         strong = int((~out & (sizes > 1)).sum())
-        yield np.concatenate([whole[out], nothing]), LEFT_OUT if left_out - spare <= strong else EXACT
+        yield np.concatenate([whole[out], nothing]), LEFT_OUT
+        if left_out - spare > strong:
+            yield np.concatenate([whole[out], nothing]), EXACT
 
 
 def met(kind: int, other: int) -> bool:
@@ -156,15 +159,12 @@ def sets_of(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
 ROWS = "key bigint, head bigint, member bigint"
 
 
-def row_batch(key: np.ndarray, head: np.ndarray, member: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (key, head, member)], ["key", "head", "member"])
-
-
 def index_rows(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """(key, head, member) of the sets of ``texts`` (set, data[, costly]).
 
     Within a batch, rows of a key are led by its first whole segment: ``head`` is then that row and
-    differs from ``member`` in the others. ``member`` is the set's number with the kind above it.
+    differs from ``member`` in the others. ``member`` is the set's number with the kind above it. A set
+    that has to leave out too many empty segments gives a row with the head SHORT_OF_SEGMENTS as well.
     """
     columns = [c for c in ("set", "data", "costly") if c in texts.columns]
 
@@ -178,21 +178,25 @@ def index_rows(texts: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches):
         hashes, bands = WordHashes(), Bands(percent)
-        keys, members, size = [], [], 0
-        for batch in batches:
-            for number, data, *costly in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = np.unique(shingle_hashes(hashes(words(data.lower())), width))
-                for made, kind in set_keys(found, bands, set(costly[0] or ()) if costly else None):
-                    keys.append(made)
-                    members.append(np.full(len(made), number | kind << KIND, np.int64))
-                    size += len(made)
-                if size > BATCH_KEYS:
-                    yield led(keys, members)
-                    keys, members, size = [], [], 0
+        keys, members, short, size = [], [], [], 0
+        for number, data, *costly in rows_of(batches):
+            found = np.unique(shingle_hashes(hashes(words(data.lower())), width))
+            for made, kind in set_keys(found, bands, set(costly[0] or ()) if costly else None):
+                keys.append(made)
+                members.append(np.full(len(made), number | kind << KIND, np.int64))
+                size += len(made)
+                if kind == LEFT_OUT and not costly:
+                    short.append(number)
+            if size > BATCH_KEYS:
+                yield led(keys, members)
+                keys, members, size = [], [], 0
         if size:
             yield led(keys, members)
+        if short:
+            number = np.unique(np.array(short, np.int64))
+            yield row_batch(number, np.full(len(number), SHORT_OF_SEGMENTS), number)
 
-    return texts.select(*columns).mapInArrow(run, ROWS)
+    return importable(texts).select(*columns).mapInArrow(run, ROWS)
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -221,7 +225,7 @@ def grouped(rows: DataFrame) -> DataFrame:
                 yield row_batch(key[keep], heads[keep], member[keep])
 
     leads = F.col("head") == F.col("member")
-    met = rows.repartition(F.when(leads, F.col("key")).otherwise(F.xxhash64("key", "member")))
+    met = importable(rows).repartition(F.when(leads, F.col("key")).otherwise(F.xxhash64("key", "member")))
     return met.sortWithinPartitions("key", "member").mapInArrow(run, ROWS)
 
 
@@ -288,7 +292,8 @@ def wanted_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between sets that give the components of all similar pairs."""
-    groups = stored(grouped(index_rows(texts, width, percent)), "groups")
+    found = stored(grouped(index_rows(texts, width, percent)), "groups")
+    groups = found.where(F.col("head") != SHORT_OF_SEGMENTS)
     star = groups.select(number_of("head").alias("a"), number_of("member").alias("b")).where("a <> b")
     star = stored(sized(star, classes, percent), "star")
     links = stored(similar(star, wanted_texts(texts, star), width, percent), "links")
@@ -311,26 +316,28 @@ def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int)
     links = links.union(checked(paired(placed.where("not costly")), texts, classes, done, width, percent))
     dear = placed.where("costly")
     if not dear.isEmpty():
-        links = links.union(hard_links(dear, texts, classes, done, width, percent))
+        short = found.where(F.col("head") == SHORT_OF_SEGMENTS).select(F.col("member").alias("set")).distinct()
+        links = links.union(hard_links(dear, short, links, texts, classes, done, width, percent))
     return links
 
 
 def hard_links(
-    dear: DataFrame, texts: DataFrame, classes: DataFrame, done: DataFrame, width: int, percent: int
+    dear: DataFrame, short: DataFrame, links: DataFrame, texts: DataFrame, classes: DataFrame, done: DataFrame,
+    width: int, percent: int,
 ) -> DataFrame:
     """Links between sets that have to leave out more than they may, because of costly keys.
 
     Any other set finds its partners by what it keeps. These are indexed once more, without the
     costly contents and with as many one-deletion segments as that takes.
     """
-    short = index_rows(texts, width, percent).where(F.shiftright("member", KIND) != EXACT)
-    short = short.where(F.col("key").bitwiseAND(F.lit(DELETING)) == 0).select(number_of("member").alias("set")).distinct()
     over = dear.where(F.col("kind") == EXACT).select("set", "key").union(short.select("set", F.lit(None).cast("long")))
     over = stored(over.groupBy("set").agg(F.collect_set("key").alias("costly")), "hard")
     hard = lookup_join(texts, over, [("set", "set")], ["costly"]).where("costly is not null")
-    rows = index_rows(hard, width, percent).select("key", "member").distinct()
-    placed = rows.select("key", number_of("member").alias("set"), F.shiftright("member", KIND).alias("kind"))
-    return checked(paired(placed.withColumn("root", F.col("set"))), texts, classes, done, width, percent)
+    rows = index_rows(hard, width, percent).where(F.col("head") != SHORT_OF_SEGMENTS).select("key", "member").distinct()
+    rows = rows.withColumn("set", number_of("member"))
+    placed = lookup_join(stored(rows, "hard-index"), roots_of(links), [("set", "set")], ["root"])
+    placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
+    return checked(paired(placed), texts, classes, done, width, percent)
 
 
 def paired(placed: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.text import free_name, text_bytes, words
+from strata.llm.text import free_name, importable, text_bytes, words
 from strata.operators.skew import lookup_join
 from strata.session import stored
 
@@ -137,7 +137,7 @@ def group_key(name: str) -> Column:
 
 def sketch_of(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The sketches: lang and source keys, measure, value, n."""
-    counted = docs.select(
+    counted = importable(docs).select(
         group_key(lang).alias("lang"), group_key(source).alias("source"), text_counts(text_bytes(text)).alias("stats")
     )
     values = F.array(*[

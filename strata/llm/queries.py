@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, sharding, token_files
+from strata.llm import bpe, exact_dedup, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, token_files
 from strata.llm.sql import ORACLES
 from strata.session import scratch_path
 
@@ -49,6 +49,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *[f"{verdict}.{c}" for c in columns])
 
 
+@query
+def op3_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, by a machine fitted without the held-out rows."""
+    docs = documents(spark, sf_dir)
+    model = quality_fm.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_fm.scored(docs, model).select(
+        "doc_id", quality_fm.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of more than 50 words that repeat across documents, and whether they are removed."""
+    return passages.repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "start", "end", "n_words", "cluster", "removed"
+    )
+
+
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position, length and checksum of each document's ids, as read back from the files."""
@@ -57,6 +76,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_tokens(spark, path))
 
 
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, the digest of the base spans, and all spans of each document."""
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.train(docs))
+    counts = [
+        F.size(F.filter("base", lambda s, k=kind: s.startswith(f"{k}:"))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    return found.select("doc_id", *counts, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), "spans")
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for each document."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +81,25 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """``df``, once Python workers that share this machine's folders find this package where the driver did.
+
+    Elsewhere it has to be installed, like any library that tasks import.
+    """
+    environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return df
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple]:
+    """The rows of Arrow batches as Python values, a few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield from zip(*(c.to_pylist() for c in batch.slice(start, step).columns), strict=True)
+
+
 def map_rows(
     df: DataFrame, schema: str, work: Callable[[], Callable[..., tuple | Iterator[tuple] | None]], many: bool = False
 ) -> DataFrame:
@@ -94,18 +115,17 @@ def map_rows(
 
         arrow, each = to_arrow_schema(target), work()
         held, size = [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for out in each(*row) if many else (each(*row),):
-                    held.append(out)
-                    size += 32 + sum(len(v) * 4 for v in out if isinstance(v, (bytes, str, list, np.ndarray)))
-                if size > OUT_BYTES:
-                    yield as_batch(held, arrow)
-                    held, size = [], 0
+        for row in rows_of(batches):
+            for out in each(*row) if many else (each(*row),):
+                held.append(out)
+                size += 32 + sum(len(v) * 4 for v in out if isinstance(v, (bytes, str, list, np.ndarray)))
+            if size > OUT_BYTES:
+                yield as_batch(held, arrow)
+                held, size = [], 0
         if held:
             yield as_batch(held, arrow)
 
-    return df.mapInArrow(run, target)
+    return importable(df).mapInArrow(run, target)
 
 
 def as_batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -119,3 +139,7 @@ def as_batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
         for field, values in zip(schema, map(list, zip(*rows, strict=True)), strict=True)
     ]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def row_batch(key: np.ndarray, head: np.ndarray, member: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (key, head, member)], ["key", "head", "member"])

@@ -81,10 +81,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, the digest of the base spans, and all spans of each document."""
     docs = documents(spark, sf_dir)
     found = pii.find(docs, pii.train(docs))
-    counts = [
-        F.size(F.filter("base", lambda s, k=kind: s.startswith(f"{k}:"))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
-    ]
-    return found.select("doc_id", *counts, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), "spans")
+    def count(kind):
+        return F.size(F.filter("base", lambda span: span.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), "spans")
 
 
 @query

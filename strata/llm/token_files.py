@@ -16,17 +16,20 @@ are repeated are encoded as often; their order among themselves goes by content.
 
 from __future__ import annotations
 
+import functools
 import math
 import os
 import re
 import zlib
-from itertools import chain
+from array import array
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.text import map_rows
+from strata.llm.text import importable, map_rows
 from strata.operators.skew import lookup_join
 
 FILE_BYTES = 64 << 20
@@ -35,7 +38,7 @@ PAGE_BYTES = 256 << 10
 
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 UNSAFE = re.compile(r"\s\s|\s\Z")
-SHORT, MOST = 100, 300_000
+SHORT, MOST = 64, 250_000
 
 
 class Encoder:
@@ -43,7 +46,8 @@ class Encoder:
 
     Byte-level BPE merges inside the matches of its pattern only, and no match spans a space between
     two other characters. So a text is the sum of its words, each with the space before it, and the
-    library sees a word once as long as the bounded table holds it.
+    library sees a word once as long as one of two bounded tables holds it; the older is dropped when
+    the newer is full, and what is still in use moves over.
     """
 
     def __init__(self, path: str):
@@ -52,21 +56,34 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [array("i", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str, end: int) -> np.ndarray:
-        first, *rest = (SAFE.split if UNSAFE.search(text) else lambda t: t.split(" "))(text)
-        known = self._known
-        if len(known) > MOST:
-            known.clear()
-        new = list(set(rest).difference(known))
-        found = dict(zip(new, self._encoded([f" {w}" for w in new]), strict=True)) if new else {}
-        known.update((w, ids) for w, ids in found.items() if len(w) <= SHORT)
-        ids = (found[w] if w in found else known[w] for w in rest) if found else map(known.__getitem__, rest)
-        return np.fromiter(chain(self._encoded([first])[0], chain.from_iterable(ids), (end,)), np.int32)
+        first, *rest = SAFE.split(text) if UNSAFE.search(text) else text.split(" ")
+        if len(self._known) > MOST:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        new = set(rest).difference(known)
+        if new:
+            kept = new.intersection(older)
+            known.update((w, older[w]) for w in kept)
+            unseen = list(new.difference(kept))
+            known.update(zip(unseen, self._encoded([f" {w}" for w in unseen]), strict=True))
+        ids = b"".join([*self._encoded([first]), *map(known.__getitem__, rest), array("i", [end]).tobytes()])
+        for word in new:
+            if len(word) > SHORT:
+                del known[word]
+        return np.frombuffer(ids, np.int32)
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a file; a worker keeps it, with its tables, from task to task."""
+    return Encoder(path)
 
 
 def write_tokens(
@@ -86,7 +103,7 @@ def write_tokens(
     )
 
     def work():
-        encoder, at = Encoder(tokenizer), 0
+        encoder, at = encoder_of(tokenizer), 0
 
         def one(key, data):
             nonlocal at
@@ -123,10 +140,13 @@ def read_tokens(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame
 def token_checksums(tokens: DataFrame, id: str = "doc_id") -> DataFrame:
     """``tokens`` with ids_crc32 in place of the ids: of their little-endian 32-bit numbers."""
 
-    def work():
-        return lambda key, start, n, ids: (key, start, n, zlib.crc32(np.array(ids, "<u4").tobytes()))
+    def run(batches):
+        for batch in batches:
+            key, start, n, ids = batch.columns
+            values, bounds = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
+            sums = [zlib.crc32(values[a:b].tobytes()) for a, b in pairwise(bounds)]
+            yield pa.RecordBatch.from_arrays([key, start, n, pa.array(sums, pa.int64())], [id, "start", "n_tokens", "ids_crc32"])
 
-    return map_rows(
-        tokens.select(id, "start", "n_tokens", "token_ids"),
-        f"`{id}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint", work,
+    return importable(tokens).select(id, "start", "n_tokens", "token_ids").mapInArrow(
+        run, f"`{id}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )

@@ -280,6 +280,8 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Field:
     """A field fitted on at most ``sample`` texts with digits or an @, chosen by a hash of their content."""
     texts = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"))
     mark = F.xxhash64(F.lit(SEED), "text")
+    some = max(1, texts.count() // sample)  # a hash keeps about the bound, before anything meets
+    texts = texts.where(F.pmod(mark, F.lit(some)) == 0)
     chosen = texts.select(mark.alias("mark"), "text").orderBy("mark").limit(sample)
     near = F.regexp_extract_all("text", F.lit(r"([^\n]{0,100}(?:@|[0-9]{3})[^\n]{0,200})"), F.lit(1))
     rows = chosen.select("mark", F.slice(near, 1, 6).alias("parts")).collect()

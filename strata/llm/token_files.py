@@ -69,9 +69,8 @@ class Encoder:
         known, older = self._known, self._older
         new = set(rest).difference(known)
         if new:
-            kept = new.intersection(older)
-            known.update((w, older[w]) for w in kept)
-            unseen = list(new.difference(kept))
+            known.update([(w, older[w]) for w in new if w in older])
+            unseen = [w for w in new if w not in older]
             known.update(zip(unseen, self._encoded([f" {w}" for w in unseen]), strict=True))
         ids = b"".join([*self._encoded([first]), *map(known.__getitem__, rest), array("i", [end]).tobytes()])
         for word in new:

@@ -233,40 +233,43 @@ def number_of(column: str):
     return F.col(column).bitwiseAND(F.lit((1 << KIND) - 1))
 
 
+def exactly_similar(left: list[bytes], right: list[bytes], width: int, percent: int) -> bool:
+    """Whether the shingle sets of two word lists are similar, by the words themselves."""
+    if min(len(left), len(right)) < width:
+        return left == right
+    x, y = ({tuple(found[k : k + width]) for k in range(len(found) - width + 1)} for found in (left, right))
+    both = len(x & y)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets whose texts are similar, by exact comparison of their shingles."""
+    """Pairs (a, b) of sets whose texts are similar.
 
-    def work():
-        def shingles(found, number):
-            ids = np.fromiter((number.setdefault(w, len(number)) for w in found), np.int64, len(found))
-            return ids
+    Rows come by ``a``, whose hashes are kept from row to row. Equal shingles have equal hashes, so a pair
+    that fails by its hashes fails; the others are compared by their words.
+    """
 
-        def rank(rows):
-            return np.unique(rows, axis=0, return_inverse=True)[1].reshape(-1)
+    def work():
+        hashes, last = WordHashes(), (None, None, None)
 
         def one(a, b, left, right):
-            number: dict[bytes, int] = {}
-            x, y = (shingles(words(t.lower()), number) for t in (left, right))
-            if min(len(x), len(y)) < width:
-                alike = np.array_equal(x, y)
-            else:
-                runs = [np.stack([v[k : len(v) - width + 1 + k] for k in range(width)], 1) for v in (x, y)]
-                if len(number) < 1 << (63 // width):
-                    shift = 63 // width
-                    p, q = (np.unique((r << (shift * np.arange(width))).sum(1)) for r in runs)
-                else:
-                    ranks = rank(np.concatenate(runs))
-                    p, q = np.unique(ranks[: len(runs[0])]), np.unique(ranks[len(runs[0]) :])
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                alike = 100 * both >= percent * (len(p) + len(q) - both)
-            if alike:
+            nonlocal last
+            if a != last[0]:
+                found = words(left.lower())
+                last = (a, found, np.unique(shingle_hashes(hashes(found), width)))
+            other = words(right.lower())
+            x, y = last[2], np.unique(shingle_hashes(hashes(other), width))
+            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                return
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both) and exactly_similar(last[1], other, width, percent):
                 yield a, b
 
         return one
 
     left = texts.select(F.col("set").alias("a"), F.col("data").alias("left"))
     right = texts.select(F.col("set").alias("b"), F.col("data").alias("right"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
     return map_rows(met, "a bigint, b bigint", work, many=True)
 
 
@@ -341,8 +344,15 @@ def hard_links(
 
 
 def paired(placed: DataFrame) -> DataFrame:
-    """Pairs of members of one key that are in different components, as their kinds allow."""
-    one = placed.select("key", F.col("set").alias("a"), F.col("kind").alias("kind_a"), F.col("root").alias("root_a"))
+    """Pairs of members of one key that are in different components, as their kinds allow.
+
+    One of each such pair is outside of the key's largest component. So those outside meet all, and
+    the members of a large group of copies never meet each other.
+    """
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("largest"))
+    outside = placed.join(largest.select("key", F.col("largest.root").alias("most")), "key").where("root <> most")
+    one = outside.select("key", F.col("set").alias("a"), F.col("kind").alias("kind_a"), F.col("root").alias("root_a"))
     two = placed.select("key", F.col("set").alias("b"), F.col("kind").alias("kind_b"), F.col("root").alias("root_b"))
     kinds = F.lit(False)
     for x in (EXACT, SHORTER, LEFT_OUT):

@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
 OUT_BYTES = 8 << 20
+BATCH_BYTES = 8 << 20
+SPARK_BATCH = "67108864b"  # Spark's default
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -51,7 +53,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, kept while they fit a bounded table."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         import xxhash
 
         self._one, self._known, self._most = xxhash.xxh3_64_intdigest, {}, most
@@ -84,8 +86,12 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 def importable(df: DataFrame) -> DataFrame:
     """``df``, once Python workers that share this machine's folders find this package where the driver did.
 
-    Elsewhere it has to be installed, like any library that tasks import.
+    Elsewhere it has to be installed, like any library that tasks import. Texts go to Python in batches
+    of ``BATCH_BYTES``, unless the session has set a size of its own, so a worker's memory stays small.
     """
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(size) == SPARK_BATCH:
+        df.sparkSession.conf.set(size, str(BATCH_BYTES))
     environment, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:

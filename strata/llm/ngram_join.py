@@ -52,6 +52,7 @@ KIND = 60  # bit at which a row's kind starts, above the set's number
 PARITY, DELETING = 1, 2  # lowest bits of a key: the band's parity; whether its band has one-deletion segments only
 SALT_A, SALT_B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 BATCH_KEYS = 400_000
+PARITY_BITS = 512
 SHORT_OF_SEGMENTS = -1
 
 
@@ -138,7 +139,10 @@ def met(kind: int, other: int) -> bool:
 
 
 def sets_of(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, and two independent 64-bit sums over the set, by row of ``docs``."""
+    """doc_id, text_hash, n_shingles, two independent 64-bit sums over the set, and its parity, by row of ``docs``.
+
+    The parity tells for each of PARITY_BITS slots whether an odd number of shingles hashes to it.
+    """
 
     def work():
         hashes = WordHashes()
@@ -146,13 +150,14 @@ def sets_of(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
         def one(key, mark, data):
             found = np.unique(shingle_hashes(hashes(words(data.lower())), width))
             sums = [int(mixed(found ^ salt).sum(dtype=np.uint64).view(np.int64)) for salt in (SALT_A, SALT_B)]
-            return key, mark, len(found), *sums
+            odd = np.bincount((mixed(found ^ SALT_A) >> np.uint64(8)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+            return key, mark, len(found), *sums, np.packbits(odd.astype(np.uint8)).view(np.int64)
 
         return one
 
     return map_rows(
         docs.select(id, F.xxhash64(text_bytes(text)), text_bytes(text)),
-        "doc_id bigint, text_hash bigint, n_shingles bigint, sum_a bigint, sum_b bigint", work,
+        "doc_id bigint, text_hash bigint, n_shingles bigint, sum_a bigint, sum_b bigint, parity array<bigint>", work,
     )
 
 
@@ -274,13 +279,21 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
 
 
 def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs whose sizes allow the similarity."""
-    sizes = classes.select("set", "n_shingles")
+    """The distinct pairs that may be similar by the sizes and parities of their sets.
+
+    A slot whose parity differs holds a shingle that only one of the two has, so slots that differ are
+    no more than the shingles that differ. That drops no similar pair, and keeps texts from moving.
+    """
+    sizes = classes.select("set", F.struct("n_shingles", "parity").alias("seen"))
     found = pairs.distinct()
     for side in ("a", "b"):
-        found = lookup_join(found.withColumnRenamed("n_shingles", "n_a"), sizes, [(side, "set")], ["n_shingles"])
-    small, large = F.least("n_a", "n_shingles"), F.greatest("n_a", "n_shingles")
-    return found.where(small * 100 >= large * percent).select("a", "b")
+        found = lookup_join(found.withColumnRenamed("seen", "seen_a"), sizes, [(side, "set")], ["seen"])
+    n, m = F.col("seen_a.n_shingles"), F.col("seen.n_shingles")
+    differ = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        differ = differ + F.bit_count(F.col("seen_a.parity")[k].bitwiseXOR(F.col("seen.parity")[k]))
+    near = differ * (100 + percent) <= (n + m) * (100 - percent)
+    return found.where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & near).select("a", "b")
 
 
 def roots_of(links: DataFrame) -> DataFrame:
@@ -378,7 +391,8 @@ def near_classes(
     rows = stored(sets_of(docs, id, text, width), "sets")
     full = rows.where("n_shingles > 0")
     sums = ["n_shingles", "sum_a", "sum_b"]
-    classes = full.groupBy(*sums).agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least"))
+    classes = full.groupBy(*sums).agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least"),
+                                       F.first("parity").alias("parity"))
     classes = stored(classes.withColumn("set", F.monotonically_increasing_id()), "classes")
     numbers = classes.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), "set")
     keyed = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text_bytes(text)).alias("text_hash"), text_bytes(text).alias("data"))

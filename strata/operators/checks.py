@@ -25,10 +25,12 @@ AUDIT_COLUMNS = ["LOAD_DATETIME", "INGESTION_DATETIME", "SOURCE_SYSTEM", "PIPELI
 
 def check_bronze_completeness(bronze: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys whose landed record count differs from the source's. Raw rows are pages, so records are summed."""
-    landed = bronze.groupBy(*keys).agg(F.sum("record_count").alias("landed_records"))
-    sent = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("source_records"))
-    both = landed.join(sent, list(keys), "full_outer").fillna(0, ["landed_records", "source_records"])
-    return both.where(F.col("landed_records") != F.col("source_records"))
+    none = F.lit(0).cast("long")
+    landed = bronze.select(*keys, F.col("record_count").cast("long").alias("landed"), none.alias("sent"))
+    sent = source.select(*keys, none.alias("landed"), F.lit(1).cast("long").alias("sent"))
+    both = landed.unionByName(sent).groupBy(*keys)  # grouping, unlike a join, matches NULL keys
+    counted = both.agg(F.sum("landed").alias("landed_records"), F.sum("sent").alias("source_records"))
+    return counted.fillna(0, ["landed_records", "source_records"]).where("landed_records <> source_records")
 
 
 def check_partition_strategy(bronze: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -241,7 +243,8 @@ def check_period_checksum(before: DataFrame, after: DataFrame, period: str, amou
     same = F.col("before_checksum").eqNullSafe(F.col("after_checksum")) & F.col("before_rows").eqNullSafe(
         F.col("after_rows")
     )
-    return old.join(new, period, "left").where(~same)
+    new = new.withColumnRenamed(period, "__period")
+    return old.join(new, F.col(period).eqNullSafe(F.col("__period")), "left").where(~same).drop("__period")
 
 
 def check_fact_grain(facts: DataFrame, grain: Sequence[str]) -> DataFrame:

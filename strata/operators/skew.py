@@ -168,7 +168,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     return (
         ranged.withColumn("__pos", F.row_number().over(inside))
         .withColumn("__lag", F.lag(value).over(inside))
-        .join(carried, _keys_equal(parts, [f"__c_{k}" for k in parts]), "left")
+        .join(carried, _keys_same(parts, [f"__c_{k}" for k in parts]), "left")
         .withColumn(name, F.when(F.col("__pos") == 1, F.col(f"__carry.{value}")).otherwise(F.col("__lag")))
         .select(*df.columns, name)
     )
@@ -202,7 +202,7 @@ def trailing_hour_counts(df: DataFrame, keys: Sequence[str], ts: str, name: str)
     tail = F.sum(late).over(inside.rangeBetween(Window.currentRow, Window.unboundedFollowing))
     edges = both.withColumn("__edge", head + tail).where(F.col("__own") == 1)
     parts = [*keys, "__minute"]
-    return edges.join(minutes, _keys_equal(parts, [f"__m_{k}" for k in keys] + ["__m_minute"])).select(
+    return edges.join(minutes, _keys_same(parts, [f"__m_{k}" for k in keys] + ["__m_minute"])).select(
         *keys, ts, "calls", (F.col("__edge") + F.col("__whole")).alias(name)
     )
 
@@ -219,3 +219,11 @@ def _keys_equal(left: Sequence[str], right: Sequence[str]) -> Column:
     for a, b in zip(left, right, strict=True):
         test = test & (F.col(a) == F.col(b))
     return test
+
+
+def _keys_same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """As ``_keys_equal``, but NULL is a key like any other."""
+    test = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        test = test & F.col(a).eqNullSafe(F.col(b))
+    return test

@@ -35,17 +35,17 @@ class Layers:
         self.warehouse = Warehouse(spark, scratch_path(spark, "layers"))
         self._done: set[str] = set()
 
-    def _first_time(self, step: str) -> bool:
-        fresh = step not in self._done
-        self._done.add(step)
-        return fresh
+    def _once(self, step: str, work: Callable[[], object]) -> None:
+        """Run a load step unless it has run; one that raises is tried again by the next query."""
+        if step not in self._done:
+            work()
+            self._done.add(step)
 
     def _dimensions(self) -> None:
-        if not self._first_time("dimensions"):
-            return
-        self._load(self.samples.location_records(), "dim_location", "dwh_dim_location", EARLY)
+        self._once("locations", lambda: self._load(self.samples.location_records(), "dim_location", "dwh_dim_location", EARLY))
         for day in (EARLY, FINAL):
-            self._load(self.samples.employee_records(day), "dim_employee", "dwh_dim_employee", day)
+            self._once(f"employees {day}", lambda d=day: self._load(
+                self.samples.employee_records(d), "dim_employee", "dwh_dim_employee", d))
 
     def _load(self, records: DataFrame, entity: str, table: str, day: str) -> None:
         at = f"{day} 06:00:00"
@@ -56,23 +56,23 @@ class Layers:
     def bronze(self, entity: str, partition: str | int | None = None) -> DataFrame:
         if entity.startswith("dim"):
             self._dimensions()
-        elif self._first_time(f"land {entity}"):
-            self.warehouse.land(self.samples.records(entity), entity, "pay_period_id", LOADED_AT)
+        else:
+            self._once(f"land {entity}", lambda: self.warehouse.land(
+                self.samples.records(entity), entity, "pay_period_id", LOADED_AT))
         return self.warehouse.bronze(entity, partition)
 
     def silver(self, entity: str) -> DataFrame:
         self.bronze(entity)
-        if entity.startswith("fact") and self._first_time(f"silver {entity}"):
-            self.warehouse.build_silver(entity, LOADED_AT)
+        if entity.startswith("fact"):
+            self._once(f"silver {entity}", lambda: self.warehouse.build_silver(entity, LOADED_AT))
         return self.warehouse.silver(entity)
 
     def gold(self, table: str) -> DataFrame:
         self._dimensions()
         if table.startswith("fact"):
             self.silver(next(s for s, g in STAR.items() if g == table))
-            if self._first_time(f"gold {table}"):
-                self.warehouse.load_fact(table, LOADED_AT, upto=FIRST_LOAD_UPTO)
-                self.warehouse.load_fact(table, LOADED_AT)
+            self._once(f"first {table}", lambda: self.warehouse.load_fact(table, LOADED_AT, upto=FIRST_LOAD_UPTO))
+            self._once(f"gold {table}", lambda: self.warehouse.load_fact(table, LOADED_AT))
         return self.warehouse.gold(table)
 
     def early_dimension(self, table: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -18,6 +19,12 @@ SESSION_DEFAULTS = {
 }
 
 
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Where ``stored`` wrote the tables that are still referred to.
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def build_session(app: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; entries of ``conf`` override them."""
     builder = SparkSession.builder.appName(app)
@@ -60,14 +67,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within the block, a query's shuffle files go when the query ends, not when the driver collects garbage."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(TIDY)
+        else:
+            spark.conf.set(TIDY, before)
+
+
 def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the scratch folder and return the table read back, with its lineage cut."""
-    path = scratch_path(df.sparkSession, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the scratch folder and return the table read back, with its lineage cut.
+
+    The table takes the place of the shuffle files behind it, which go at once. ``released`` removes it.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    with tidy_shuffles(spark):
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` returned. Nothing that is still to be computed may read them."""
+    for table in tables:
+        fs, where = file_system(table.sparkSession, _paths.pop(table))
+        fs.delete(where, True)
 
 
 @contextmanager

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import scratch_root
+from strata.session import released, stored
 
 ROUNDS = 60
 
@@ -21,12 +21,10 @@ def components(links: DataFrame) -> DataFrame:
     Alternating rounds hang each node's larger neighbours, then its smaller ones and itself, below
     the least node it sees, until every component is a star; that takes rounds in the order of the
     logarithm of its size. A node with very many links is summed before the shuffle, and the join back
-    splits it. Each round is a checkpoint, so a lost executor costs one round.
+    splits it. Each round is a table, so a lost executor costs one round; the table before it goes.
     """
-    spark = links.sparkSession
-    scratch_root(spark)
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = edges.checkpoint()
+    edges = stored(edges, "edges")
     before = None
     for _ in range(ROUNDS):
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(
@@ -37,8 +35,10 @@ def components(links: DataFrame) -> DataFrame:
         down = large.select(F.col("a").alias("node"), F.col("b").alias("other"))
         least = _hung(down)
         small = down.join(least, "node").select(F.col("other").alias("a"), F.col("least").alias("b"))
-        edges = small.union(least.select(F.col("node").alias("a"), F.col("least").alias("b"))).where("a <> b").distinct()
-        edges = edges.checkpoint()
+        next_edges = small.union(least.select(F.col("node").alias("a"), F.col("least").alias("b"))).where("a <> b").distinct()
+        next_edges = stored(next_edges, "edges")
+        released(edges)
+        edges = next_edges
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.crc32(F.concat_ws(",", "a", "b")))).first()
         if state == before:
             break

@@ -35,13 +35,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.links import components
 from strata.llm.text import WORD, WordHashes, free_name, importable, map_rows, mixed, row_batch, rows_of, shingle_hashes, text_bytes, words
 from strata.operators.skew import flag_join, lookup_join
-from strata.session import stored
+from strata.session import released, stored
 
 WIDTH, PERCENT = 4, 85
 SMALL_GAP = 4
@@ -278,32 +278,43 @@ def similar(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return map_rows(met, "a bigint, b bigint", work, many=True)
 
 
-def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs that may be similar by the sizes and parities of their sets.
+def sketches(classes: DataFrame) -> DataFrame:
+    """(set, seen): size and parity of each set."""
+    return classes.select("set", F.struct("n_shingles", "parity").alias("seen"))
+
+
+def may_be_similar(one: str, two: str, percent: int) -> Column:
+    """Whether two sets may be similar by their sizes and parities.
 
     A slot whose parity differs holds a shingle that only one of the two has, so slots that differ are
     no more than the shingles that differ. That drops no similar pair, and keeps texts from moving.
     """
-    sizes = classes.select("set", F.struct("n_shingles", "parity").alias("seen"))
-    found = pairs.distinct()
-    for side in ("a", "b"):
-        found = lookup_join(found.withColumnRenamed("seen", "seen_a"), sizes, [(side, "set")], ["seen"])
-    n, m = F.col("seen_a.n_shingles"), F.col("seen.n_shingles")
+    n, m = F.col(f"{one}.n_shingles"), F.col(f"{two}.n_shingles")
     differ = F.lit(0)
     for k in range(PARITY_BITS // 64):
-        differ = differ + F.bit_count(F.col("seen_a.parity")[k].bitwiseXOR(F.col("seen.parity")[k]))
-    near = differ * (100 + percent) <= (n + m) * (100 - percent)
-    return found.where((F.least(n, m) * 100 >= F.greatest(n, m) * percent) & near).select("a", "b")
+        differ = differ + F.bit_count(F.col(f"{one}.parity")[k].bitwiseXOR(F.col(f"{two}.parity")[k]))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def sized(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs that may be similar by the sizes and parities of their sets."""
+    found = pairs.distinct()
+    for side in ("a", "b"):
+        found = lookup_join(found.withColumnRenamed("seen", "seen_a"), sketches(classes), [(side, "set")], ["seen"])
+    return found.where(may_be_similar("seen_a", "seen", percent)).select("a", "b")
 
 
 def roots_of(links: DataFrame) -> DataFrame:
     return stored(components(links).select(F.col("node").alias("set"), "root"), "roots")
 
 
-def wanted_texts(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the sets in ``pairs``."""
+def matched(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose texts are similar, as a table. Only texts of sets in ``pairs`` move."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "candidates")
-    return stored(flag_join(texts, ids, [("set", "set")], "wanted").where("wanted").drop("wanted"), "candidate-texts")
+    wanted = stored(flag_join(texts, ids, [("set", "set")], "wanted").where("wanted").drop("wanted"), "candidate-texts")
+    links = stored(similar(pairs, wanted, width, percent), "links")
+    released(ids, wanted)
+    return links
 
 
 def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -312,28 +323,32 @@ def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int)
     groups = found.where(F.col("head") != SHORT_OF_SEGMENTS)
     star = groups.select(number_of("head").alias("a"), number_of("member").alias("b")).where("a <> b")
     star = stored(sized(star, classes, percent), "star")
-    links = stored(similar(star, wanted_texts(texts, star), width, percent), "links")
+    links = matched(star, texts, width, percent)
     # What is left: members of one key that are in several components.
     members = groups.select("key", "member").union(groups.select("key", F.col("head").alias("member"))).distinct()
-    placed = lookup_join(members.withColumn("set", number_of("member")), roots_of(links), [("set", "set")], ["root"])
+    roots = roots_of(links)
+    placed = lookup_join(members.withColumn("set", number_of("member")), roots, [("set", "set")], ["root"])
     placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
     several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     several = stored(several.where("low <> high and n > 2").select("key"), "several")
-    if several.isEmpty():
-        return links
     placed = stored(placed.join(several, "key"), "placed")
+    short = found.where(F.col("head") == SHORT_OF_SEGMENTS).select(F.col("member").alias("set")).distinct()
+    short = stored(short, "short")
+    released(found, several, roots)
+    if placed.isEmpty():
+        return links
     by_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     n, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
     priced = by_root.groupBy("key").agg(((n * n - squares) / 2 > n * PAIRS).alias("frequent"))
     costly = F.col("frequent") & (F.col("key").bitwiseAND(F.lit(DELETING)) == 0)
     priced = stored(priced.select("key", costly.alias("costly")), "priced")
-    placed = placed.join(priced, "key")
+    priced_rows = placed.join(priced, "key")
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = links.union(checked(paired(placed.where("not costly")), texts, classes, done, width, percent))
-    dear = placed.where("costly")
+    links = links.union(checked(priced_rows.where("not costly"), texts, classes, done, width, percent))
+    dear = priced_rows.where("costly")
     if not dear.isEmpty():
-        short = found.where(F.col("head") == SHORT_OF_SEGMENTS).select(F.col("member").alias("set")).distinct()
         links = links.union(hard_links(dear, short, links, texts, classes, done, width, percent))
+    released(placed, priced, short, star)
     return links
 
 
@@ -350,36 +365,47 @@ def hard_links(
     over = stored(over.groupBy("set").agg(F.collect_set("key").alias("costly")), "hard")
     hard = lookup_join(texts, over, [("set", "set")], ["costly"]).where("costly is not null")
     rows = index_rows(hard, width, percent).where(F.col("head") != SHORT_OF_SEGMENTS).select("key", "member").distinct()
-    rows = rows.withColumn("set", number_of("member"))
-    placed = lookup_join(stored(rows, "hard-index"), roots_of(links), [("set", "set")], ["root"])
+    rows = stored(rows.withColumn("set", number_of("member")), "hard-index")
+    roots = roots_of(links)
+    placed = lookup_join(rows, roots, [("set", "set")], ["root"])
     placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
-    return checked(paired(placed), texts, classes, done, width, percent)
+    found = checked(placed, texts, classes, done, width, percent)
+    released(over, rows, roots)
+    return found
 
 
-def paired(placed: DataFrame) -> DataFrame:
+def paired(placed: DataFrame, percent: int | None = None) -> DataFrame:
     """Pairs of members of one key that are in different components, as their kinds allow.
 
     One of each such pair is outside of the key's largest component. So those outside meet all, and
-    the members of a large group of copies never meet each other.
+    the members of a large group of copies never meet each other. With ``percent``, members carry what
+    ``sketches`` gives, and pairs that cannot be similar are dropped where they meet.
     """
     sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("largest"))
     outside = placed.join(largest.select("key", F.col("largest.root").alias("most")), "key").where("root <> most")
-    one = outside.select("key", F.col("set").alias("a"), F.col("kind").alias("kind_a"), F.col("root").alias("root_a"))
-    two = placed.select("key", F.col("set").alias("b"), F.col("kind").alias("kind_b"), F.col("root").alias("root_b"))
-    kinds = F.lit(False)
+    carried = ["kind", "root"] if percent is None else ["kind", "root", "seen"]
+    one = outside.select("key", F.col("set").alias("a"), *[F.col(c).alias(f"{c}_a") for c in carried])
+    two = placed.select("key", F.col("set").alias("b"), *[F.col(c).alias(f"{c}_b") for c in carried])
+    meet = F.lit(False)
     for x in (EXACT, SHORTER, LEFT_OUT):
         for y in (EXACT, SHORTER, LEFT_OUT):
             if met(x, y):
-                kinds = kinds | ((F.col("kind_a") == x) & (F.col("kind_b") == y))
-    found = one.join(two, "key").where(kinds & (F.col("root_a") != F.col("root_b")))
+                meet = meet | ((F.col("kind_a") == x) & (F.col("kind_b") == y))
+    if percent is not None:
+        meet = meet & may_be_similar("seen_a", "seen_b", percent)
+    found = one.join(two, "key").where(meet & (F.col("root_a") != F.col("root_b")))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def checked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, done: DataFrame, width: int, percent: int) -> DataFrame:
-    """The similar ones among ``pairs`` that are not in ``done``."""
-    left = stored(sized(pairs.join(done, ["a", "b"], "left_anti"), classes, percent), "pairs")
-    return stored(similar(left, wanted_texts(texts, left), width, percent), "links")
+def checked(placed: DataFrame, texts: DataFrame, classes: DataFrame, done: DataFrame, width: int, percent: int) -> DataFrame:
+    """The similar pairs among members of one key in different components that are not in ``done``."""
+    seen = stored(lookup_join(placed, sketches(classes), [("set", "set")], ["seen"]), "seen")
+    left = stored(paired(seen, percent).join(done, ["a", "b"], "left_anti"), "pairs")
+    released(seen)
+    links = matched(left, texts, width, percent)
+    released(left)
+    return links
 
 
 def near_classes(
@@ -401,11 +427,12 @@ def near_classes(
         keyed.withColumn("row", null_safe), numbers.withColumn("row", null_safe),
         [("row", "row"), ("text_hash", "text_hash")], ["set"],
     ).where("set is not null").select("set", "data")
-    links = joined_sets(texts, classes, width, percent)
-    placed = lookup_join(classes.select(*sums, "set", "least"), roots_of(links), [("set", "set")], ["root"])
+    roots = roots_of(joined_sets(texts, classes, width, percent))
+    placed = lookup_join(classes.select(*sums, "set", "least"), roots, [("set", "set")], ["root"])
     placed = stored(placed.withColumn("root", F.coalesce("root", "set")), "placed")
-    ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(lookup_join(placed, stored(ids, "ids"), [("root", "root")], ["component_id"]), "named")
+    ids = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
+    named = stored(lookup_join(placed, ids, [("root", "root")], ["component_id"]), "named")
+    released(classes, roots, placed, ids)
     found = lookup_join(rows, named, [(c, c) for c in sums], ["root", "component_id"])
     return found.select(
         "doc_id", "text_hash", "n_shingles", F.col("root").alias("component"),

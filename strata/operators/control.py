@@ -109,14 +109,18 @@ def period_worklist(catalog: DataFrame, marks: DataFrame, current: int) -> DataF
 def execution_log_append(
     spark, execution_id: str, table: str, at: str, status: str = "RUNNING", **values: object
 ) -> DataFrame:
-    """One log event, to be appended. A run has a RUNNING event and a final one."""
+    """One log event, to be appended. A run has a RUNNING event and a final one.
+
+    A FAILED event carries its start, since a run may fail before it was logged as running.
+    """
     row = {
         "execution_id": execution_id,
         "table_name": table,
         "status": status,
         "records_read": 0,
         "records_written": 0,
-        "execution_start" if status == "RUNNING" else "execution_end": at,
+        "execution_start": at if status in ("RUNNING", "FAILED") else None,
+        "execution_end": None if status == "RUNNING" else at,
         "created_at": at,
         **values,
     }
@@ -136,7 +140,11 @@ def execution_state(events: DataFrame) -> DataFrame:
 
 
 def failed_worklist(log: DataFrame, keys: Sequence[str] = ("table_name",)) -> DataFrame:
-    """Tables whose last run failed, with the watermark to resume from."""
+    """Tables whose last run failed, with the watermark to resume from.
+
+    Of runs with one start the last is that with the greatest id; the ids of ``Warehouse`` begin with
+    the number of the attempt.
+    """
     latest = dedup_latest(log, keys, ["execution_start", "execution_id"])
     return latest.where(F.col("status") == "FAILED").select(
         *keys, "execution_id", "execution_start", "watermark_value", "error_message"

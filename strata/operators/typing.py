@@ -100,6 +100,26 @@ def detect_new_columns(incoming: T.StructType, existing: T.StructType) -> list[t
     return [(f.name, f.dataType.simpleString()) for f in incoming.fields if f.name.lower() not in known]
 
 
+def common_type(one: str, two: str) -> str:
+    """The type that holds the values of both: wider numbers where there are any, else text.
+
+    Whole numbers and decimals keep every digit; beyond 38 digits, as with other mixtures, that is text.
+    """
+    if one == two:
+        return one
+    kinds = [T._parse_datatype_string(kind) for kind in (one, two)]
+    exact = [
+        k if isinstance(k, T.DecimalType) else T.DecimalType(19, 0) if isinstance(k, T.LongType) else None for k in kinds
+    ]
+    if all(exact):
+        scale = max(k.scale for k in exact)
+        digits = max(k.precision - k.scale for k in exact) + scale
+        return f"decimal({digits},{scale})" if digits <= 38 else "string"
+    if any(isinstance(k, T.DoubleType) for k in kinds) and any(exact):
+        return "double"
+    return "string"
+
+
 def evolve_append(table: DataFrame, incoming: DataFrame) -> DataFrame:
     """Both row sets with the union of their columns; older rows hold NULL in the new ones."""
     new = [name for name, _ in detect_new_columns(incoming.schema, table.schema)]

@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from strata.operators import quality as q
 from strata.operators.star import fk_lookup, incremental_filter, merge_dimension_scd1
 from strata.operators.typing import (
+    common_type,
     detect_new_columns,
     infer_payload_schema,
     map_dimension_columns,
@@ -132,15 +133,22 @@ GOLD_DIMENSIONS = {
 }
 
 
-def unseen_columns(bronze: DataFrame, known: Mapping[str, str]) -> dict[str, str]:
-    """Columns of the payloads that are not ``known`` yet, with their types. Nested values stay JSON text.
+def extra_columns(bronze: DataFrame, entity: Entity, added: Mapping[str, str]) -> dict[str, str]:
+    """Columns beyond the declared ones: those ``added`` before and those of the payloads, each with a
+    type that holds the values of both. Nested values stay JSON text; a column of nulls tells no type.
 
     Every payload counts: a column that only one record carries is found.
     """
-    declared = StructType([StructField(c, StringType()) for c in known])
-    found = detect_new_columns(infer_payload_schema(bronze), declared)
-    nested = ("struct", "array", "map", "void", "variant")
-    return {c: "string" if kind.startswith(nested) else kind for c, kind in found}
+    declared = StructType([StructField(c, StringType()) for c in entity.columns])
+    names, types = {c.lower(): c for c in added}, dict(added)
+    for column, kind in detect_new_columns(infer_payload_schema(bronze), declared):
+        name = names.get(column.lower(), column)
+        if kind == "void":
+            types.setdefault(name, "string")
+            continue
+        plain = "string" if kind.startswith(("struct", "array", "map", "variant")) else kind
+        types[name] = common_type(types.get(name, plain), plain)
+    return types
 
 
 def widened(entity: Entity, extra: Mapping[str, str]) -> Entity:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -38,10 +39,10 @@ from strata.plans.layers import (
     ENTITIES,
     Entity,
     empty_dimension,
+    extra_columns,
     gold_dimension,
     gold_fact,
     silver,
-    unseen_columns,
     widened,
 )
 from strata.session import staged
@@ -156,22 +157,33 @@ class Warehouse:
         """Rebuild a typed table from its raw rows, or one period of a fact.
 
         With ``evolve`` columns that appear in the payloads are added to the table, and their names
-        returned; rows written before hold NULL in them. Looking for them reads the payloads once
-        more, so leave it out where the source's columns are fixed.
+        returned; rows written before hold NULL in them. Such a column takes a wider type when later
+        values need one, and the rows written before are rewritten with it. Looking for columns reads
+        the payloads once more, so leave it out where the source's columns are fixed.
         """
         entity = self.entities[name]
         partition = FULL_LOAD if entity.partition is None else period
         raw = self.bronze(name, partition)
-        extra = self.added_columns(name)
-        new = unseen_columns(raw, {**entity.columns, **extra}) if evolve else {}
-        rows = silver(raw, widened(entity, {**extra, **new}), as_of)
+        added = self.added_columns(name)
+        extra = extra_columns(raw, entity, added) if evolve else added
+        rows = silver(raw, widened(entity, extra), as_of)
+        wider = {c: kind for c, kind in extra.items() if c in added and kind != added[c]}
+        if wider and entity.partition is not None:
+            self._widen(name, wider, extra)
         if entity.partition is None:
             overwrite_snapshot(rows, self.path("silver", name))
         else:
             targets = None if period is None else [(period,)]
             replace_partitions(rows, self.path("silver", name), [entity.partition], targets)
-        self._store_schema(name, rows, {**extra, **new})
-        return list(new)
+        self._store_schema(name, rows, extra)
+        return [c for c in extra if c not in added]
+
+    def _widen(self, name: str, wider: dict[str, str], extra: dict[str, str]) -> None:
+        """Rewrite a partitioned typed table with wider types of some of its columns."""
+        rows = self.silver(name).withColumns({c: F.col(c).cast(kind) for c, kind in wider.items()})
+        with staged(rows, name) as kept:
+            replace_partitions(kept, self.path("silver", name), [self.entities[name].partition])
+        self._store_schema(name, rows, extra)
 
     def silver(self, name: str) -> DataFrame:
         # The stored schema, because files written before a column was added lack it.
@@ -205,11 +217,16 @@ class Warehouse:
 
     def load_dimension(self, table: str, as_of: str) -> None:
         config, base = self.config(table), self.path("gold", table)
-        if snapshot_exists(self.spark, base):
-            target = read_snapshot(self.spark, base)
-        else:
-            target = empty_dimension(self.spark, table, config, self.silver(config.source).schema)
-        overwrite_snapshot(gold_dimension(target, self.silver(config.source), config, as_of), base)
+        with self._execution(table, as_of) as run:
+            self._append_log(run, table, as_of)
+            source = self.silver(config.source)
+            if snapshot_exists(self.spark, base):
+                target = read_snapshot(self.spark, base)
+            else:
+                target = empty_dimension(self.spark, table, config, source.schema)
+            overwrite_snapshot(gold_dimension(target, source, config, as_of), base)
+            counts = {"records_read": source.count(), "records_written": read_snapshot(self.spark, base).count()}
+            self._append_log(run, table, as_of, "SUCCESS", **counts)
 
     def load_fact(
         self,
@@ -225,8 +242,13 @@ class Warehouse:
         give the same partitions. A ``strict`` load writes nothing and leaves the watermark when a
         row lacks a foreign key; otherwise such rows are loaded for the checks to report.
         """
+        with self._execution(table, as_of) as run:
+            return self._load_fact(run, table, as_of, periods, upto, strict)
+
+    def _load_fact(
+        self, run: str, table: str, as_of: str, periods: Iterable[int] | None, upto: int | None, strict: bool
+    ) -> int:
         config = self.config(table)
-        run = uuid.uuid4().hex
         column = config.watermark_column
         typed_rows = self.silver(config.source)
         if periods is not None:
@@ -237,7 +259,8 @@ class Warehouse:
         if upto is not None:
             typed_rows = typed_rows.where(F.col(column) <= upto)
         dims = {x["dimension_table"]: self.gold(x["dimension_table"]) for x in config.lookups}
-        loaded = incremental_filter(typed_rows, column, last, config.watermark_type).agg(F.max(column)).first()[0]
+        fresh = incremental_filter(typed_rows, column, last, config.watermark_type)
+        loaded, read = fresh.agg(F.max(column), F.count(F.lit(1))).first()
         if loaded is None and wanted is None:
             return 0
         self._append_log(run, table, as_of)
@@ -246,16 +269,14 @@ class Warehouse:
             broken = check_null_fk(rows, [x["surrogate_key_column"] for x in config.lookups], _partitions(config))
             bad = broken.agg(F.sum("orphan_records")).first()[0]
             if bad:
-                message = f"{bad} rows without a foreign key"
-                self._append_log(run, table, as_of, "FAILED", error_message=message)
-                raise QualityError(f"{table}: {message}")
+                raise QualityError(f"{bad} rows without a foreign key")
         targets = None if wanted is None else [(p,) for p in wanted]
         written = replace_partitions(rows, self.path("gold", table), _partitions(config), targets)
         known = last_watermark(self.log_events(), table, config.watermark_type)
         mark = max((m for m in (known, loaded) if m is not None), default=None)
         self._append_log(
             run, table, as_of, "SUCCESS", watermark_column=column,
-            watermark_value=None if mark is None else str(mark), records_read=written, records_written=written,
+            watermark_value=None if mark is None else str(mark), records_read=read, records_written=written,
         )
         return written
 
@@ -274,7 +295,7 @@ class Warehouse:
                 else:
                     self.load_fact(c.table_name, as_of, strict=strict)
 
-            outcome[config.table_name] = self._attempt(config.table_name, as_of, load)
+            outcome[config.table_name] = self._attempt(load)
         return outcome
 
     def optimise(self, table: str, files: int | None = None) -> None:
@@ -368,13 +389,25 @@ class Warehouse:
         event = execution_log_append(self.spark, run, table, at, status, **values)
         append_rows(event, self.path("control", "execution_log"))
 
-    def _attempt(self, table: str, as_of: str, load: Callable[[], None]) -> str:
+    @contextmanager
+    def _execution(self, table: str, as_of: str) -> Iterator[str]:
+        """The id of a new execution. Should the block raise, that is logged as its failure.
+
+        The id begins with the number of the table's attempts, so that those of one instant are in order.
+        """
+        before = self.log_events().where(F.col("table_name") == table).agg(F.count_distinct("execution_id")).first()[0]
+        run = f"{before + 1:08d}-{uuid.uuid4().hex}"
+        try:
+            yield run
+        except Exception as error:
+            self._append_log(run, table, as_of, "FAILED", error_message=str(error)[:2000])
+            raise
+
+    @staticmethod
+    def _attempt(load: Callable[[], None]) -> str:
         try:
             load()
-        except QualityError:
-            return "FAILED"
-        except Exception as error:  # one table's failure is recorded and must not stop the rest
-            self._append_log(uuid.uuid4().hex, table, as_of, "FAILED", error_message=str(error)[:2000])
+        except Exception:  # logged by the load itself; one table's failure must not stop the rest
             return "FAILED"
         return "SUCCESS"
 

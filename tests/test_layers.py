@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import layout
 from strata.operators import quality as q
+from strata.operators.control import failed_runs, failed_worklist
 from strata.plans import analytics
 from strata.plans.layers import ENTITIES, Entity, silver
 from strata.plans.warehouse import Warehouse
@@ -120,6 +121,36 @@ def test_a_new_column_joins_the_table(spark, rows, warehouse):
     assert w.gold(EARN).count() == 4
 
 
+def test_a_new_column_widens_without_losing_values(spark, rows, warehouse):
+    w = warehouse
+    found = []
+    for period, bonus in ((1, F.lit("1.5").cast("decimal(2,1)")), (2, F.lit("100.25").cast("decimal(5,2)")),
+                          (3, F.lit(None).cast("int")), (4, F.lit("n/a"))):
+        w.land(pay(spark, ("b", period, 1.0)).withColumn("bonus", bonus), "fact_earnings", "pay_period_id", DAYS[0])
+        w.build_silver("fact_earnings", DAYS[0], period=period)
+        found.append(rows(w.silver("fact_earnings"), "pay_period_id", "bonus"))
+    assert found[1] == [(1, Decimal("1.50")), (2, Decimal("100.25"))]
+    assert found[2] == [*found[1], (3, None)]
+    assert found[3] == [(1, "1.50"), (2, "100.25"), (3, None), (4, "n/a")]
+
+
+def test_the_log_tells_of_failures_and_repairs(spark, warehouse, monkeypatch):
+    w = warehouse
+    load_pay(w, pay(spark, ("b", 1, 10.0), ("unknown", 1, 1.0)), DAYS[0])
+    with monkeypatch.context() as broken:
+        broken.setattr("strata.plans.warehouse.replace_partitions", lambda *a, **b: 1 / 0)
+        assert w.load_star(DAYS[0])[EARN] == "FAILED"
+    states = {(r["table_name"], r["status"], r["execution_start"] is not None) for r in w.log().collect()}
+    assert states == {("dwh_dim_employee", "SUCCESS", True), ("dwh_dim_location", "SUCCESS", True), (EARN, "FAILED", True)}
+    assert [r["table_name"] for r in failed_worklist(w.log()).collect()] == [EARN]
+    assert failed_runs(w.log(), DAYS[0]).count() == 1
+    for _ in range(2):
+        assert w.load_star(DAYS[0])[EARN] == "SUCCESS"
+    assert failed_worklist(w.log()).isEmpty()
+    done = w.log().where(F.col("status") == "SUCCESS").where(F.col("table_name") == EARN).first()
+    assert (done["records_read"], done["records_written"]) == (2, 2)
+
+
 def test_landing_moves_the_watermark_and_the_worklist(spark, rows, warehouse):
     w = warehouse
     catalog = spark.createDataFrame(

@@ -52,6 +52,15 @@ def test_new_columns_are_added_and_old_rows_hold_null(spark, rows):
     assert rows(t.evolve_append(table, incoming)) == [(1, Decimal("2.50"), None), (2, Decimal("7.00"), "n")]
 
 
+def test_common_types_hold_both():
+    assert t.common_type("bigint", "bigint") == "bigint"
+    assert t.common_type("decimal(2,1)", "decimal(5,2)") == "decimal(5,2)"
+    assert t.common_type("bigint", "decimal(3,2)") == "decimal(21,2)"
+    assert t.common_type("decimal(38,0)", "decimal(3,2)") == "string"
+    assert t.common_type("double", "bigint") == "double"
+    assert t.common_type("boolean", "bigint") == t.common_type("string", "double") == "string"
+
+
 def test_evolve_catalog_table(spark, tmp_path):
     spark.sql("DROP TABLE IF EXISTS evolving")
     spark.range(1).write.option("path", str(tmp_path / "e")).saveAsTable("evolving")

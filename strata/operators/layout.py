@@ -52,9 +52,13 @@ def compact_files(
 def compact_partition(
     spark: SparkSession, path: str, cols: Sequence[str], condition: str, staging: str, target_bytes: int = TARGET_FILE_BYTES
 ) -> int:
-    """Compact the partitions of ``path`` that ``condition`` selects, in place, through ``staging``."""
+    """Compact the partitions of ``path`` that ``condition`` selects, in place, through ``staging``.
+
+    Neither step shuffles: the scan packs files up to ``target_bytes``, and each task writes one file
+    for each partition it reads.
+    """
     compact_files(spark, path, staging, target_bytes, condition)
-    return replace_partitions(_packing(spark, target_bytes).read.parquet(staging), path, cols)
+    return replace_partitions(_packing(spark, target_bytes).read.parquet(staging), path, cols, arranged=True)
 
 
 def _packing(spark: SparkSession, target_bytes: int) -> SparkSession:
@@ -66,9 +70,13 @@ def _packing(spark: SparkSession, target_bytes: int) -> SparkSession:
     return session
 
 
-def cluster_zorder(df: DataFrame, columns: Sequence[str], files: int | None = None) -> DataFrame:
+def cluster_zorder(
+    df: DataFrame, columns: Sequence[str], files: int | None = None, within: Sequence[str] = ()
+) -> DataFrame:
     """Rows laid out along a Z-order curve over 1 to 4 columns, ready to be written.
 
+    Rows of a table with partitions are laid out ``within`` each: the curve starts anew in the next one.
+
     Each column is cut into ranges of equal row counts, and the bits of the range numbers are
     interleaved. Ties on the curve are split by the row's content and the partition it came from, so
     one frequent value, or copies of one row, cannot fill a single file.
@@ -85,10 +93,10 @@ def cluster_zorder(df: DataFrame, columns: Sequence[str], files: int | None = No
     spread = F.xxhash64(*df.columns) + F.spark_partition_id()
     keyed = df.withColumns({"__z": z, "__spread": spread})
     # Without a number of files adaptive execution sizes the partitions.
-    along = ["__z", "__spread"]
+    along = [*within, "__z", "__spread"]
     ranged = keyed.repartitionByRange(files, *along) if files else keyed.repartitionByRange(*along)
     return (
-        ranged.sortWithinPartitions("__z", *columns)
+        ranged.sortWithinPartitions(*within, "__z", *columns)
         .drop("__z", "__spread")
     )
 

@@ -301,13 +301,14 @@ class Warehouse:
     def optimise(self, table: str, files: int | None = None) -> None:
         """Rewrite a star table clustered by its configured columns."""
         config = self.config(table)
-        rows = cluster_zorder(self.gold(table), config.zorder_columns, files)
         if config.table_type == "DIMENSION":
+            rows = cluster_zorder(self.gold(table), config.zorder_columns, files)
             overwrite_snapshot(rows, self.path("gold", table))
         else:
+            rows = cluster_zorder(self.gold(table), config.zorder_columns, files, _partitions(config))
             # Staged, because a table must not be read by the job that overwrites it.
             with staged(rows, table) as clustered:
-                replace_partitions(clustered, self.path("gold", table), _partitions(config))
+                replace_partitions(clustered, self.path("gold", table), _partitions(config), arranged=True)
 
     # ---- checks ------------------------------------------------------------------------------
 

@@ -18,6 +18,7 @@ def replace_partitions(
     cols: Sequence[str],
     targets: Iterable[Sequence] | None = None,
     compression: str | None = None,
+    arranged: bool = False,
 ) -> int:
     """Overwrite exactly the partitions of ``df``, and empty the ``targets`` it has no rows for.
 
@@ -26,10 +27,12 @@ def replace_partitions(
     present in ``df`` are the ones replaced.
 
     Rows are first brought together by partition, so that a task does not write a small file into
-    every directory; adaptive execution splits a partition that is large and merges small ones.
+    every directory; adaptive execution splits a partition that is large and merges small ones. Rows
+    that are ``arranged`` already, clustered or packed to a size, are written as they are.
     """
     spark = df.sparkSession
-    df = df.hint("rebalance", *[F.col(c) for c in cols])
+    if not arranged:
+        df = df.hint("rebalance", *[F.col(c) for c in cols])
     seen = Observation()
     labels = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)) for c in cols])
     # One label per partition directory, so the observed set is as small as the directory listing.

@@ -250,6 +250,26 @@ def test_optimise_keeps_the_rows(spark, rows, warehouse):
         assert rows(w.gold(table)) == before
 
 
+def test_clustering_survives_the_write_of_a_partitioned_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(20000).select((F.hash("id") % 1000).alias("a"), (F.xxhash64("id") % 1000).alias("b"), (F.col("id") % 2).alias("p"))
+    df.write.parquet(str(tmp_path / "s"))
+    laid = layout.cluster_zorder(spark.read.parquet(str(tmp_path / "s")), ["a", "b"], 64, within=["p"])
+    laid.write.parquet(str(tmp_path / "staged"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # one file a task, as with large files
+    try:
+        assert replace_partitions(spark.read.parquet(str(tmp_path / "staged")), path, ["p"], arranged=True) == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+    def opened(folder):
+        ends = spark.read.parquet(folder).groupBy(F.input_file_name().alias("f")).agg(F.min("a").alias("lo"), F.max("a").alias("hi"))
+        found = ends.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.expr("lo <= 500 AND hi >= 500")).alias("hit")).first()
+        return found["hit"] / found["n"]
+
+    assert opened(path) <= opened(str(tmp_path / "staged")) * 1.1 and opened(path) < 0.5
+
+
 def test_employees_without_key_are_rejected(spark, rows):
     pages = landing.bronze_envelope(people(spark, "a", None), "dim_employee", None, ingested_at=DAYS[0])
     assert rows(silver(pages, ENTITIES["dim_employee"], DAYS[0]), "employee_number", "full_name") == [("a", "F a")]
@@ -316,6 +336,11 @@ def test_compact_one_partition(spark, tmp_path):
     assert layout.compact_partition(spark, path, ["p"], "p = 1", str(tmp_path / "stage")) == 150
     files = {p: layout.file_stats(spark.read.parquet(f"{path}/p={p}")).first()["file_count"] for p in (0, 1)}
     assert files[1] == 1 and files[0] > 1 and spark.read.parquet(path).count() == 300
+    large, bytes_a_file = str(tmp_path / "large"), 1 << 20
+    spark.range(400000).select(F.xxhash64("id").alias("v"), F.lit(1).alias("p")).repartition(24).write.partitionBy("p").parquet(large)
+    layout.compact_partition(spark, large, ["p"], "p = 1", str(tmp_path / "stage2"), bytes_a_file)
+    sizes = [f.stat().st_size for f in (tmp_path / "large" / "p=1").glob("*.parquet")]
+    assert len(sizes) < 24 and max(sizes) <= bytes_a_file * 1.25
 
 
 @pytest.mark.parametrize("columns", [["a"], ["a", "s"], ["d", "a", "s"], ["a", "s", "d", "f"]])

@@ -98,6 +98,52 @@ def test_passages_find_exact_and_near_copies(spark):
     assert len({r.cluster for r in found}) == 1 and {r.n_words for r in found} == {60}
 
 
+def shared_runs(texts, size=51):
+    """The places of words that stand in a run of ``size`` words that another text has as well."""
+    split = {i: [w.lower() for w in WORD.findall((t or "").encode())] for i, t in texts.items()}
+    where = defaultdict(set)
+    for i, found in split.items():
+        for k in range(len(found) - size + 1):
+            where[tuple(found[k : k + size])].add((i, k))
+    inside = defaultdict(set)
+    for places in where.values():
+        if len({i for i, _ in places}) > 1:
+            for i, k in places:
+                inside[i].update(range(k, k + size))
+    return inside
+
+
+def words_within(text, spans):
+    """The places of the words of ``text`` that stand within one of ``spans`` of code points."""
+    at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+    return {k for k, (a, b) in enumerate(at) if any(s <= a and b <= e for s, e in spans)}
+
+
+def test_passages_inside_longer_lines(spark):
+    def own(i, n):
+        return " ".join(f"é{i}_{k}" for k in range(n))
+
+    shared = [f"Word{k}" for k in range(70)]
+    rows = [(1, f"{own(1, 200)} {' '.join(shared)} {own(11, 300)}"), (2, f"{own(2, 9)} {' '.join(shared).upper()} {own(12, 9)}"),
+            (3, f"{own(3, 40)} {' '.join(shared[:30])}\n{' '.join(shared[30:])} {own(13, 40)}\n{own(23, 7)}"),
+            (6, f"{' '.join(shared[:48])}\nWord48 word49 word50 {own(6, 30)}"),
+            (4, f"{own(4, 40)} {' '.join(shared[:50])} {own(14, 40)}"), (5, own(5, 400))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_words, r.removed) for r in found} == {(1, 70, False), (2, 70, True), (3, 70, True), (6, 51, True)}
+    assert len(found) == 4 and len({r.cluster for r in found}) == 1
+    for r in found:
+        assert " ".join(dict(rows)[r.doc_id][r.start : r.end].split()).lower() == " ".join(shared[: r.n_words]).lower()
+
+
+def test_passages_hold_all_shared_runs(spark, texts):
+    found = defaultdict(list)
+    for r in QUERIES["op4_passages"](spark, SMALL).collect():
+        found[r.doc_id].append((r.start, r.end))
+    for i, inside in shared_runs(texts).items():
+        missed = inside - words_within(texts[i], found[i])
+        assert all(not missed.issuperset(range(k, k + passages.LEAST_WORDS)) for k in missed), i
+
+
 def test_token_files_round_trip(spark, texts):
     from tokenizers import Tokenizer
 

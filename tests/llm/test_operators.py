@@ -135,6 +135,19 @@ def test_passages_inside_longer_lines(spark):
         assert " ".join(dict(rows)[r.doc_id][r.start : r.end].split()).lower() == " ".join(shared[: r.n_words]).lower()
 
 
+def test_passages_are_judged_by_their_parts(spark):
+    def line(name, n=30):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [(1, "\n".join([line("a"), line("b")])), (2, "\n".join([line("a"), line("b"), line("c"), line("d")])),
+            (3, "\n".join([line("own3"), line("c"), line("d")])), (4, "\n".join([line("d"), line("own4"), line("a")]))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    assert {(r.doc_id, text[r.doc_id][r.start : r.end].split("\n")[0][:2], r.n_words, r.removed) for r in found} == {
+        (1, "a0", 60, False), (2, "a0", 60, True), (2, "c0", 60, False), (3, "c0", 60, True)}
+    assert len(found) == 4 and len({r.cluster for r in found}) == 2
+
+
 def test_passages_hold_all_shared_runs(spark, texts):
     found = defaultdict(list)
     for r in QUERIES["op4_passages"](spark, SMALL).collect():

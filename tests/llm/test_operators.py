@@ -148,6 +148,16 @@ def test_passages_are_judged_by_their_parts(spark):
     assert len(found) == 4 and len({r.cluster for r in found}) == 2
 
 
+def test_passages_of_short_lines(spark):
+    menu = [f"dish{k} price{k}" for k in range(45)]
+    other = [*menu[:22], "dish22 none", *menu[23:]]
+    long = [" ".join(f"{name}{k}" for k in range(n)) for name, n in (("a", 25), ("b", 24))]
+    rows = [(1, "own1 text that stands before it\n" + "\n".join(menu)), (2, "\n".join(other) + "\nown2 text that stands after it"),
+            (3, f"own3 line\n{long[0]}\none two\n{long[1]}"), (4, f"{long[0]}\none 2\n{long[1]}\nown4 line")]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_words, r.removed) for r in found} == {(1, 90, False), (2, 90, True), (3, 27, False), (3, 24, False), (4, 27, True), (4, 24, True)}
+
+
 def test_passages_hold_all_shared_runs(spark, texts):
     found = defaultdict(list)
     for r in QUERIES["op4_passages"](spark, SMALL).collect():

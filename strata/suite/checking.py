@@ -125,9 +125,9 @@ def check_reconciliation(s: Samples, l: Layers) -> DataFrame:
 )
 def check_layer_reconciliation(s: Samples, l: Layers) -> DataFrame:
     """Compared while the star table stands at period 20."""
-    gold = l.gold("fact_payroll_earnings").where("PAY_PERIOD_ID <= 20")
+    first = l.first_load()
     return checks.check_layer_reconciliation(
-        l.silver("fact_earnings"), gold, ("pay_period_id", "PAY_PERIOD_ID"), ("earning_amount", "EARNING_AMOUNT")
+        first.silver("fact_earnings"), first.gold("fact_payroll_earnings"), ("pay_period_id", "PAY_PERIOD_ID"), ("earning_amount", "EARNING_AMOUNT")
     )
 
 
@@ -275,14 +275,13 @@ def check_dim_current(s: Samples, l: Layers) -> DataFrame:
        UNION ALL SELECT 'typed_without_raw', count(*) FROM silver_earn WHERE pay_period_id = 26""",
 )
 def check_lineage(s: Samples, l: Layers) -> DataFrame:
-    """Traced against typed rows up to period 20 and raw rows without period 26."""
-    typed, raw = l.silver("fact_earnings"), l.bronze("fact_earnings").where("partition_column <> '26'")
+    """Traced once against raw rows without period 26 and once against typed rows up to period 20, all else whole."""
+    typed, raw = l.silver("fact_earnings"), l.bronze("fact_earnings")
     dim = l.gold("dwh_dim_employee").select("EMPLOYEE_KEY", "EMPLOYEE_NUMBER")
     gold = lookup_join(l.gold("fact_payroll_earnings"), dim, [("EMPLOYEE_KEY", "EMPLOYEE_KEY")], ["EMPLOYEE_NUMBER"])
     keys = {"employee_number": "EMPLOYEE_NUMBER", "pay_period_id": "PAY_PERIOD_ID", "earning_code": "EARNING_CODE"}
-    no_raw = checks.check_lineage(gold, typed, raw, keys).where("break = 'typed_without_raw'")
-    no_typed = checks.check_lineage(gold, typed.where("pay_period_id <= 20"), raw, keys)
-    return no_raw.unionByName(no_typed.where("break = 'star_without_typed'"))
+    no_raw = checks.check_lineage(gold, typed, raw.where("partition_column <> '26'"), keys)
+    return no_raw.unionByName(checks.check_lineage(gold, typed.where("pay_period_id <= 20"), raw, keys))
 
 
 @query(
@@ -292,10 +291,10 @@ def check_lineage(s: Samples, l: Layers) -> DataFrame:
 )
 def check_e2e_counts(s: Samples, l: Layers) -> DataFrame:
     """The last period before its star load."""
-    gold = l.gold("fact_payroll_earnings").where("PAY_PERIOD_ID <= 20")
+    first = l.first_load()
     return checks.check_pipeline_counts(
-        l.bronze("fact_earnings", 26), l.silver("fact_earnings").where("pay_period_id = 26"),
-        gold.where("PAY_PERIOD_ID = 26"),
+        first.bronze("fact_earnings", 26), first.silver("fact_earnings").where("pay_period_id = 26"),
+        first.gold("fact_payroll_earnings").where("PAY_PERIOD_ID = 26"),
     )
 
 

@@ -26,13 +26,16 @@ STAR = {
 class Layers:
     """The warehouse of one data directory; each table is loaded when a query first needs it.
 
-    Employees are loaded twice, as known on EARLY and on FINAL. Facts are loaded in two increments.
+    Employees are loaded twice, as known on EARLY and on FINAL. Facts are loaded in two increments, each
+    up to a period of ``loads``.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, loads: tuple[int | None, ...] = (FIRST_LOAD_UPTO, None)):
         self.samples = Samples(spark, sf_dir)
         self.spark = spark
         self.warehouse = Warehouse(spark, scratch_path(spark, "layers"))
+        self._sf_dir, self._loads = sf_dir, loads
+        self._first: Layers | None = None
         self._done: set[str] = set()
 
     def _once(self, step: str, work: Callable[[], object]) -> None:
@@ -71,10 +74,16 @@ class Layers:
         self._dimensions()
         if table.startswith("fact"):
             self.silver(next(s for s, g in STAR.items() if g == table))
-            self._once(f"first {table}", lambda: self.warehouse.load_fact(table, LOADED_AT, upto=FIRST_LOAD_UPTO))
-            self._once(f"gold {table}", lambda: self.warehouse.load_fact(table, LOADED_AT))
+            for upto in self._loads:
+                self._once(f"gold {table} {upto}", lambda u=upto: self.warehouse.load_fact(table, LOADED_AT, upto=u))
         return self.warehouse.gold(table)
 
+    def first_load(self) -> "Layers":
+        """A second warehouse, whose facts stand after their first load."""
+        if self._first is None:
+            self._first = Layers(self.spark, self._sf_dir, (FIRST_LOAD_UPTO,))
+        return self._first
+
     def early_dimension(self, table: str) -> DataFrame:
         """The dimension after its first load: later employees are missing from it."""
         self._dimensions()

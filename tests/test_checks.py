@@ -166,3 +166,36 @@ def test_scorecard(spark):
     )
     got = {r["dimension"]: (r["actual"], r["status"]) for r in scores.collect()}
     assert got["uniqueness"] == (75.0, "FAIL") and got["completeness"] == (100.0, "PASS") and got["timeliness"] == (25.0, "FAIL")
+
+
+def test_registered_checks_read_whole_tables(spark):
+    from strata.suite import checking
+
+    class Stand:
+        """Layers with a star row too few in period 26, a typed row of period 3 without its page and a star row of period 4 without its typed row."""
+
+        def first_load(self):
+            return self
+
+        def bronze(self, entity, partition=None):
+            pages = spark.createDataFrame([("p25", "25", 1), ("p26", "26", 3)], "ingestion_id string, partition_column string, record_count long")
+            return pages.where(f"partition_column = '{partition}'") if partition else pages
+
+        def silver(self, entity):
+            rows = [("e1", 3, "A", 1.0, "lost"), *[(f"e{i}", 26, "A", 1.0, "p26") for i in (1, 2, 3)]]
+            return spark.createDataFrame(
+                rows, "employee_number string, pay_period_id int, earning_code string, earning_amount double, source_file_id string")
+
+        def gold(self, table):
+            if table == "dwh_dim_employee":
+                return spark.createDataFrame([(i, f"e{i}") for i in (1, 2, 3)], "EMPLOYEE_KEY int, EMPLOYEE_NUMBER string")
+            return spark.createDataFrame(
+                [(1, 3, "A", 1.0), (1, 4, "A", 1.0), (1, 26, "A", 1.0), (2, 26, "A", 1.0)],
+                "EMPLOYEE_KEY int, PAY_PERIOD_ID int, EARNING_CODE string, EARNING_AMOUNT double")
+
+    counts = checking.check_e2e_counts(None, Stand()).first()
+    assert (counts.bronze_count, counts.silver_count, counts.gold_count) == (3, 3, 2)
+    differ = {r.period: (r.silver_rows, r.gold_rows) for r in checking.check_layer_reconciliation(None, Stand()).collect()}
+    assert differ[26] == (3, 2)
+    found = sorted((r["break"], r.rows) for r in checking.check_lineage(None, Stand()).collect())
+    assert found == [("star_without_typed", 1), ("star_without_typed", 3), ("typed_without_raw", 1), ("typed_without_raw", 4)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact_dedup, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, token_files
+from strata.llm import bpe, exact_dedup, fill_in_middle, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, token_files
 from strata.llm.sql import ORACLES
 from strata.session import scratch_path
 
@@ -114,3 +114,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and of the bytes they decode to."""
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuts of each document, and the digests of its output and of the text rebuilt from it."""
+    made = fill_in_middle.transform(documents(spark, sf_dir))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )

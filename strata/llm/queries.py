@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, exact_dedup, fill_in_middle, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, spelling, token_files
+from strata.llm import bpe, exact_dedup, fill_in_middle, mixing, ngram_join, passages, pii, quality_fm, quality_rules, sharding, spelling, substrings, token_files
 from strata.llm.sql import ORACLES
 from strata.session import scratch_path
 
@@ -131,3 +131,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document in strings of 400 that start elsewhere too, and the digest of the others."""
+    found = substrings.without_repeats(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["to"] - span["from"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

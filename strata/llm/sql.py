@@ -104,4 +104,31 @@ ORACLES = {
                sha256(t) AS restored_sha256
         FROM parts
     """,
+    "op13_substrings": """
+        WITH texts AS (
+            SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS t, octet_length(encode(coalesce(text, '')))::INT AS n
+            FROM documents
+        ), blocks AS (
+            SELECT id, 512 * k AS base, substr(t, (1024 * k + 1)::INT, 1024 + 800) AS part, least(512, n - 399 - 512 * k) AS m
+            FROM (SELECT id, t, n, unnest(range(0, (n - 400) // 512 + 1)) AS k FROM texts WHERE n >= 400)
+        ), strings AS (
+            SELECT id, base + q AS p, md5_number(substr(part, (2 * q + 1)::INT, 800)) AS h
+            FROM (SELECT id, base, part, unnest(range(0, m)) AS q FROM blocks)
+        ), starts AS (
+            SELECT id, p FROM strings WHERE h IN (SELECT h FROM strings GROUP BY h HAVING count(*) > 1)
+        ), led AS (
+            SELECT *, p > coalesce(lag(p) OVER (PARTITION BY id ORDER BY p), -1000) + 400 AS opens FROM starts
+        ), spans AS (
+            SELECT id, min(p)::INT AS a, max(p)::INT + 400 AS b
+            FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY id ORDER BY p) AS run FROM led) GROUP BY id, run
+        ), cuts AS (
+            SELECT texts.id, count(a) AS n_spans, coalesce(sum(b - a), 0)::BIGINT AS n_removed,
+                   list_concat([0], coalesce(list(b ORDER BY a) FILTER (a IS NOT NULL), [])) AS ends,
+                   list_concat(coalesce(list(a ORDER BY a) FILTER (a IS NOT NULL), []), [any_value(n)]) AS begins
+            FROM texts LEFT JOIN spans USING (id) GROUP BY texts.id
+        )
+        SELECT doc_id, n::BIGINT AS n_bytes, n_removed, n_spans, sha256(unhex(array_to_string(
+            list_transform(list_zip(ends, begins), lambda g: substr(t, 2 * g[1] + 1, 2 * (g[2] - g[1]))), ''))) AS kept_sha256
+        FROM texts JOIN cuts USING (id)
+    """,
 }

@@ -25,12 +25,12 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.text import lower_az, map_rows
+from strata.llm.text import lower_az, map_rows, map_task
 from strata.operators.skew import shuffle_width
 from strata.session import released, stored
 
@@ -41,7 +41,8 @@ GROUPS = ("ej", "aq", "ix", "oz", "nk", "tv", "sw", "ry", "lb", "dg", "up", "hm"
 DEPTH = 1 + len(GROUPS)
 SUBTREE, NODES = 16_384, 20_000
 SEARCHES = 1 << 20
-BUCKET = 32
+BUCKET = 16
+TOGETHER = 20_000
 EDGE = 3
 LEVEL = {letter: k for k, letters in enumerate(GROUPS, start=1) for letter in letters}
 _DRAWN = random.Random(11)
@@ -152,23 +153,37 @@ def routes(counts: Path, opened: dict[Path, int]) -> Iterator[tuple[Path, int]]:
 
 def routed(words: DataFrame, opened: dict[Path, int], most: int) -> DataFrame:
     """Rows (subtree, piece, role, word, n): each word as an entry of its subtree and as the searches it makes."""
+    deepest = max(map(len, opened), default=-1) + 1
+
+    def reached(counts: Path) -> tuple[str, int, list[tuple[str, int, int]]]:
+        """The own subtree and its pieces, and (subtree, piece, budget) of each search."""
+        own = 0
+        while own < DEPTH and counts[:own] in opened:
+            own += 1
+        searches = [
+            (",".join(map(str, path)), piece, budget)
+            for path, budget in routes(counts, opened)
+            for piece in range(pieces(path))
+        ]
+        return ",".join(map(str, counts[:own])), pieces(counts[:own]), searches
+
+    def pieces(path: Path) -> int:
+        return -(-opened[path] // most) if path in opened else 1
+
     def work():
+        known: dict[Path, tuple] = {}
+
         def each(word, n):
-            counts = levels_of(word)
-            own = 0
-            while own < DEPTH and counts[:own] in opened:
-                own += 1
-            pieces = pieces_of(counts[:own])
-            yield named(counts[:own]), zlib.crc32(word.encode()) % pieces, ENTRY, word, n
-            for path, budget in routes(counts, opened):
-                for piece in range(pieces_of(path)):
-                    yield named(path), piece, budget, word, n
-
-        def pieces_of(path):
-            return -(-opened[path] // most) if path in opened else 1
-
-        def named(path):
-            return ",".join(map(str, path))
+            # Words that agree on the open levels make the same searches.
+            counts = levels_of(word)[:deepest]
+            if counts not in known:
+                if len(known) > 50_000:
+                    known.clear()
+                known[counts] = reached(counts)
+            subtree, parts, searches = known[counts]
+            yield subtree, zlib.crc32(word.encode()) % parts, ENTRY, word, n
+            for place, piece, budget in searches:
+                yield place, piece, budget, word, n
 
         return each
 
@@ -203,63 +218,95 @@ def one_apart(a: str, b: str) -> bool:
     return a != b and a[low + 1 - longer :] == b[low + 1 :]
 
 
-class Subtree:
-    """The entries of one subtree, by their levels from ``depth`` on; small nodes stay lists.
+Row = tuple[Path, int, str, str, str, int]
+
+
+def row_of(word: str, n: int) -> Row:
+    """A word with all that tells it from others: levels, weight, both ends."""
+    return levels_of(word), weight_of(word), word[:EDGE], word[-EDGE:], word, n
+
+
+def arranged(rows: list[Row], depth: int) -> list[Row] | dict:
+    """The trie of ``rows`` from a level on: below each count what has it; few rows stay a list."""
+    if len(rows) <= BUCKET or depth == DEPTH:
+        return rows
+    return {count: arranged(some, depth + 1) for count, some in by_count(rows, depth).items()}
+
+
+def by_count(rows: list[Row], depth: int) -> dict[int, list[Row]]:
+    below: dict[int, list[Row]] = {}
+    for row in rows:
+        below.setdefault(row[0][depth], []).append(row)
+    return below
+
 
-    The words of a list are told apart by their weight, which stands for the counts of all single letters,
-    and by their ends, before they are verified.
+def met(searches: list[Row] | dict, entries: list[Row] | dict, depth: int, budget: int) -> Iterator[tuple[list[Row], list[Row], int]]:
+    """The leaves of searches and entries that depth-first search brings together, with the budget left.
+
+    Searches go down as a trie of their own, so what many have in common is gone through once.
     """
+    stack = [(searches, entries, depth, budget)]
+    while stack:
+        some, node, at, left = stack.pop()
+        if type(node) is list:
+            if type(some) is dict:
+                stack.extend((below, node, at, left) for below in some.values())
+            else:
+                yield some, node, left
+            continue
+        for count, below in (some if type(some) is dict else by_count(some, at)).items():
+            for other, after in start(count) if at == 0 else steps(left, count):
+                if other in node:
+                    stack.append((below, node[other], at + 1, after))
+
 
-    def __init__(self, entries: list[tuple[str, int]], depth: int):
-        self._depth = depth
-        self._root = self._node([(levels_of(word), word, n) for word, n in entries], depth)
-
-    def _node(self, rows: list, depth: int) -> list | dict:
-        if len(rows) <= BUCKET or depth == DEPTH:
-            return [(weight_of(word), word[:EDGE], word[-EDGE:], word, n) for _, word, n in rows]
-        below: dict[int, list] = {}
-        for row in rows:
-            below.setdefault(row[0][depth], []).append(row)
-        return {count: self._node(some, depth + 1) for count, some in below.items()}
-
-    def near(self, word: str, budget: int) -> Iterator[tuple[str, int]]:
-        """The entries one code point from ``word`` that a search with ``budget`` left reaches."""
-        counts, weight, head, tail, length = levels_of(word), weight_of(word), word[:EDGE], word[-EDGE:], len(word)
-        stack = [(self._root, self._depth, budget)]
-        while stack:
-            node, depth, left = stack.pop()
-            if type(node) is dict:
-                for count, after in start(length) if depth == 0 else steps(left, counts[depth]):
-                    if count in node:
-                        stack.append((node[count], depth + 1, after))
+def near_rows(searches: list[Row], entries: list[Row] | dict, depth: int, budget: int) -> Iterator[tuple[str, int, str, int]]:
+    """Pairs one code point apart of searches that have ``budget`` left and the entries of a subtree.
+
+    The words of two leaves are told apart by their weights, which stand for the counts of all single
+    letters, and by their ends, before they are verified.
+    """
+    for some, leaf, left in met(arranged(searches, depth), entries, depth, budget):
+        for _, weight, head, tail, word, n in some:
+            found = [row for row in leaf if row[1] - weight in APART]
+            if not found:
                 continue
-            found = [row for row in node if row[0] - weight in APART]
-            for _, first, last, other, n in found:
+            length = len(word)
+            for _, _, first, last, other, other_n in found:
                 # One place can't touch both ends, unless the words are short.
                 if first != head and last != tail and length > 2 * EDGE:
                     continue
                 longer = len(other) - length
-                # Words that differ below this node, or in no count, search each other: one of them is enough.
+                # Words that differ below this leaf, or in no count, search each other: one of them is enough.
                 if (longer == 1 or longer == 0 and (left != BOTH or word < other)) and one_apart(word, other):
-                    yield other, n
+                    yield word, n, other, other_n
 
 
-def searched() -> Callable[..., Iterator[tuple]]:
+def searched(rows: Iterator[tuple]) -> Iterator[tuple[str, int, str, int]]:
     """Turns the rows of a task, each group's entries before its searches, into pairs."""
-    group, entries, tree = None, [], None
+    group, entries, tree, depth = None, [], None, 0
+    waiting: dict[int, list[Row]] = {}
 
-    def each(subtree, piece, salt, role, word, n):
-        nonlocal group, entries, tree
+    def gone_through() -> Iterator[tuple[str, int, str, int]]:
+        for budget, searches in waiting.items():
+            yield from near_rows(searches, tree, depth, budget)
+        waiting.clear()
+
+    for subtree, piece, salt, role, word, n in rows:
         if (subtree, piece, salt) != group:
+            yield from gone_through()
             group, entries, tree = (subtree, piece, salt), [], None
+            depth = subtree.count(",") + 1 if subtree else 0
         if role == ENTRY:
-            entries.append((word, n))
+            entries.append(row_of(word, n))
         elif entries:
-            tree = tree or Subtree(entries, subtree.count(",") + 1 if subtree else 0)
-            for other, other_n in tree.near(word, role):
-                yield word, n, other, other_n
-
-    return each
+            if tree is None:
+                tree = arranged(entries, depth)
+            some = waiting.setdefault(role, [])
+            some.append(row_of(word, n))
+            if len(some) == TOGETHER:
+                yield from gone_through()
+    yield from gone_through()
 
 
 def near_pairs(words: DataFrame, subtree: int = SUBTREE, nodes: int = NODES, searches: int = SEARCHES) -> DataFrame:
@@ -269,7 +316,7 @@ def near_pairs(words: DataFrame, subtree: int = SUBTREE, nodes: int = NODES, sea
     place = ["subtree", "piece", "salt"]
     grouped = dealt(rows, searches).select(*place, "role", "word", "n")
     grouped = grouped.repartition(shuffle_width(words), *place).sortWithinPartitions(*place, "role")
-    pairs = stored(map_rows(grouped, "a string, a_n bigint, b string, b_n bigint", searched, many=True), "near")
+    pairs = stored(map_task(grouped, "a string, a_n bigint, b string, b_n bigint", searched), "near")
     released(rows)
     return pairs
 

@@ -27,12 +27,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from strata.llm.text import M1, importable, map_rows, mixed, rows_of, text_bytes
+from strata.llm.text import M1, map_rows, map_task, mixed, text_bytes
 from strata.operators.skew import lookup_join, shuffle_width
 from strata.session import released, stored
 
@@ -219,7 +217,7 @@ def compared(length: int, batch_bytes: int = BATCH_BYTES):
             if not doubled:
                 starts = np.flatnonzero(found[at : at + len(data)])
                 if len(starts):
-                    yield c1, c2, [(a - before, b - before) for a, b in covered(starts, length)]
+                    yield c1, c2, [{"from": a - before, "to": b - before} for a, b in covered(starts, length)]
             at += len(data) + 1
 
     def groups(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -242,22 +240,8 @@ UNIT = ("key", "c1", "c2", "cid", "pos", "before", "data", "sure")
 
 def compare(units: DataFrame, length: int) -> DataFrame:
     """(c1, c2, spans) of units whose keys have a bounded number of contexts each."""
-    target = StructType.fromDDL(f"c1 bigint, c2 bigint, {SPANS}")
-
-    def work(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        arrow, held = to_arrow_schema(target), []
-        for c1, c2, spans in compared(length)(rows_of(batches)):
-            held.append({"c1": c1, "c2": c2, "spans": [{"from": a, "to": b} for a, b in spans]})
-            if len(held) == 10_000:
-                yield pa.RecordBatch.from_pylist(held, arrow)
-                held = []
-        if held:
-            yield pa.RecordBatch.from_pylist(held, arrow)
-
     ready = units.select(*UNIT).repartition(shuffle_width(units), "key").sortWithinPartitions("key")
-    return importable(ready).mapInArrow(work, target)
+    return map_task(ready, f"c1 bigint, c2 bigint, {SPANS}", compared(length))
 
 
 def split(units: DataFrame, length: int) -> DataFrame:

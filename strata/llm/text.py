@@ -114,24 +114,36 @@ def map_rows(
     ``work`` is called once a task and returns the function. The function gets one row's values and
     returns one row, or yields rows if ``many``. Rows leave in batches of bounded size.
     """
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        each = work()
+        for row in rows:
+            if many:
+                yield from each(*row)
+            else:
+                yield each(*row)
+
+    return map_task(df, schema, run)
+
+
+def map_task(df: DataFrame, schema: str, run: Callable[[Iterator[tuple]], Iterator[tuple]]) -> DataFrame:
+    """The rows of each task of ``df``, in order, through a generator that sees them all; out in batches of bounded size."""
     target = StructType.fromDDL(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batches_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow, each = to_arrow_schema(target), work()
-        held, size = [], 0
-        for row in rows_of(batches):
-            for out in each(*row) if many else (each(*row),):
-                held.append(out)
-                size += 32 + sum(len(v) * 4 for v in out if isinstance(v, (bytes, str, list, np.ndarray)))
+        arrow, held, size = to_arrow_schema(target), [], 0
+        for out in run(rows_of(batches)):
+            held.append(out)
+            size += 32 + sum(len(v) * 4 for v in out if isinstance(v, (bytes, str, list, np.ndarray)))
             if size > OUT_BYTES:
                 yield as_batch(held, arrow)
                 held, size = [], 0
         if held:
             yield as_batch(held, arrow)
 
-    return importable(df).mapInArrow(run, target)
+    return importable(df).mapInArrow(batches_out, target)
 
 
 def as_batch(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -7,13 +7,14 @@ under the gram's key, with all that a window around the anchor can cover as cont
 
 * A key that occurs once settles its windows as not repeated; a key with one context, met at several
   places, settles all of them as repeated. Copies thus cost an aggregation and no comparison.
-* What is left has its distinct contexts compared: the suffixes of a batch of contexts are sorted by
-  their first ``length`` bytes, and from their transform the places where common prefixes end are
-  derived breadth-first, one backward step at a time, by increasing common prefix, until ``length``.
-  Suffixes that no such place parts share ``length`` bytes. They count if they start at two places.
-* A key with more than ``most`` contexts is split: windows whose anchor is at most half as far in, and
-  the others, have a longer core in common, whose hash is the new key. The halves are halved again
-  until a key is settled or small enough; at the last, the core is the window itself.
+* What is left is split: windows whose anchors are nearly as far in have a longer core in common,
+  whose hash is the new key. Again keys are settled by one place or one content.
+* Of the keys that are left, the contents are compared: the suffixes of a batch are sorted by their
+  first ``length`` bytes, and from their transform the places where common prefixes end are derived
+  breadth-first, one backward step at a time, by increasing common prefix, until ``length``. Suffixes
+  that no such place parts share ``length`` bytes. They count if they start at two places.
+* A key with more than ``most`` contents is split again instead; at the last, the core is the window
+  itself, and settled.
 
 Keys are hashes, which only bring contexts together. Equal contexts are told by 128-bit hashes, and
 are the only thing that is taken as equal without comparing bytes.
@@ -36,6 +37,7 @@ from strata.session import released, stored
 
 LENGTH, GRAM = 400, 128
 MOST = 1024
+PARTS = 8
 BATCH_BYTES = 1 << 20
 BROADCAST = 16 << 20
 SYMBOL = np.random.default_rng(13).integers(0, 1 << 64, 256, np.uint64)
@@ -245,31 +247,35 @@ def compare(units: DataFrame, length: int) -> DataFrame:
 
 
 def split(units: DataFrame, length: int) -> DataFrame:
-    """Each unit as two, for the nearer and the farther half of its anchors' distances lo to hi."""
+    """The windows of each unit, whose anchors are lo to hi bytes in, as ``PARTS`` units, without their bytes.
+
+    at (lo of the unit), lo, hi, from and to (what the windows cover, from the anchor), and f1 and f2,
+    the hash of that. The key is the hash of the core that all windows of the part have in common.
+    """
 
     def work():
         import xxhash
 
-        def each(key, c1, c2, cid, pos, before, data, sure, lo, hi):
-            middle = (lo + hi) // 2
-            for low, high in ((lo, middle), (middle + 1, hi)):
+        def each(c1, c2, before, data, sure, lo, hi):
+            step = -(-(hi - lo + 1) // PARTS)
+            after = len(data) - before
+            for low in range(lo, hi + 1, step):
+                high = min(low + step - 1, hi)
                 # Some window starts low to high bytes before the anchor and ends inside the data.
-                if max(low, length - (len(data) - before)) > min(high, before):
+                if max(low, length - after) > min(high, before):
                     continue
                 core = data[before - low : before - high + length]
-                begin, end = max(0, before - high), min(len(data), before - low + length)
-                part, ahead = data[begin:end], before - begin
-                f1, f2 = halves(b"%d:" % ahead + part)
+                ahead, behind = min(before, high), min(after, length - low)
+                f1, f2 = halves(b"%d:" % ahead + data[before - ahead : before + behind])
                 name = np.uint64(xxhash.xxh3_64_intdigest(core, seed=low)).view(np.int64)
-                yield int(name), c1, c2, cid, pos, ahead, part, sure, low, high, int(f1), int(f2)
+                yield int(name), c1, c2, sure, lo, low, high, -ahead, behind, int(f1), int(f2)
 
         return each
 
     schema = (
-        "key bigint, c1 bigint, c2 bigint, cid bigint, pos int, before int, data binary, sure boolean, "
-        "lo int, hi int, f1 bigint, f2 bigint"
+        "key bigint, c1 bigint, c2 bigint, sure boolean, at int, lo int, hi int, `from` int, `to` int, f1 bigint, f2 bigint"
     )
-    return map_rows(units.select(*UNIT, "lo", "hi"), schema, work, many=True)
+    return map_rows(units.select("c1", "c2", "before", "data", "sure", "lo", "hi"), schema, work, many=True)
 
 
 def one_of(*columns: str):
@@ -281,25 +287,35 @@ def one_of(*columns: str):
 
 
 def settle(units: DataFrame, length: int, most: int) -> DataFrame:
-    """(c1, c2, spans) of the repeated strings in ``units``, keys with more than ``most`` contexts split first."""
+    """(c1, c2, spans) of the repeated strings in ``units``.
+
+    Each round splits all units that are left; ``PARTS`` to the power of three is more than the windows
+    of a context, so after three rounds a part is a window, and its keys are settled.
+    """
     found = []
     while True:
-        # At most one key for each ``most`` units.
-        busy = stored(units.groupBy("key").count().where(F.col("count") > most).select("key"), "busy")
-        found.append(stored(compare(units.join(F.broadcast(busy), "key", "left_anti"), length), "compared"))
-        if busy.isEmpty():
-            released(busy, units)
-            break
-        parts = stored(split(units.join(F.broadcast(busy), "key", "left_semi"), length), "parts")
-        released(busy, units)
+        parts = stored(split(units, length), "parts")
         keys = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), one_of("f1", "f2").alias("uniform")).where("n > 1")
         keys = stored(keys.select(F.col("key").alias("k"), "uniform"), "keys")
         met = stored(lookup_join(parts, keys, [("key", "k")], ["uniform"], BROADCAST).where("uniform is not null"), "met")
         released(parts, keys)
-        whole = F.array(F.struct((-F.col("before")).alias("from"), (F.octet_length("data") - F.col("before")).alias("to")))
+        whole = F.array(F.struct("from", "to"))
         found.append(stored(met.where("uniform and not sure").select("c1", "c2", whole.alias("spans")), "compared"))
-        units = stored(met.where("not uniform").drop("uniform", "f1", "f2"), "units")
-        released(met)
+        bodies = units.select("c1", "c2", F.col("lo").alias("at"), "cid", "pos", F.col("before").alias("lead"), "data")
+        left = met.where("not uniform").join(bodies, ["c1", "c2", "at"]).select(
+            "key", "c1", "c2", "cid", "pos", (-F.col("from")).alias("before"),
+            F.substring("data", F.col("lead") + F.col("from") + 1, F.col("to") - F.col("from")).alias("data"), "sure", "lo", "hi",
+        )
+        left = stored(left, "units")
+        released(met, units)
+        # At most one key for each ``most`` units.
+        busy = stored(left.groupBy("key").count().where(F.col("count") > most).select("key"), "busy")
+        found.append(stored(compare(left.join(F.broadcast(busy), "key", "left_anti"), length), "compared"))
+        if busy.isEmpty():
+            released(busy, left)
+            break
+        units = stored(left.join(F.broadcast(busy), "key", "left_semi"), "units")
+        released(busy, left)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm import fill_in_middle, spelling
+from strata.llm import fill_in_middle, spelling, substrings
 from strata.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -139,3 +139,61 @@ def test_transformation_of_documents(spark, texts, odd_docs, no_docs):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(texts + odd + extra, key=repr)
     assert fill_in_middle.transform(no_docs).collect() == []
     assert fill_in_middle.transform(odd_docs).count() == odd_docs.count()
+
+
+# Repeated byte strings
+
+
+def removed_by_force(texts, length):
+    """For each text the bytes covered by a string of ``length`` bytes that starts at another place as well."""
+    data = [(t or "").encode() for t in texts]
+    times = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for p in range(len(d) - length + 1):
+            if times[d[p : p + length]] > 1:
+                gone[p : p + length] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0, append=0)).tolist()
+        out.append((len(d), list(zip(edges[::2], edges[1::2])), bytes(b for b, g in zip(d, gone) if not g)))
+    return out
+
+
+def removed(docs, *args):
+    rows = substrings.without_repeats(docs, "doc_id", "text", *args).collect()
+    return sorted((r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in rows)
+
+
+@given(st.lists(st.text("abé", max_size=30), min_size=1, max_size=6), st.integers(2, 9))
+@settings(max_examples=150, deadline=None)
+def test_repeated_starts(texts, length):
+    data = [t.encode() for t in texts]
+    found = substrings.repeated_starts(data, np.arange(len(data), dtype=np.int64) << 32, np.zeros(len(data), bool), length)
+    times = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    want = [p + length <= len(d) and times[d[p : p + length]] > 1 for d in data for p in range(len(d) + 1)]
+    assert found.tolist() == want
+
+
+@pytest.mark.parametrize("most", [1024, 2])
+def test_repeats_of_every_kind(spark, most):
+    """Copies, edges inside texts, periods, overlaps in one text, and a passage that most texts share."""
+    rng = random.Random(3)
+
+    def prose(n):
+        return "".join(rng.choices("abcdeé ", k=n))
+
+    passage, copy = prose(60), prose(150)
+    texts = [prose(rng.randint(0, 80)) + passage[: rng.randint(25, 60)] + prose(rng.randint(0, 80)) for _ in range(30)]
+    texts += [copy, copy, copy[20:] + "!", copy[:90] + "?" + copy[91:], "ab" * 60, "x" * 100, "x" * 39, "x" * 40, "x" * 41, None, "", "e" + copy * 2]
+    docs = spark.createDataFrame([(k % 7, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert removed(docs, 40, 16, most) == sorted(removed_by_force(texts, 40))
+
+
+def test_repeats_of_documents(spark, texts, odd_docs, no_docs):
+    found = {r.doc_id: r for r in QUERIES["op13_substrings"](spark, SMALL).collect()}
+    for (i, _), (n, spans, kept) in zip(texts, removed_by_force([t for _, t in texts], 400)):
+        r = found[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (n, sum(b - a for a, b in spans), len(spans))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+    odd = [r.text for r in odd_docs.collect()]
+    assert removed(odd_docs) == sorted(removed_by_force(odd, 400)) and removed(no_docs) == []

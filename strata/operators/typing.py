@@ -18,7 +18,7 @@ def infer_payload_schema(bronze: DataFrame, n: int | None = None, payload: str =
     The aggregate merges schemas on the executors; only the resulting type reaches the driver.
     """
     rows = bronze if n is None else bronze.orderBy("ingestion_id").limit(n)
-    variant = F.try_parse_json(_record_array(payload))
+    variant = F.try_parse_json(record_array(payload))
     found = rows.agg(F.schema_of_variant_agg(variant).alias("s")).first()["s"]
     ddl = (found or "VOID").replace("OBJECT<", "STRUCT<")
     if not ddl.startswith("ARRAY<STRUCT<"):
@@ -39,16 +39,16 @@ def parse_payload(
     payload is not JSON yield no record; ``unreadable_payloads`` lists them.
     """
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    records = F.from_json(_record_array(payload), T.ArrayType(record))
+    records = F.from_json(record_array(payload), T.ArrayType(record))
     return bronze.select(*keep, F.inline(records))
 
 
 def unreadable_payloads(bronze: DataFrame, payload: str = "payload_json") -> DataFrame:
-    top = F.json_array_length(_record_array(payload))
+    top = F.json_array_length(record_array(payload))
     return bronze.where(F.col(payload).isNotNull() & top.isNull())
 
 
-def _record_array(payload: str) -> Column:
+def record_array(payload: str) -> Column:
     """The JSON text of the records, whichever of the two payload forms is given."""
     text = F.col(payload)
     return F.when(F.ltrim(text).startswith("{"), F.get_json_object(text, "$.Data")).otherwise(text)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from strata.operators import outcomes as o
 from strata.operators import quality as q
 from strata.operators.star import fk_lookup, incremental_filter, merge_dimension_scd1
 from strata.operators.typing import (
+    RAW_COLUMNS,
     common_type,
     detect_new_columns,
     infer_payload_schema,
@@ -170,6 +172,20 @@ def flagged_records(bronze: DataFrame, entity: Entity, as_of: str) -> DataFrame:
     return q.flag_rejects(entity.derive(typed_records(bronze, entity), as_of), entity.rules())
 
 
+def judged_records(bronze: DataFrame, entity: Entity, as_of: str) -> DataFrame:
+    """Every record of the raw rows, typed and standardised, with its outcome and reasons; an unreadable
+    page is one row. The payloads are parsed once for all outcomes."""
+    pages = o.read_pages(bronze, entity.as_strings, RAW_COLUMNS)
+    typed = typed_cast(pages.withColumn("__lost", o.lost_casts(pages, entity.columns)), entity.columns)
+    renamed = typed.withColumnRenamed("ingestion_id", "source_file_id")
+    return o.judge(entity.derive(renamed, as_of), entity.rules())
+
+
+def typed_table(judged: DataFrame, entity: Entity, as_of: str, run_id: str = "silver") -> DataFrame:
+    """The typed table from judged records: of those that are loaded, the newest row per key."""
+    return q.add_audit_columns(q.dedup_latest(o.loaded(judged), entity.keys, entity.order), run_id, as_of)
+
+
 def silver(bronze: DataFrame, entity: Entity, as_of: str, run_id: str = "silver") -> DataFrame:
     """The typed table of an entity from its raw rows: one valid, newest row per key."""
     good = flagged_records(bronze, entity, as_of).where(F.size("failed_rules") == 0).drop("failed_rules")

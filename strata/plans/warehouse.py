@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from contextlib import contextmanager
@@ -34,6 +35,7 @@ from strata.operators.control import (
 )
 from strata.operators.governance import ARCHIVE_FIRST, RETENTION_DAYS, archive_expired, retention_purge
 from strata.operators.layout import cluster_zorder
+from strata.operators.outcomes import GOOD, OUTCOMES, REJECTS, outcome_counts, rejects
 from strata.operators.star import incremental_filter
 from strata.plans.layers import (
     ENTITIES,
@@ -42,10 +44,11 @@ from strata.plans.layers import (
     extra_columns,
     gold_dimension,
     gold_fact,
-    silver,
+    judged_records,
+    typed_table,
     widened,
 )
-from strata.session import staged
+from strata.session import released, staged, stored
 from strata.sources.catalog import TableConfig, read_catalog, table_configs
 from strata.sources.landing import RAW_PARTITIONS, bronze_envelope, bronze_read_entity
 from strata.sources.tables import (
@@ -61,6 +64,10 @@ from strata.sources.tables import (
 )
 
 
+LOAD_ACCOUNTS = """entity_name STRING, partition STRING, loaded_at TIMESTAMP, landed BIGINT, good BIGINT, lost_cast BIGINT,
+  rejected BIGINT, unreadable BIGINT, unreadable_pages BIGINT, rows_written BIGINT, new_columns INT, duration_seconds DOUBLE"""
+
+
 class QualityError(RuntimeError):
     """A strict load found rows it must not write."""
 
@@ -160,23 +167,73 @@ class Warehouse:
         returned; rows written before hold NULL in them. Such a column takes a wider type when later
         values need one, and the rows written before are rewritten with it. Looking for columns reads
         the payloads once more, so leave it out where the source's columns are fixed.
+
+        Records that a rule rejects, values that do not fit their type and pages that can't be read are
+        kept with their reasons (``rejects``), and each load adds its counts to ``load_accounts``.
         """
+        started = time.monotonic()
         entity = self.entities[name]
         partition = FULL_LOAD if entity.partition is None else period
         raw = self.bronze(name, partition)
         added = self.added_columns(name)
         extra = extra_columns(raw, entity, added) if evolve else added
-        rows = silver(raw, widened(entity, extra), as_of)
+        wide, seen = widened(entity, extra), Observation()
+        # Parsed once: one job writes all records by outcome and counts them, the rest reads that.
+        judged = stored(judged_records(raw, wide, as_of).observe(seen, *outcome_counts()), "judged", ["__outcome"])
+        rows = typed_table(judged, wide, as_of)
         wider = {c: kind for c, kind in extra.items() if c in added and kind != added[c]}
         if wider and entity.partition is not None:
             self._widen(name, wider, extra)
         if entity.partition is None:
             overwrite_snapshot(rows, self.path("silver", name))
+            written = None
         else:
             targets = None if period is None else [(period,)]
-            replace_partitions(rows, self.path("silver", name), [entity.partition], targets)
+            written = replace_partitions(rows, self.path("silver", name), [entity.partition], targets)
         self._store_schema(name, rows, extra)
-        return [c for c in extra if c not in added]
+        self._keep_rejects(name, judged, raw, seen.get)
+        new = [c for c in extra if c not in added]
+        self._keep_account(name, raw, partition, as_of, seen.get, written, len(new), time.monotonic() - started)
+        released(judged)
+        return new
+
+    def _keep_rejects(self, name: str, judged: DataFrame, raw: DataFrame, counts: Mapping[str, int]) -> None:
+        """Replace what earlier loads of the same raw partitions rejected by what this one does."""
+        path = self.path("silver", "_rejects")
+        any_now = counts["unreadable_pages"] or any(counts[o] for o in OUTCOMES if o != GOOD)
+        if not any_now and not path_exists(self.spark, path):
+            return
+        # One row per partition directory of the raw rows that were read.
+        read = [(name, r[0]) for r in raw.select("partition_column").distinct().collect()]
+        replace_partitions(rejects(judged, name), path, ["entity_name", "partition_column"], read)
+
+    def rejects(self) -> DataFrame:
+        """Rejected records, lost casts and unreadable pages of the last load of each raw partition."""
+        path = self.path("silver", "_rejects")
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(path)
+
+    def _keep_account(
+        self, name: str, raw: DataFrame, partition: str | int | None, as_of: str, counts: Mapping[str, int],
+        written: int | None, new_columns: int, seconds: float,
+    ) -> None:
+        landed = raw.agg(F.coalesce(F.sum("record_count"), F.lit(0))).first()[0]
+        if written is None:
+            written = self.silver(name).count()
+        values = (
+            name, None if partition is None else str(partition), as_of, landed, *[counts[o] for o in OUTCOMES],
+            counts["unreadable_pages"], written, new_columns, seconds,
+        )
+        row = self.spark.createDataFrame([values], LOAD_ACCOUNTS.replace("loaded_at TIMESTAMP", "loaded_at STRING"))
+        append_rows(row.withColumn("loaded_at", F.col("loaded_at").cast("timestamp")), self.path("control", "load_accounts"))
+
+    def load_accounts(self) -> DataFrame:
+        """One row per typed load: records that landed, what became of them, and the rows after deduplication."""
+        path = self.path("control", "load_accounts")
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], LOAD_ACCOUNTS)
+        return self.spark.read.schema(LOAD_ACCOUNTS).parquet(path)
 
     def _widen(self, name: str, wider: dict[str, str], extra: dict[str, str]) -> None:
         """Rewrite a partitioned typed table with wider types of some of its columns."""

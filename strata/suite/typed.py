@@ -7,9 +7,13 @@ from strata.functions.expr import SOURCE_SYSTEM
 from strata.operators import quality as q
 from strata.operators import typing as t
 from strata.operators.governance import PII_PATTERNS
+from strata.operators.outcomes import OUTCOMES, reject_summary
 from strata.plans.layers import ENTITIES, flagged_records
 from strata.plans.layers import silver as silver_table
-from strata.sources.landing import bronze_envelope
+from strata.plans.warehouse import Warehouse
+from strata.session import scratch_path
+from strata.sources.landing import RAW_PARTITIONS, bronze_envelope
+from strata.sources.tables import replace_partitions
 from strata.suite.raw import EVENT_FIELDS, RUN_1, event_pages
 from strata.suite.registry import Layers, query
 from strata.suite.samples import EARLY, FINAL, LOADED_AT, Samples
@@ -267,6 +271,40 @@ def silver_dim_location(s: Samples, l: Layers) -> DataFrame:
     return silver_table(l.bronze("dim_location"), ENTITIES["dim_location"], EARLY).drop(*TECHNICAL)
 
 
+_ODD = """SELECT *, CASE WHEN pay_period_id = 26 THEN 'unreadable' WHEN pay_period_id = 13 AND upper(earning_code) = 'N' THEN 'rejected'
+         WHEN hours > 45 THEN 'lost_cast' ELSE 'good' END AS outcome FROM earn_rec"""
+
+
+@query(
+    "silver_outcomes",
+    f"""WITH odd AS ({_ODD}), kept AS (SELECT * FROM odd WHERE outcome IN ('good', 'lost_cast'))
+       SELECT 'unreadable' AS outcome, 'unreadable_page' AS reason, count(*) AS records FROM odd WHERE outcome = 'unreadable' HAVING count(*) > 0
+       UNION ALL SELECT 'rejected', 'earning_amount_non_negative', count(*) FROM odd WHERE outcome = 'rejected' HAVING count(*) > 0
+       UNION ALL SELECT outcome, 'hours_cast', count(*) FROM odd WHERE outcome IN ('rejected', 'lost_cast') AND hours > 45 GROUP BY outcome
+       UNION ALL SELECT 'account', 'landed', count(*) FROM odd
+       UNION ALL SELECT 'account', o, count(outcome) FROM (SELECT unnest(['good', 'lost_cast', 'rejected', 'unreadable']) AS o) LEFT JOIN odd ON outcome = o GROUP BY o
+       UNION ALL SELECT 'account', 'rows_written', count(*) FROM (SELECT DISTINCT employee_number, pay_period_id, upper(earning_code) FROM kept)
+       UNION ALL SELECT 'account', 'missing', 0""",
+)
+def silver_outcomes(s: Samples, l: Layers) -> DataFrame:
+    """A load of earnings with hours in words, negative amounts and a period whose pages are cut off."""
+    hours, amount = F.col("hours"), F.col("earning_amount")
+    refused = (F.col("pay_period_id") == 13) & (F.upper("earning_code") == "N")
+    records = s.earnings_records().withColumns({
+        "hours": F.when(hours > 45, F.lit("many")).otherwise(hours.cast("string")),
+        "earning_amount": F.when(refused, -amount).otherwise(amount),
+    })
+    pages = bronze_envelope(records, "fact_earnings", "pay_period_id", ingested_at=LOADED_AT)
+    cut = F.expr("substring(payload_json, 1, length(payload_json) - 1)")
+    pages = pages.withColumn("payload_json", F.when(F.col("partition_column") == "26", cut).otherwise(F.col("payload_json")))
+    w = Warehouse(s.spark, scratch_path(s.spark, "outcomes"))
+    replace_partitions(pages, w.path("bronze", "extracts"), RAW_PARTITIONS)
+    w.build_silver("fact_earnings", LOADED_AT, evolve=False)
+    account = w.load_accounts().withColumn("missing", F.col("landed") - sum((F.col(c) for c in OUTCOMES[1:]), F.col(OUTCOMES[0])))
+    counts = account.unpivot([], ["landed", *OUTCOMES, "rows_written", "missing"], "reason", "records")
+    return reject_summary(w.rejects()).drop("entity_name").unionByName(counts.withColumn("outcome", F.lit("account")))
+
+
 @query(
     "silver_quality_metrics",
     """SELECT 'fact_earnings' AS entity_name, (SELECT count(*) FROM earn_rec) AS rows_read, 0::BIGINT AS rows_rejected,

@@ -271,19 +271,15 @@ def silver_dim_location(s: Samples, l: Layers) -> DataFrame:
     return silver_table(l.bronze("dim_location"), ENTITIES["dim_location"], EARLY).drop(*TECHNICAL)
 
 
-_ODD = """SELECT *, CASE WHEN pay_period_id = 26 THEN 'unreadable' WHEN pay_period_id = 13 AND upper(earning_code) = 'N' THEN 'rejected'
-         WHEN hours > 45 THEN 'lost_cast' ELSE 'good' END AS outcome FROM earn_rec"""
-
-
 @query(
     "silver_outcomes",
-    f"""WITH odd AS ({_ODD}), kept AS (SELECT * FROM odd WHERE outcome IN ('good', 'lost_cast'))
-       SELECT 'unreadable' AS outcome, 'unreadable_page' AS reason, count(*) AS records FROM odd WHERE outcome = 'unreadable' HAVING count(*) > 0
-       UNION ALL SELECT 'rejected', 'earning_amount_non_negative', count(*) FROM odd WHERE outcome = 'rejected' HAVING count(*) > 0
-       UNION ALL SELECT outcome, 'hours_cast', count(*) FROM odd WHERE outcome IN ('rejected', 'lost_cast') AND hours > 45 GROUP BY outcome
-       UNION ALL SELECT 'account', 'landed', count(*) FROM odd
-       UNION ALL SELECT 'account', o, count(outcome) FROM (SELECT unnest(['good', 'lost_cast', 'rejected', 'unreadable']) AS o) LEFT JOIN odd ON outcome = o GROUP BY o
-       UNION ALL SELECT 'account', 'rows_written', count(*) FROM (SELECT DISTINCT employee_number, pay_period_id, upper(earning_code) FROM kept)
+    """SELECT 'unreadable' AS outcome, 'unreadable_page' AS reason, count(*) AS records FROM earn_odd WHERE outcome = 'unreadable' HAVING count(*) > 0
+       UNION ALL SELECT 'rejected', 'earning_amount_non_negative', count(*) FROM earn_odd WHERE outcome = 'rejected' HAVING count(*) > 0
+       UNION ALL SELECT outcome, 'hours_cast', count(*) FROM earn_odd WHERE outcome IN ('rejected', 'lost_cast') AND hours > 45 GROUP BY outcome
+       UNION ALL SELECT 'account', 'landed', count(*) FROM earn_odd
+       UNION ALL SELECT 'account', o, count(outcome) FROM (SELECT unnest(['good', 'lost_cast', 'rejected', 'unreadable']) AS o) LEFT JOIN earn_odd ON outcome = o GROUP BY o
+       UNION ALL SELECT 'account', 'rows_written', count(*) FROM (SELECT DISTINCT employee_number, pay_period_id, upper(earning_code) FROM earn_odd
+         WHERE outcome IN ('good', 'lost_cast'))
        UNION ALL SELECT 'account', 'missing', 0""",
 )
 def silver_outcomes(s: Samples, l: Layers) -> DataFrame:

@@ -55,6 +55,10 @@ VIEWS["tax_rec"] = """
     CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS tax_amount,
     CASE l_suppkey % 3 WHEN 0 THEN 'FEDERAL' WHEN 1 THEN 'STATE' ELSE 'LOCAL' END AS tax_type, modified_on
   FROM pay_lines"""
+VIEWS["earn_odd"] = """
+  SELECT *, CASE WHEN pay_period_id = 26 THEN 'unreadable' WHEN pay_period_id = 13 AND upper(earning_code) = 'N' THEN 'rejected'
+    WHEN hours > 45 THEN 'lost_cast' ELSE 'good' END AS outcome
+  FROM earn_rec"""
 VIEWS["earn_std"] = """
   SELECT * REPLACE (upper(earning_code) AS earning_code),
     CAST(CASE WHEN hours IS NOT NULL AND rate IS NOT NULL THEN hours * rate ELSE earning_amount END AS DECIMAL(10,2))

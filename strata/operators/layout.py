@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +14,9 @@ from strata.sources.tables import replace_partitions
 
 # Fixed value: target size of a data file.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-CLUSTER_BITS = 6
+LEAST_BITS, DEFAULT_BITS, MOST_BITS = 6, 10, 16
+SAMPLED = 8
+SPLITTER_CHARS = 256
 
 
 def file_stats(df: DataFrame) -> DataFrame:
@@ -77,19 +80,17 @@ def cluster_zorder(
 
     Rows of a table with partitions are laid out ``within`` each: the curve starts anew in the next one.
 
-    Each column is cut into ranges of equal row counts, and the bits of the range numbers are
-    interleaved. Ties on the curve are split by the row's content and the partition it came from, so
+    Each column is cut into ranges of about equal row counts, more than there are files, and the bits of
+    the range numbers are interleaved. A range is told by comparing the value itself, of whatever type,
+    with splitters from a sample of its values, so the order is that of the column and one odd value
+    moves no other. Ties on the curve are split by the row's content and the partition it came from, so
     one frequent value, or copies of one row, cannot fill a single file.
     """
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster by one to four columns")
-    measured = [_measure(df, c) for c in columns]
-    steps = [i / 2**CLUSTER_BITS for i in range(1, 2**CLUSTER_BITS)]
-    cuts = df.agg(
-        *[F.percentile_approx(m, F.array(*[F.lit(s) for s in steps]), 10000).alias(f"c{i}") for i, m in enumerate(measured)]
-    ).first()
-    ranges = [_range_number(m, cuts[f"c{i}"]) for i, m in enumerate(measured)]
-    z = _interleave(ranges)
+    bits = range_bits(files, len(columns))
+    cuts = splitters(df, columns, bits)
+    z = _interleave([range_number(F.col(c), df.schema[c].dataType, cuts[c]) for c in columns], bits)
     spread = F.xxhash64(*df.columns) + F.spark_partition_id()
     keyed = df.withColumns({"__z": z, "__spread": spread})
     # Without a number of files adaptive execution sizes the partitions.
@@ -101,44 +102,64 @@ def cluster_zorder(
     )
 
 
-def _measure(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column. Strings count by the bytes after their common prefix."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.NumericType, T.BooleanType)):
-        return F.col(column).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    lo, hi = ends["lo"] or "", ends["hi"] or ""
-    shared = 0
-    while shared < min(len(lo), len(hi)) and lo[shared] == hi[shared]:
-        shared += 1
-    head = F.rpad(F.hex(F.substring(F.col(column), shared + 1, 6)), 12, "0")
-    return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
-
-
-def _range_number(value: Column, cuts: Sequence[float] | None) -> Column:
-    """How many of the ascending ``cuts`` the value exceeds, as a balanced tree of comparisons."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value <= bounds[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    bounds = sorted(set(cuts or []))
-    return F.when(value.isNull(), F.lit(0)).otherwise(tree(0, len(bounds)))
-
-
-def _interleave(ranges: Sequence[Column]) -> Column:
+def range_bits(files: int | None, columns: int) -> int:
+    """Bits of a column's range number: four ranges a file where one column has to tell all files apart."""
+    wanted = (files - 1).bit_length() + 2 if files else DEFAULT_BITS
+    return max(LEAST_BITS, min(wanted, MOST_BITS, 62 // columns))
+
+
+def splitters(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, str]:
+    """For each column the ascending values between its ranges, as a JSON array of texts.
+
+    They are taken at equal distances from a sorted sample of ``SAMPLED`` values a range in expectation.
+    A long text is cut, which leaves it a valid splitter.
+    """
+    rows = df.count()
+    wanted = SAMPLED << bits
+    sample = df.select(*columns)
+    if rows > wanted:
+        sample = sample.sample(wanted / rows, seed=bits)
+    picked = []
+    for c in columns:
+        value = F.substring(c, 1, SPLITTER_CHARS) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
+        ordered = F.sort_array(F.collect_list(value))
+        at = F.transform(F.sequence(F.lit(1), F.lit((1 << bits) - 1)), lambda i: F.floor(i * F.size("v") / (1 << bits)).cast("int"))
+        picked.append((c, ordered, at))
+    values = sample.agg(*[ordered.alias(f"v{k}") for k, (_, ordered, _) in enumerate(picked)])
+    found = {}
+    for k, (c, _, at) in enumerate(picked):
+        one = values.select(F.col(f"v{k}").alias("v")).where(F.size("v") > 0)
+        texts = F.transform(at, lambda i: F.element_at("v", i + 1))
+        row = one.select(F.to_json(F.array_distinct(texts).cast("array<string>")).alias("cuts")).first()
+        found[c] = row["cuts"] if row else "[]"
+    return found
+
+
+def range_number(value: Column, kind: T.DataType, cuts: str) -> Column:
+    """How many of the ascending ``cuts`` are below the value, by binary search; 0 for NULL."""
+    n = len(json.loads(cuts))
+    if n == 0:
+        return F.lit(0)
+    # Foldable, so the plan holds the array as one constant.
+    bounds = F.from_json(F.lit(cuts), "array<string>").cast(T.ArrayType(kind))
+    strides = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+
+    def step(found: Column, stride: Column) -> Column:
+        ahead = found + stride
+        below = (ahead <= n) & (F.get(bounds, ahead - 1) < value)
+        return F.when(below, ahead).otherwise(found)
+
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.aggregate(strides, F.lit(0), step))
+
+
+def _interleave(ranges: Sequence[Column], bits: int) -> Column:
     n = len(ranges)
-    bits = [
+    each = [
         F.shiftleft(F.shiftright(r, bit).bitwiseAND(F.lit(1)).cast("long"), bit * n + i)
-        for bit in range(CLUSTER_BITS)
+        for bit in range(bits)
         for i, r in enumerate(ranges)
     ]
-    return reduce(Column.bitwiseOR, bits)
+    return reduce(Column.bitwiseOR, each)
 
 
 def files_matching(df: DataFrame, point: dict) -> DataFrame:

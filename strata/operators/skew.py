@@ -36,20 +36,28 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return data_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
-def hot_keys(keys: DataFrame, share: int) -> DataFrame:
-    """Keys that may hold more than one ``share``-th of the rows.
+def hot_keys(rows: DataFrame, keys: Sequence[Sequence[str]], share: int) -> list[DataFrame]:
+    """For each list of key columns, the keys that may hold more than one ``share``-th of its rows.
 
-    A sketch of frequent items reads every row once and shuffles no key. It is taken per group of
-    input partitions: a key above the share overall is above it in at least one group. A key missed
-    or named too much changes where rows travel and never the result.
+    Sketches of frequent items, one for each list, read every row once and shuffle no key. They are
+    taken per group of input partitions: a key above the share overall is above it in at least one
+    group. A key missed or named too much changes where rows travel and never the result.
     """
-    key = F.to_json(F.struct(*keys.columns)).alias("key")
+    named = [
+        F.when(_all_present(columns), F.to_json(F.struct(*columns))).alias(f"key{i}") for i, columns in enumerate(keys)
+    ]
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("group")
-    sketches = keys.select(key, group).groupBy("group").agg(
-        F.expr(f"approx_top_k(key, {share}, {8 * share})").alias("top"), F.count(F.lit(1)).alias("n")
+    sketches = rows.select(*named, group).groupBy("group").agg(
+        *[F.expr(f"approx_top_k(key{i}, {share}, {8 * share})").alias(f"top{i}") for i in range(len(keys))],
+        *[F.count(f"key{i}").alias(f"n{i}") for i in range(len(keys))],
     )
-    frequent = sketches.select("n", F.inline("top")).where(F.col("count") * share > F.col("n"))
-    return frequent.select(F.from_json("item", keys.schema).alias("k")).select("k.*").distinct()
+    sketches = stored(sketches, "sketches")  # a few rows; else each list would read the rows again
+    found = []
+    for i, columns in enumerate(keys):
+        frequent = sketches.select(F.col(f"n{i}").alias("n"), F.inline(f"top{i}")).where("item is not null")
+        kept = frequent.where(F.col("count") * share > F.col("n"))
+        found.append(kept.select(F.from_json("item", rows.select(*columns).schema).alias("k")).select("k.*").distinct())
+    return found
 
 
 def lookup_join(
@@ -58,6 +66,8 @@ def lookup_join(
     on: Sequence[tuple[str, str]],
     add: Sequence[str],
     max_bytes: int | None = None,
+    hot: DataFrame | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Left join that adds the ``add`` columns of ``right``, whose key is unique.
 
@@ -65,21 +75,22 @@ def lookup_join(
     most ``max_bytes`` they are broadcast and ``left`` is not shuffled. Otherwise both sides shuffle
     on the key, with the hot keys taken out: their rows are matched against a broadcast of those few
     keys, and are spread by a salt through the shuffle of the others.
+
+    A caller that knows may give the ``hot`` keys of ``left``, under its column names, and whether
+    ``right`` ``fits`` a broadcast; neither is then looked for.
     """
     r_keys = [f"__r{i}" for i in range(len(on))]
-    slim = right.select(
-        *[F.col(r).alias(k) for (_, r), k in zip(on, r_keys, strict=True)],
-        *[F.col(c).alias(f"__a_{c}") for c in add],
-    ).where(_all_present(r_keys))
+    slim = _slim(right, on, add)
     added = [F.col(f"__a_{c}").alias(c) for c in add]
     kept = [F.col(c) for c in left.columns]
     condition = _keys_equal([lc for lc, _ in on], r_keys)
-    if fits_broadcast(slim, max_bytes):
+    if fits_broadcast(slim, max_bytes) if fits is None else fits:
         return left.join(F.broadcast(slim), condition, "left").select(*kept, *added)
 
     width = shuffle_width(left)
-    keys = left.select(*[F.col(lc).alias(k) for (lc, _), k in zip(on, r_keys, strict=True)])
-    hot = stored(hot_keys(keys.where(_all_present(r_keys)), min(width, MAX_HOT_KEYS)), "hot")
+    if hot is None:
+        hot = stored(hot_keys(left, [[lc for lc, _ in on]], min(width, MAX_HOT_KEYS))[0], "hot")
+    hot = hot.toDF(*r_keys)
     # A hot key without a match is hot as well, so the hot keys lead and the match may be missing.
     found = slim.join(F.broadcast(hot), r_keys, "left_semi")
     hot_rows = hot.join(F.broadcast(found), r_keys, "left").select(
@@ -110,6 +121,36 @@ def lookup_join(
     return joined.select(*kept, *picked)
 
 
+def lookup_joins(
+    left: DataFrame,
+    lookups: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], Sequence[str]]],
+    max_bytes: int | None = None,
+) -> DataFrame:
+    """``lookup_join`` with several tables, each as (right, on, add), whose keys are all columns of ``left``.
+
+    The frequent keys of all tables that are too large to broadcast come from one pass over ``left``
+    as it is, before any join: so k tables read it twice and not k + 1 times.
+    """
+    fits = [fits_broadcast(_slim(right, on, add), max_bytes) for right, on, add in lookups]
+    large = [i for i, small in enumerate(fits) if not small]
+    hot: dict[int, DataFrame] = {}
+    if large:
+        keys = [[lc for lc, _ in lookups[i][1]] for i in large]
+        hot = dict(zip(large, hot_keys(left, keys, min(shuffle_width(left), MAX_HOT_KEYS)), strict=True))
+    for i, (right, on, add) in enumerate(lookups):
+        left = lookup_join(left, right, on, add, hot=hot.get(i), fits=fits[i])
+    return left
+
+
+def _slim(right: DataFrame, on: Sequence[tuple[str, str]], add: Sequence[str]) -> DataFrame:
+    """What a lookup needs of its table."""
+    r_keys = [f"__r{i}" for i in range(len(on))]
+    return right.select(
+        *[F.col(r).alias(k) for (_, r), k in zip(on, r_keys, strict=True)],
+        *[F.col(c).alias(f"__a_{c}") for c in add],
+    ).where(_all_present(r_keys))
+
+
 def flag_join(
     left: DataFrame,
     right: DataFrame,
@@ -135,19 +176,24 @@ def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
 def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int | Column = 1) -> DataFrame:
     """Dense numbers in the order of unique ``order`` columns, without a single-partition sort.
 
-    A row's number is its position within its range plus the row counts of the ranges before.
+    A row's number is its place within its range plus the row counts of the ranges before. Range and
+    place are frozen by a checkpoint of the sorted ranges, so the rows move once. Only the counts meet
+    in one task.
     """
-    ranged = _ranged(df, order)
-    sizes = ranged.groupBy("__part").count()
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__part").orderBy(*order)
+    scratch_root(df.sparkSession)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Spark numbers the rows of a partition one by one, below 33 bits, with the partition above.
+    placed = ranged.withColumn("__at", F.monotonically_increasing_id()).checkpoint()
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        ranged.withColumn("__pos", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(name, F.col("__before") + F.col("__pos") + first - 1)
-        .drop("__part", "__pos", "__before")
+        placed.withColumn("__p", part)
+        .join(F.broadcast(offsets), "__p")
+        .withColumn(name, F.col("__before") + place + first)
+        .drop("__p", "__at", "__before")
     )
 
 

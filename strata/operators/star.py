@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.skew import lookup_join, number_rows
+from strata.operators.skew import lookup_joins, number_rows
+from strata.session import stored
 
 # Fixed value: the end of an open history row.
 OPEN_END = "9999-12-31"
@@ -59,17 +60,21 @@ def merge_dimension_scd1(
     next key. Rows the source does not mention stay. Source rows without a business key are left
     out; they belong to the rejects.
     """
-    valid = source.where(F.col(bk).isNotNull())
-    keys = assign_surrogate_keys(target, valid, bk, sk, start)
-    src = one_per_key(valid.join(keys, bk, "left"), bk)
+    src = one_per_key(source.where(F.col(bk).isNotNull()), bk)
     updates = [c for c in update_cols if c in src.columns]
     s_cols = src.select(
         F.col(bk).alias("__bk"),
         *[F.col(c).alias(f"__s_{c}") for c in src.columns if c != bk],
     )
-    both = target.join(s_cols, F.col(bk) == F.col("__bk"), "full_outer")
+    joined = target.join(s_cols, F.col(bk) == F.col("__bk"), "full_outer")
+    # Kept, so that the join runs once for both kinds of row; the new ones alone are numbered.
+    both = stored(joined.withColumn("__new", F.col(bk).isNull() & F.col("__bk").isNotNull()), "merge", ["__new"])
+    highest = both.agg(F.max(sk)).first()[0]
+    first = start if highest is None else max(highest + 1, start)
+    fresh = number_rows(both.where("__new").drop(sk), ["__bk"], sk, first)
+    both = both.where("not __new").unionByName(fresh)
     matched = F.col(bk).isNotNull() & F.col("__bk").isNotNull()
-    inserted = F.col(bk).isNull()
+    inserted = F.col("__new")
     differs = F.lit(False)
     for c in updates:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"__s_{c}"))
@@ -81,6 +86,8 @@ def merge_dimension_scd1(
         c = field.name
         if c == bk:
             value = F.coalesce(c, "__bk")
+        elif c == sk:
+            value = F.col(c)
         elif c == "UPDATED_AT":
             value = F.when(changed | inserted, at).otherwise(F.col(c))
         elif c in fixed and f"__s_{c}" not in s_cols.columns:
@@ -167,13 +174,16 @@ def fk_lookup(
     Only the two key columns of a dimension are used. A lookup configured as ``inner`` drops the
     facts without a member.
     """
+    wanted = []
     for lookup in lookups:
-        source, sk = lookup["business_key_column"], lookup["surrogate_key_column"]
+        source = lookup["business_key_column"]
         bk = lookup.get("dimension_key_column") or source.upper()
-        facts = lookup_join(facts, dims[lookup["dimension_table"]], [(source, bk)], [sk], max_bytes)
+        wanted.append((dims[lookup["dimension_table"]], [(source, bk)], [lookup["surrogate_key_column"]]))
+    keyed = lookup_joins(facts, wanted, max_bytes)
+    for lookup in lookups:
         if lookup.get("join_type", "left") == "inner":
-            facts = facts.where(F.col(sk).isNotNull())
-    return facts
+            keyed = keyed.where(F.col(lookup["surrogate_key_column"]).isNotNull())
+    return keyed
 
 
 def incremental_filter(df: DataFrame, column: str, last: object | None, kind: str = "int") -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import control, star
-from strata.operators.skew import flag_join, lookup_join, number_rows, previous_value
+from strata.operators.skew import flag_join, hot_keys, lookup_join, lookup_joins, number_rows, previous_value
 
 TARGET = "SK INT, BK STRING, A STRING, IS_CURRENT BOOLEAN, CREATED_AT TIMESTAMP, UPDATED_AT TIMESTAMP"
 
@@ -49,10 +49,16 @@ def test_keys_start_at_the_configured_value(spark, rows):
 
 def test_numbering_is_dense_ordered_and_uses_many_partitions(spark, plan):
     df = spark.range(5000).select(F.concat(F.lit("k"), F.lpad(F.hash("id").cast("string"), 12, "0")).alias("k"))
-    numbered = number_rows(df, ["k"], "n")
-    got = [r["n"] for r in numbered.orderBy("k").collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    try:
+        numbered = number_rows(df, ["k"], "n")
+        got = [r["n"] for r in numbered.orderBy("k").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert got == list(range(1, 5001))
-    assert "Exchange hashpartitioning(__part" in plan(numbered)
+    # Rows stay in the ranges that were checkpointed: only their counts, by range, move again.
+    assert "hashpartitioning(__p" not in plan(numbered) and "Exchange rangepartitioning" not in plan(numbered)
+    assert numbered.select(F.spark_partition_id()).distinct().count() > 1
     heavy = [line for line in plan(numbered).splitlines() if "SinglePartition" in line]
     assert len(heavy) == 1, "only the sizes of the partitions may meet in one task"
 
@@ -103,13 +109,12 @@ def test_lookup_gives_the_same_rows_broadcast_and_shuffled(spark, rows):
 
 
 def test_hot_keys_are_found_without_shuffling_keys(spark, rows, plan):
-    from strata.operators.skew import hot_keys
-
     keys = skewed_facts(spark).select(F.col("code").alias("a"), F.lit(7).alias("b")).where("a IS NOT NULL")
-    found = hot_keys(keys, 8)
+    found = hot_keys(keys, [["a", "b"]], 8)[0]
     assert rows(found) == [("hot", 7), ("lost", 7)]
-    assert "Exchange hashpartitioning(group" in plan(found) and "hashpartitioning(key" not in plan(found)
-    assert rows(hot_keys(keys.limit(0), 8)) == []
+    # The sketches are kept, one row a group of partitions, and no key was shuffled for them.
+    assert "ReadSchema: struct<top0" in plan(found) and "hashpartitioning(key" not in plan(found)
+    assert rows(hot_keys(keys.limit(0), [["a", "b"]], 8)[0]) == []
 
 
 def test_shuffled_lookup_spreads_hot_keys(spark, plan):
@@ -254,3 +259,59 @@ def test_count_variance(spark, rows):
     events = spark.createDataFrame([("t", f"x{i}", i * 3000, n) for i, n in enumerate([100, 105, 130, 0, 5, 5])], "table_name STRING, execution_id STRING, s INT, records_written BIGINT")
     got = control.count_variance(events.withColumn("execution_start", F.timestamp_seconds("s")))
     assert rows(got, "execution_id", "previous_rows") == [("x2", 105), ("x3", 130), ("x4", 0)]
+
+
+def shuffles(spark, work):
+    """How many shuffles ``work`` makes."""
+    counter = spark.sparkContext._jsc.sc()
+    before = counter.newShuffleId()
+    work()
+    return counter.newShuffleId() - before - 1
+
+
+def test_numbering_moves_rows_once(spark):
+    df = spark.range(10_000).select(F.xxhash64("id").alias("k"))
+    # One for the ranges, two for the counts of the ranges and the window over them.
+    assert shuffles(spark, lambda: number_rows(df, ["k"], "n").write.format("noop").mode("overwrite").save()) <= 3
+    got = number_rows(df, ["k"], "n", 5).orderBy("k").collect()
+    assert [r.n for r in got] == list(range(5, 10_005)) and number_rows(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_merge_joins_once_and_numbers_the_new_rows_alone(spark):
+    schema = "K INT, BK STRING, V INT, CREATED_AT TIMESTAMP, UPDATED_AT TIMESTAMP"
+    target = spark.createDataFrame([], schema)
+    first = spark.range(0, 3000, 3).selectExpr("cast(id AS string) AS BK", "1 AS V")
+    one = star.merge_dimension_scd1(target, first, "BK", "K", ["V"], "2024-01-01")
+    assert sorted(r.K for r in one.collect()) == list(range(1, 1001))
+    second = spark.range(0, 3000, 2).selectExpr("cast(id AS string) AS BK", "2 AS V")
+    after = star.merge_dimension_scd1(one, second, "BK", "K", ["V"], "2024-01-02")
+    rows = {r.BK: r for r in after.collect()}
+    kept = {r.BK: r.K for r in one.collect()}
+    assert len(rows) == 2000 and all(rows[b].K == k for b, k in kept.items())
+    new = sorted(b for b in rows if b not in kept)
+    assert [rows[b].K for b in new] == list(range(1001, 2001))
+    assert all(rows[b].V == (2 if int(b) % 2 == 0 else 1) for b in rows)
+    again = star.merge_dimension_scd1(after, second, "BK", "K", ["V"], "2024-01-03")
+    assert again.where("UPDATED_AT >= '2024-01-03'").count() == 0 and again.count() == 2000
+
+
+def test_frequent_keys_of_all_lookups(spark, tmp_path):
+    path = str(tmp_path / "f")
+    spark.range(20_000).selectExpr("if(id % 3 = 0, 7, id) AS a", "if(id % 3 = 1, 'x', cast(id AS string)) AS b", "id").write.parquet(path)
+    facts = spark.read.parquet(path)
+    found = hot_keys(facts, [["a"], ["b"]], 8)
+    assert [tuple(map(tuple, f.collect())) for f in found] == [((7,),), (("x",),)]
+    one = spark.range(0, 20_000).selectExpr("id AS A", "id * 2 AS AK")
+    two = spark.range(0, 20_000, 2).selectExpr("cast(id AS string) AS B", "id + 1 AS BK").union(spark.sql("SELECT 'x', -1"))
+    lookups = [(one, [("a", "A")], ["AK"]), (two, [("b", "B")], ["BK"])]
+    large = lookup_joins(facts, lookups, max_bytes=0)
+    small = lookup_joins(facts, lookups)
+    assert sorted(map(tuple, large.collect()), key=repr) == sorted(map(tuple, small.collect()), key=repr)
+
+
+def test_lookups_without_frequent_or_known_keys(spark):
+    facts = spark.createDataFrame([(None, None), (1, "u"), (2, None)], "a int, b string")
+    dim = spark.createDataFrame([(1, 10)], "A int, AK int")
+    none = spark.createDataFrame([], "B string, BK int")
+    got = lookup_joins(facts, [(dim, [("a", "A")], ["AK"]), (none, [("b", "B")], ["BK"])], max_bytes=0)
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "u", 10, None), (2, None, None, None), (None, None, None, None)]

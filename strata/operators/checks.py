@@ -87,11 +87,7 @@ def check_amount_rule(
     exception_key: str | None = None,
 ) -> DataFrame:
     """Amounts that are negative, zero or above the limit, outside the documented exceptions."""
-    value = F.col(amount)
-    kind = (
-        F.when(value < 0, "NEGATIVE").when(value == 0, "ZERO").when(value > max_amount, "TOO_HIGH")
-    )
-    odd = df.select(*keys, amount, kind.alias("violation")).where(F.col("violation").isNotNull())
+    odd = df.select(*keys, amount, odd_amount(amount, max_amount).alias("violation")).where(F.col("violation").isNotNull())
     if exceptions is None:
         return odd
     key = exception_key or keys[0]
@@ -99,6 +95,12 @@ def check_amount_rule(
     return flagged.where(~F.col("__excepted")).drop("__excepted")
 
 
+def odd_amount(amount: str, max_amount: float = MAX_AMOUNT) -> Column:
+    """What is odd about an amount; NULL if nothing is, or if it is missing."""
+    value = F.col(amount)
+    return F.when(value < 0, "NEGATIVE").when(value == 0, "ZERO").when(value > max_amount, "TOO_HIGH")
+
+
 def check_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count")).where("dup_count > 1")
 

@@ -134,18 +134,19 @@ def classification_tags(scan: DataFrame, retention: Mapping[str, int], complianc
     )
 
 
-def _cutoff(as_of: str, days: int) -> Column:
+def retention_cutoff(as_of: str, days: int) -> Column:
+    """The first day that is kept."""
     return F.date_sub(F.lit(as_of).cast("date"), days)
 
 
 def retention_purge(df: DataFrame, column: str, as_of: str, days: int) -> DataFrame:
     """Rows within retention. A row without a date is kept: its age is unknown."""
-    return df.where(F.col(column).isNull() | (F.col(column) >= _cutoff(as_of, days)))
+    return df.where(F.col(column).isNull() | (F.col(column) >= retention_cutoff(as_of, days)))
 
 
 def archive_expired(df: DataFrame, column: str, as_of: str, days: int) -> DataFrame:
     """The rows ``retention_purge`` drops, to be written elsewhere first."""
-    return df.where(F.col(column) < _cutoff(as_of, days))
+    return df.where(F.col(column) < retention_cutoff(as_of, days))
 
 
 def subject_access(tables: Mapping[str, tuple[DataFrame, str]], subjects: DataFrame, key: str) -> DataFrame:

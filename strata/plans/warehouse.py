@@ -15,14 +15,13 @@ from pyspark.sql.types import StructType
 
 from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, typed
 from strata.operators.checks import (
-    check_amount_rule,
     check_duplicates,
     check_key_uniqueness,
     check_layer_reconciliation,
     check_null_fk,
     check_orphan_pct,
-    check_results,
     check_suite_report,
+    odd_amount,
 )
 from strata.operators.control import (
     EXECUTION_LOG,
@@ -30,12 +29,15 @@ from strata.operators.control import (
     execution_log_append,
     execution_state,
     last_watermark,
+    orchestrator_rollup,
     period_worklist,
     watermark_upsert,
 )
-from strata.operators.governance import ARCHIVE_FIRST, RETENTION_DAYS, archive_expired, retention_purge
+from strata.operators.governance import ARCHIVE_FIRST, RETENTION_DAYS, archive_expired, retention_cutoff, retention_purge
 from strata.operators.layout import cluster_zorder
-from strata.operators.outcomes import GOOD, OUTCOMES, REJECTS, outcome_counts, rejects
+from strata.operators.outcomes import GOOD, OUTCOMES, REJECTS, check_accounted, outcome_counts, rejects
+from strata.operators.runner import Check, rule_checks, run_suite
+from strata.operators.skew import flag_join
 from strata.operators.star import incremental_filter
 from strata.plans.layers import (
     ENTITIES,
@@ -57,13 +59,17 @@ from strata.sources.tables import (
     path_exists,
     read_note,
     read_snapshot,
+    remove_partitions,
     replace_partitions,
     snapshot_exists,
     snapshot_folder,
+    vacuum_snapshots,
     write_note,
 )
 
 
+JOB_RUNS = """orchestrator_run_id STRING, job_name STRING, job_start TIMESTAMP, job_end TIMESTAMP, status STRING,
+  error_message STRING"""
 LOAD_ACCOUNTS = """entity_name STRING, partition STRING, loaded_at TIMESTAMP, landed BIGINT, good BIGINT, lost_cast BIGINT,
   rejected BIGINT, unreadable BIGINT, unreadable_pages BIGINT, rows_written BIGINT, new_columns INT, duration_seconds DOUBLE"""
 
@@ -344,7 +350,7 @@ class Warehouse:
 
     def load_star(self, as_of: str, strict: bool = False) -> dict[str, str]:
         """All active tables, dimensions first. A table that fails does not stop the others."""
-        outcome = {}
+        outcome, run = {}, uuid.uuid4().hex
         for config in self.configs:
             def load(c=config) -> None:
                 if c.table_type == "DIMENSION":
@@ -352,9 +358,32 @@ class Warehouse:
                 else:
                     self.load_fact(c.table_name, as_of, strict=strict)
 
-            outcome[config.table_name] = self._attempt(load)
+            started = time.monotonic()
+            outcome[config.table_name], error = self._attempt(load)
+            job = (run, config.table_name, as_of, time.monotonic() - started, outcome[config.table_name], error)
+            self._append_job(*job)
         return outcome
 
+    def _append_job(self, run: str, job: str, as_of: str, seconds: float, status: str, error: str | None) -> None:
+        start = F.lit(as_of).cast("timestamp")
+        row = self.spark.range(1).select(
+            F.lit(run).alias("orchestrator_run_id"), F.lit(job).alias("job_name"), start.alias("job_start"),
+            (start + F.make_dt_interval(secs=F.lit(round(seconds, 3)))).alias("job_end"), F.lit(status).alias("status"),
+            F.lit(error).cast("string").alias("error_message"),
+        )
+        append_rows(row, self.path("control", "job_runs"))
+
+    def jobs(self) -> DataFrame:
+        """One row per table and run of ``load_star``, for ``orchestrator_rollup``; it starts at the run's instant."""
+        path = self.path("control", "job_runs")
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], JOB_RUNS)
+        return self.spark.read.schema(JOB_RUNS).parquet(path)
+
+    def runs(self) -> DataFrame:
+        """One row per run of ``load_star``."""
+        return orchestrator_rollup(self.jobs())
+
     def optimise(self, table: str, files: int | None = None) -> None:
         """Rewrite a star table clustered by its configured columns."""
         config = self.config(table)
@@ -369,67 +398,117 @@ class Warehouse:
 
     # ---- checks ------------------------------------------------------------------------------
 
-    def run_checks(self, as_of: str) -> DataFrame:
-        """Check every loaded table, keep the results in the control layer, and return the report."""
-        found: dict[str, tuple[str, DataFrame]] = {}
+    def checks(self) -> tuple[dict[str, Check], dict[str, Callable[[], DataFrame]]]:
+        """The checks of all configured tables, and the tables that their row checks read."""
+        found: dict[str, Check] = {}
+        tables: dict[str, Callable[[], DataFrame]] = {}
         for c in self.configs:
-            rows, source = self.gold(c.table_name), self.silver(c.source)
-            found[f"{c.source}: unique"] = ("HIGH", check_duplicates(source, self.entities[c.source].keys))
+            table, source, entity = c.table_name, c.source, self.entities[c.source]
+            tables[table], tables[source] = lambda t=table: self.gold(t), lambda t=source: self.silver(t)
+            rows, typed_rows = tables[table], tables[source]
+            found[f"{source}: unique"] = Check("silver", "HIGH", lambda r=typed_rows, k=entity.keys: check_duplicates(r(), k))
+            found |= dict(rule_checks(source, "silver", entity.rules()))
             if c.table_type == "DIMENSION":
-                found[f"{c.table_name}: unique"] = ("HIGH", check_key_uniqueness(rows, [c.surrogate_key, c.business_key]))
+                keys = [c.surrogate_key, c.business_key]
+                found[f"{table}: unique"] = Check("gold", "HIGH", lambda r=rows, k=keys: check_key_uniqueness(r(), k))
                 continue
             keys = [x["surrogate_key_column"] for x in c.lookups]
-            found[f"{c.table_name}: keyed"] = ("HIGH", check_null_fk(rows, keys, _partitions(c)))
+            found[f"{table}: keyed"] = Check(
+                "gold", "HIGH", table=table, broken=lambda k=keys: reduce(Column.__or__, [F.col(x).isNull() for x in k])
+            )
             for x in c.lookups:
-                dim, fk = self.gold(x["dimension_table"]), x["surrogate_key_column"]
-                orphans = check_orphan_pct(rows.where(F.col(fk).isNotNull()), dim, fk, c.table_name)
-                found[f"{c.table_name}: {fk}"] = ("HIGH", orphans)
+                fk, dim = x["surrogate_key_column"], x["dimension_table"]
+                found[f"{table}: {fk}"] = Check("gold", "HIGH", lambda r=rows, fk=fk, d=dim, t=table: check_orphan_pct(
+                    r().where(F.col(fk).isNotNull()), self.gold(d), fk, t))
             measure = next(m for m in c.columns if m.get("is_measure"))
-            period = _partitions(c)[0]
-            found[f"{c.table_name}: reconciled"] = (
-                "HIGH",
-                check_layer_reconciliation(
-                    source, rows, (c.watermark_column, period), (measure["source"], measure["target"])
-                ),
+            on, of = (c.watermark_column, _partitions(c)[0]), (measure["source"], measure["target"])
+            found[f"{table}: reconciled"] = Check("gold", "HIGH", lambda s=typed_rows, r=rows, on=on, of=of: (
+                check_layer_reconciliation(s(), r(), on, of)))
+            found[f"{source}: amounts"] = Check(
+                "silver", "MEDIUM", table=source, broken=lambda m=measure["source"]: odd_amount(m).isNotNull()
             )
-            odd = check_amount_rule(source, measure["source"], self.entities[c.source].keys)
-            found[f"{c.source}: amounts"] = ("MEDIUM", odd)
+        found["typed loads: accounted"] = Check("silver", "HIGH", lambda: check_accounted(self.load_accounts()))
+        return found, tables
+
+    def run_checks(self, as_of: str, environment: str = "test", layers: Iterable[str] | None = None) -> DataFrame:
+        """Check every configured table, keep the results in the control layer, and return the report.
+
+        A check that can't run is kept as an ERROR with its message, and the others run all the same.
+        """
+        found, tables = self.checks()
         run, path = uuid.uuid4().hex, self.path("control", "test_results")
-        stamped = check_results(found).withColumns(
-            {"test_run_id": F.lit(run), "recorded_at": F.lit(as_of).cast("timestamp")}
-        )
-        append_rows(stamped, path)
+        results = run_suite(self.spark, found, tables, environment, None if layers is None else set(layers))
+        append_rows(results.withColumns({"test_run_id": F.lit(run), "recorded_at": F.lit(as_of).cast("timestamp")}), path)
         return check_suite_report(self.spark.read.parquet(path).where(F.col("test_run_id") == run))
 
     # ---- lifecycle ---------------------------------------------------------------------------
 
     def apply_retention(self, layer: str, table: str, as_of: str, days: int | None = None) -> int:
-        """Remove a partitioned table's rows past the layer's retention. Returns how many went.
+        """Remove a table's rows past the layer's retention. Returns how many went.
 
         Where the layer keeps an archive they are written there first, below the day of the run, so
-        that a repeated run overwrites its own copy. Only partitions with expired rows are rewritten.
+        that a repeated run overwrites its own copy. Partitions of which all rows expired go by their
+        directory; only those with both kinds of row are rewritten. A dimension gets a new snapshot,
+        and the older ones go; star members that a fact refers to stay, whatever their age.
         """
-        if layer == "bronze":
-            rows, parts, column, path = self.bronze(table), RAW_PARTITIONS, "ingestion_datetime", "bronze/extracts"
-        elif layer == "silver":
-            rows, parts, column = self.silver(table), [self.entities[table].partition], "ingestion_datetime"
-            path = f"silver/{table}"
-        else:
-            rows, parts, column, path = self.gold(table), _partitions(self.config(table)), "LOAD_DATETIME", f"gold/{table}"
-        keep = RETENTION_DAYS[layer] if days is None else days
-        expired = archive_expired(rows, column, as_of, keep)
+        parts, column, path, kind = self._kept_by(layer, table)
+        keep = RETENTION_DAYS[kind] if days is None else days
+        rows = self.bronze(table) if layer == "bronze" else self.silver(table) if layer == "silver" else self.gold(table)
+        if parts is None:
+            return self._expire_snapshot(layer, table, rows, column, as_of, keep, ARCHIVE_FIRST[kind])
+        old = F.coalesce(F.col(column) < retention_cutoff(as_of, keep), F.lit(False))
         # One row per partition directory: as small as the directory listing.
-        counts = expired.groupBy(*parts).count().collect()
+        counted = rows.groupBy(*parts).agg(F.count_if(old).alias("gone"), F.count(F.lit(1)).alias("all")).where("gone > 0")
+        counts = counted.collect()
         if not counts:
             return 0
-        if ARCHIVE_FIRST[layer]:
+        whole = [tuple(r[p] for p in parts) for r in counts if r["gone"] == r["all"]]
+        part = [tuple(r[p] for p in parts) for r in counts if r["gone"] < r["all"]]
+        if ARCHIVE_FIRST[kind]:
+            expired = archive_expired(_within(rows, parts, whole + part), column, as_of, keep)
             replace_partitions(expired, f"{self.base}/archive/{path}/{as_of[:10]}", parts)
-        touched = [tuple(r[p] for p in parts) for r in counts]
-        matches = [reduce(Column.__and__, [F.col(p).eqNullSafe(v) for p, v in zip(parts, t, strict=True)]) for t in touched]
-        affected = rows.where(reduce(Column.__or__, matches))
-        with staged(retention_purge(affected, column, as_of, keep), table) as kept:
-            replace_partitions(kept, f"{self.base}/{path}", parts, touched)
-        return sum(r["count"] for r in counts)
+        if part:
+            with staged(retention_purge(_within(rows, parts, part), column, as_of, keep), table) as kept:
+                replace_partitions(kept, f"{self.base}/{path}", parts, part)
+        remove_partitions(self.spark, f"{self.base}/{path}", parts, whole)
+        return sum(r["gone"] for r in counts)
+
+    def _kept_by(self, layer: str, table: str) -> tuple[list[str] | None, str, str, str]:
+        """Partition columns (none for a snapshot), date column, folder and retention class of a table."""
+        if layer == "bronze":
+            return RAW_PARTITIONS, "ingestion_datetime", "bronze/extracts", "bronze"
+        if layer == "silver":
+            partition = self.entities[table].partition
+            if partition is None:
+                return None, "ingestion_datetime", f"silver/{table}", "silver_dim"
+            return [partition], "ingestion_datetime", f"silver/{table}", "silver"
+        if self.config(table).table_type == "DIMENSION":
+            return None, "UPDATED_AT", f"gold/{table}", "gold"
+        return _partitions(self.config(table)), "LOAD_DATETIME", f"gold/{table}", "gold"
+
+    def _expire_snapshot(
+        self, layer: str, table: str, rows: DataFrame, column: str, as_of: str, keep: int, archive: bool
+    ) -> int:
+        base, flag = self.path(layer, table), "__needed"
+        rows = rows.withColumn(flag, F.lit(False))
+        if layer == "gold":
+            for c in self.configs:
+                for x in c.lookups:
+                    if x["dimension_table"] == table and path_exists(self.spark, self.path("gold", c.table_name)):
+                        key, used = self.config(table).surrogate_key, self.gold(c.table_name)
+                        marked = flag_join(rows, used, [(key, x["surrogate_key_column"])], "__used")
+                        rows = marked.withColumn(flag, F.col(flag) | F.col("__used")).drop("__used")
+        old = ~F.col(flag) & F.coalesce(F.col(column) < retention_cutoff(as_of, keep), F.lit(False))
+        judged = stored(rows.withColumn("__old", old).drop(flag), "retention", ["__old"])
+        expired = judged.where("__old").drop("__old")
+        gone = expired.count()
+        if gone:
+            if archive:
+                expired.write.mode("overwrite").parquet(f"{self.base}/archive/{layer}/{table}/{as_of[:10]}")
+            overwrite_snapshot(judged.where("not __old").drop("__old"), base)
+            vacuum_snapshots(self.spark, base)
+        released(judged)
+        return gone
 
     # ---- log ---------------------------------------------------------------------------------
 
@@ -462,12 +541,27 @@ class Warehouse:
             raise
 
     @staticmethod
-    def _attempt(load: Callable[[], None]) -> str:
+    def _attempt(load: Callable[[], None]) -> tuple[str, str | None]:
         try:
             load()
-        except Exception:  # logged by the load itself; one table's failure must not stop the rest
-            return "FAILED"
-        return "SUCCESS"
+        except Exception as error:  # logged by the load itself; one table's failure must not stop the rest
+            return "FAILED", str(error)[:2000]
+        return "SUCCESS", None
+
+
+def _within(rows: DataFrame, cols: list[str], targets: list[tuple]) -> DataFrame:
+    """The rows of the named partitions. Lists prune the scan by column; the join picks the exact ones."""
+    for i, c in enumerate(cols):
+        values = {t[i] for t in targets}
+        wanted = F.col(c).isin([v for v in values if v is not None])
+        rows = rows.where(wanted | F.col(c).isNull() if None in values else wanted)
+    if len(cols) == 1:
+        return rows
+    names = [f"__t{i}" for i in range(len(cols))]
+    kinds = ", ".join(f"{n} {rows.schema[c].dataType.simpleString()}" for n, c in zip(names, cols, strict=True))
+    listed = F.broadcast(rows.sparkSession.createDataFrame(targets, kinds))  # as many rows as directories
+    same = [F.col(c).eqNullSafe(F.col(n)) for n, c in zip(names, cols, strict=True)]
+    return rows.join(listed, reduce(Column.__and__, same), "left_semi")
 
 
 def _partitions(config: TableConfig) -> list[str]:

@@ -43,12 +43,8 @@ def replace_partitions(
     writer.parquet(path)
     metrics = seen.get
     written = {tuple(p) for p in metrics["parts"] or []}
-    for target in targets or []:
-        label = tuple(NULL_PARTITION if v is None else str(v) for v in target)
-        if label not in written:
-            escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-            folder = "/".join(f"{c}={escape(v)}" for c, v in zip(cols, label, strict=True))
-            remove_path(spark, f"{path.rstrip('/')}/{folder}")
+    empty = [t for t in targets or [] if tuple(NULL_PARTITION if v is None else str(v) for v in t) not in written]
+    remove_partitions(spark, path, cols, empty)
     return metrics["rows"]
 
 
@@ -89,6 +85,27 @@ def read_snapshot(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(snapshot_folder(spark, base))
 
 
+def vacuum_snapshots(spark: SparkSession, base: str) -> int:
+    """Remove all versions but the current one, which may hold rows that had to go. Returns how many went."""
+    current, gone = _current_version(spark, base), 0
+    fs, where = file_system(spark, base)
+    for status in fs.listStatus(where) if current is not None else []:
+        name = status.getPath().getName()
+        if name.startswith("v=") and name != f"v={current}":
+            fs.delete(status.getPath(), True)
+            gone += 1
+    return gone
+
+
+def remove_partitions(spark: SparkSession, path: str, cols: Sequence[str], targets: Iterable[Sequence]) -> None:
+    """Remove whole partitions by their directories; nothing is read."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for target in targets:
+        label = [NULL_PARTITION if v is None else str(v) for v in target]
+        folder = "/".join(f"{c}={escape(v)}" for c, v in zip(cols, label, strict=True))
+        remove_path(spark, f"{path.rstrip('/')}/{folder}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, where = file_system(spark, path)
     return fs.exists(where)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import checks
+from strata.operators.runner import Check, run_suite
 from strata.operators.skew import lookup_join
 from strata.operators.star import assign_surrogate_keys, fk_lookup
 from strata.plans.layers import ENTITIES, gold_fact
@@ -337,6 +338,32 @@ def check_suite_report(s: Samples, l: Layers) -> DataFrame:
     return checks.check_suite_report(results)
 
 
+@query(
+    "check_suite_results",
+    """SELECT 'amounts' AS test_id, 'silver' AS layer, 'test' AS environment, 'MEDIUM' AS criticality, count(*) AS violations,
+         CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status, FALSE AS has_error
+       FROM silver_earn WHERE earning_amount <= 0 OR earning_amount > 50000
+       UNION ALL SELECT 'late', 'silver', 'test', 'LOW', count(*), CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, FALSE
+       FROM silver_earn WHERE pay_period_id > 20
+       UNION ALL SELECT 'no such column', 'silver', 'test', 'HIGH', NULL, 'ERROR', TRUE
+       UNION ALL SELECT 'no such table', 'gold', 'test', 'HIGH', NULL, 'ERROR', TRUE
+       UNION ALL SELECT 'unique', 'silver', 'test', 'HIGH', 0, 'PASS', FALSE""",
+)
+def check_suite_results(s: Samples, l: Layers) -> DataFrame:
+    """A suite in which two checks can't run: they are reported, and so are the others."""
+    silver = l.silver("fact_earnings")
+    found = run_suite(s.spark, {
+        "amounts": Check("silver", "MEDIUM", table="earnings", broken=lambda: checks.odd_amount("earning_amount").isNotNull()),
+        "late": Check("silver", "LOW", table="earnings", broken=lambda: F.col("pay_period_id") > 20),
+        "no such column": Check("silver", "HIGH", table="earnings", broken=lambda: F.col("gross_amount") > 0),
+        "no such table": Check("gold", "HIGH", lambda: s.spark.read.parquet(l.warehouse.path("gold", "fact_bonuses"))),
+        "unique": Check("silver", "HIGH", lambda: checks.check_duplicates(silver, GRAIN)),
+    }, {"earnings": lambda: silver})
+    return found.select("test_id", "layer", "environment", "criticality", "violations", "status",
+                        F.coalesce(F.length("error_message") > 0, F.lit(False)).alias("error")).select(
+        "test_id", "layer", "environment", "criticality", "violations", "status", (F.col("error") & (F.col("status") == "ERROR")).alias("has_error"))
+
+
 _SCORES = f"""SELECT count(*) AS n, count(*) FILTER (WHERE earning_amount IS NOT NULL) AS complete,
     count(DISTINCT (employee_number, pay_period_id, earning_code)) AS keys,
     count(*) FILTER (WHERE earning_amount BETWEEN 0 AND 50000) AS valid,

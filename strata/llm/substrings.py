@@ -3,18 +3,17 @@
 Texts are bytes; a string counts as repeated if it starts anywhere else, in another text or the same.
 Every window of ``length`` bytes has an anchor: of the grams of ``gram`` bytes in it, that with the
 least hash, the first of equals. Equal windows have their anchors at the same place, so they meet
-under the gram's key, with all that a window around the anchor can cover as context.
+under the gram's key. An anchor stands for the windows that have it, and what these cover is its context.
 
 * A key that occurs once settles its windows as not repeated; a key with one context, met at several
   places, settles all of them as repeated. Copies thus cost an aggregation and no comparison.
-* What is left is split: windows whose anchors are nearly as far in have a longer core in common,
-  whose hash is the new key. Again keys are settled by one place or one content.
-* Of the keys that are left, the contents are compared: the suffixes of a batch are sorted by their
-  first ``length`` bytes, and from their transform the places where common prefixes end are derived
-  breadth-first, one backward step at a time, by increasing common prefix, until ``length``. Suffixes
-  that no such place parts share ``length`` bytes. They count if they start at two places.
-* A key with more than ``most`` contents is split again instead; at the last, the core is the window
-  itself, and settled.
+* Of the keys that are left, the distinct contexts are compared: the suffixes of a batch are sorted by
+  their first ``length`` bytes, and from their transform the places where common prefixes end are
+  derived breadth-first, one backward step at a time, by increasing common prefix, until ``length``.
+  Suffixes that no such place parts share ``length`` bytes. They count if they start at two places.
+* A key with more than ``most`` contexts is split instead: windows whose anchors are nearly as far in
+  have a longer core in common, whose hash is the new key. Again keys are settled by one place or one
+  content, compared, or split; at the last, the core is the window itself.
 
 Keys are hashes, which only bring contexts together. Equal contexts are told by 128-bit hashes, and
 are the only thing that is taken as equal without comparing bytes.
@@ -35,7 +34,7 @@ from strata.llm.text import M1, map_rows, map_task, mixed, text_bytes
 from strata.operators.skew import lookup_join, shuffle_width
 from strata.session import released, stored
 
-LENGTH, GRAM = 400, 128
+LENGTH, GRAM = 400, 64
 MOST = 1024
 PARTS = 8
 BATCH_BYTES = 1 << 20
@@ -65,14 +64,18 @@ def rolling(data: bytes, gram: int) -> np.ndarray:
     return mixed(windowed(SYMBOL[np.frombuffer(data, np.uint8)], gram, join))
 
 
-def anchors(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places of the anchors of all windows of ``data``, in order, and their keys."""
+def anchors(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of ``data`` in order: their places, their keys, and the first and last window of each.
+
+    The windows that share an anchor follow one another, because the anchors of later windows are later.
+    """
     keys = rolling(data, gram)
     ranked = (keys >> np.uint64(32) << np.uint64(32)) | np.arange(len(keys), dtype=np.uint64)
     least = windowed(ranked, length - gram + 1, lambda a, b, size: np.minimum(a, b))
     places = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    places = places[np.flatnonzero(np.diff(places, prepend=-1))]
-    return places, keys[places]
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    places = places[first]
+    return places, keys[places], first, np.append(first[1:], len(least)) - 1
 
 
 def halves(data: bytes) -> tuple[int, int]:
@@ -86,9 +89,8 @@ def anchor_rows(classes: DataFrame, length: int, gram: int) -> DataFrame:
 
     def work():
         def one(cid, data):
-            places, keys = anchors(data, length, gram)
-            before = np.minimum(places, length - gram)
-            after = np.minimum(len(data) - places, length)
+            places, keys, first, last = anchors(data, length, gram)
+            before, after = places - first, last + length - places
             contexts = [halves(b"%d:" % b + data[p - b : p + a]) for p, b, a in zip(places.tolist(), before.tolist(), after.tolist())]
             c = np.array(contexts, np.int64).reshape(-1, 2)
             return cid, places.astype(np.int32), keys.view(np.int64), c[:, 0], c[:, 1], before.astype(np.int16), after.astype(np.int16)
@@ -103,26 +105,34 @@ def anchor_rows(classes: DataFrame, length: int, gram: int) -> DataFrame:
     return found.select("cid", F.inline(F.arrays_zip("pos", "key", "c1", "c2", "before", "after")))
 
 
-def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes of ``symbols`` sorted by their first ``depth`` symbols at least, and the place of each in that order.
+def packing(symbols: np.ndarray, depth: int) -> tuple[int, int]:
+    """How many symbols, at most ``depth``, are compared at once, as one number, and the bits of each."""
+    bits = max(int(symbols.max()).bit_length(), 1)
+    return min(62 // bits, depth), bits
+
+
+def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffixes of ``symbols`` sorted by their first ``depth`` symbols at least, the place of each in
+    that order, and in that order the first symbols of each as one number.
 
     The longer prefixes come from shorter ones: a round sorts, among suffixes that are still equal, by
     the rank of what follows the part compared so far.
     """
-    n, bits = len(symbols), max(int(symbols.max()).bit_length(), 1)
-    packed = 62 // bits
+    n, (packed, bits) = len(symbols), packing(symbols, depth)
     key = np.zeros(n, np.int64)
     for k in range(packed):
         key = (key << bits) | np.roll(symbols, -k)
-    order = np.argsort(key, kind="stable")
-    first = np.flatnonzero(np.diff(key[order], prepend=-1))
-    rank = np.empty(n, np.int64)
+    order = np.argsort(key).astype(np.int32)
+    led = key[order]
+    first = np.flatnonzero(np.diff(led, prepend=-1))
+    rank = np.empty(n, np.int32)
     rank[order] = np.repeat(first, np.diff(np.append(first, n)))
     slots = np.flatnonzero(np.repeat(np.diff(np.append(first, n)) > 1, np.diff(np.append(first, n))))
     done = packed
     while done < depth and len(slots):
         open_ = order[slots]
-        key = rank[open_] * n + rank[(open_ + done) % n]
+        after = open_ + done
+        key = rank[open_].astype(np.int64) * n + rank[np.where(after < n, after, after - n)]
         by = np.argsort(key, kind="stable")
         open_, key = open_[by], key[by]
         order[slots] = open_
@@ -131,9 +141,9 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
         rank[open_] = np.repeat(slots[first], sizes)
         slots = slots[np.repeat(sizes > 1, sizes)]
         done *= 2
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    return order, place
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    return order, place, led
 
 
 def ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,34 +153,43 @@ def ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) + np.repeat(low - np.append(0, np.cumsum(sizes)[:-1]), sizes), owner
 
 
-def parted(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+def parted(symbols: np.ndarray, order: np.ndarray, place: np.ndarray, packed_keys: np.ndarray, length: int) -> np.ndarray:
     """Whether each suffix in ``order`` shares fewer than ``length`` symbols with the one before it.
 
     Interval expansion: the suffixes that start with a string are an interval. Stepping back from those
     of an interval by one symbol gives the intervals of the strings longer by one. Where the end of one
     is not yet known as a boundary, the common prefix there is the length of the string before the
     step, and the interval takes part in the next step. So boundaries come by increasing common prefix.
+    The shortest ones are told from the first symbols of the suffixes, compared as one number.
     """
-    n = len(symbols)
+    n, (packed, bits) = len(symbols), packing(symbols, length)
     led = symbols[order]
-    back = place[order - 1]  # where the suffix longer by one stands; its first symbol is the transform's
-    known = np.zeros(n + 1, bool)
-    low = np.flatnonzero(np.diff(led, prepend=-1))
+    back = place[order - 1].astype(np.int64)  # where the suffix longer by one stands; its first symbol is the transform's
+    known = np.ones(n + 1, bool)
+    differs = packed_keys[1:] ^ packed_keys[:-1]
+    known[1:n] = differs != 0
+    low = np.flatnonzero(known[:n])
     high = np.append(low[1:], n)
-    known[low] = known[n] = True
-    for _ in range(length - 1):
+    # The boundaries of the step before the first one: all but the last symbol of the string are shared there.
+    latest = np.zeros(n + 1, bool)
+    latest[1:n] = (differs != 0) & (differs >> bits == 0)
+    low, high = low[latest[high]], high[latest[high]]
+    for _ in range(length - packed):
+        if not len(low):
+            break
         at, owner = ranges(low, high)
         to = back[at]
-        by = np.argsort(owner * n + to, kind="stable")
-        to, owner = to[by], owner[by]
-        new = np.ones(len(to), bool)
-        new[1:] = (np.diff(to) != 1) | (np.diff(owner) != 0) | (led[to[1:]] != led[to[:-1]])
-        first = np.flatnonzero(new)
-        low, high = to[first], to[np.append(first[1:], len(to)) - 1] + 1
+        if len(at) > len(low):
+            by = np.argsort(owner * n + to)
+            to, owner = to[by], owner[by]
+            new = np.ones(len(to), bool)
+            new[1:] = (np.diff(to) != 1) | (np.diff(owner) != 0) | (led[to[1:]] != led[to[:-1]])
+            first = np.flatnonzero(new)
+            low, high = to[first], to[np.append(first[1:], len(to)) - 1] + 1
+        else:  # intervals of one suffix each
+            low, high = to, to + 1
         fresh = ~known[high]
         low, high = low[fresh], high[fresh]
-        if not len(low):
-            break
         known[high] = True
     return known[:n]
 
@@ -185,8 +204,8 @@ def repeated_starts(texts: list[bytes], places: np.ndarray, sure: np.ndarray, le
     ends = np.cumsum(sizes) - 1
     symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + len(texts)
     symbols[ends] = np.arange(len(texts))
-    order, place = suffix_order(symbols, length)
-    first = np.flatnonzero(parted(symbols, order, place, length))
+    order, place, packed_keys = suffix_order(symbols, length)
+    first = np.flatnonzero(parted(symbols, order, place, packed_keys, length))
     start = ends - sizes + 1
     stands = np.arange(len(symbols)) + np.repeat(places - start, sizes)
     stands, doubled = stands[order], np.repeat(sure, sizes)[order]
@@ -289,33 +308,33 @@ def one_of(*columns: str):
 def settle(units: DataFrame, length: int, most: int) -> DataFrame:
     """(c1, c2, spans) of the repeated strings in ``units``.
 
-    Each round splits all units that are left; ``PARTS`` to the power of three is more than the windows
-    of a context, so after three rounds a part is a window, and its keys are settled.
+    Each round splits the units of the keys that are still too large; ``PARTS`` to the power of three is
+    more than the windows of a context, so after three rounds a part is a window, and its keys are settled.
     """
     found = []
     while True:
-        parts = stored(split(units, length), "parts")
+        # At most one key for each ``most`` units.
+        busy = stored(units.groupBy("key").count().where(F.col("count") > most).select("key"), "busy")
+        found.append(stored(compare(units.join(F.broadcast(busy), "key", "left_anti"), length), "compared"))
+        if busy.isEmpty():
+            released(busy, units)
+            break
+        large = stored(units.join(F.broadcast(busy), "key", "left_semi"), "large")
+        released(busy, units)
+        parts = stored(split(large, length), "parts")
         keys = parts.groupBy("key").agg(F.count(F.lit(1)).alias("n"), one_of("f1", "f2").alias("uniform")).where("n > 1")
         keys = stored(keys.select(F.col("key").alias("k"), "uniform"), "keys")
         met = stored(lookup_join(parts, keys, [("key", "k")], ["uniform"], BROADCAST).where("uniform is not null"), "met")
         released(parts, keys)
         whole = F.array(F.struct("from", "to"))
         found.append(stored(met.where("uniform and not sure").select("c1", "c2", whole.alias("spans")), "compared"))
-        bodies = units.select("c1", "c2", F.col("lo").alias("at"), "cid", "pos", F.col("before").alias("lead"), "data")
+        bodies = large.select("c1", "c2", F.col("lo").alias("at"), "cid", "pos", F.col("before").alias("lead"), "data")
         left = met.where("not uniform").join(bodies, ["c1", "c2", "at"]).select(
             "key", "c1", "c2", "cid", "pos", (-F.col("from")).alias("before"),
             F.substring("data", F.col("lead") + F.col("from") + 1, F.col("to") - F.col("from")).alias("data"), "sure", "lo", "hi",
         )
-        left = stored(left, "units")
-        released(met, units)
-        # At most one key for each ``most`` units.
-        busy = stored(left.groupBy("key").count().where(F.col("count") > most).select("key"), "busy")
-        found.append(stored(compare(left.join(F.broadcast(busy), "key", "left_anti"), length), "compared"))
-        if busy.isEmpty():
-            released(busy, left)
-            break
-        units = stored(left.join(F.broadcast(busy), "key", "left_semi"), "units")
-        released(busy, left)
+        units = stored(left, "units")
+        released(met, large)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -10,7 +10,8 @@ Texts travel once, to ranges of their ids. Their number follows from the bytes o
 file stays within ``FILE_BYTES``; rows of one id may lie in several files. A file can be written
 again by any executor.
 
-Defined results: a null or empty text has the end id only. Null document ids come first. Rows that
+Defined results: a null or empty text has the end id only. A special token that the vocabulary adds
+and a text spells out gets its id, as the library gives it. Null document ids come first. Rows that
 are repeated are encoded as often; their order among themselves goes by content.
 """
 
@@ -47,7 +48,8 @@ class Encoder:
     Byte-level BPE merges inside the matches of its pattern only, and no match spans a space between
     two other characters. So a text is the sum of its words, each with the space before it, and the
     library sees a word once as long as one of two bounded tables holds it; the older is dropped when
-    the newer is full, and what is still in use moves over.
+    the newer is full, and what is still in use moves over. Tokens that were added to the vocabulary
+    match before the pattern does and may hold spaces, so a text with one goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -55,7 +57,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = sorted({t.content for t in self._tokenizer.get_added_tokens_decoder().values()})
+        self._added = re.compile("|".join(map(re.escape, added))) if added else None
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -63,6 +66,8 @@ class Encoder:
         return [array("i", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str, end: int) -> np.ndarray:
+        if self._added and self._added.search(text):
+            return np.frombuffer(self._encoded([text])[0] + array("i", [end]).tobytes(), np.int32)
         first, *rest = SAFE.split(text) if UNSAFE.search(text) else text.split(" ")
         if len(self._known) > MOST:
             self._known, self._older = {}, self._known

@@ -9,8 +9,9 @@ A text is read around its digits and @ signs only, as an entity has to hold one:
 type: its shape, number of digits and groups, checksum, range of parts, separators, length, and the
 characters around it. Dynamic programming over a stretch chooses boundaries and types jointly. The
 weights maximise the conditional likelihood, by gradients from forward and backward sums, on at most
-``SAMPLE`` texts where the base patterns label the spans, and on variants of these spans that the base
-patterns don't match. Stretches stop at line ends and have a bounded length, so time is linear in the
+``STRETCHES`` stretches of about ``SAMPLE`` texts, both chosen by hash, where the base patterns label the
+spans, and on variants of these spans that the base patterns don't match. Stretches stop at line ends and
+are never cut: the dynamic program goes along them with a few bytes a piece, so time is linear in the
 text, and every text is one row's work.
 
 Defined results: a null or empty text has no spans. Spans of the field never overlap base spans.
@@ -22,8 +23,10 @@ from __future__ import annotations
 import bisect
 import math
 import re
+import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,19 +37,26 @@ Span = tuple[int, int, str]
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 1500
+STRETCHES = 9000
 EPOCHS = 5
 RATE = 0.3
 SEED = 5
 LONGEST = 16
-WINDOW = 240
 MARGIN = 40
 
+# Numbers that are no personal data, for the field to learn from.
+DECOYS = (
+    "2024-05-17", "17.05.2021", "2021-05-17 10:22:33", "17.05.2021 10:22", "12, 13, 14, 15", "1,234,567.89", "3.14159265", "1999-2004",
+    "1 2 3 4 5 6 7 8", "10:22:33.125", "12345678", "100 200 300 400", "2019 2020 2021",
+)
+
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
+DIGITS = frozenset("0123456789")
 TRIGGER = re.compile(r"[0-9@]")
 PIECE = re.compile(r"[A-Za-z]+|[0-9]+|.", re.S)
 
@@ -88,11 +98,11 @@ def base_spans(text: str) -> list[Span]:
 
 
 def windows(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of ``text`` around digits and @ signs, none longer than WINDOW."""
+    """Stretches of ``text`` around digits and @ signs that follow each other closely on a line."""
     start = end = None
     for found in TRIGGER.finditer(text):
         at = found.start()
-        if start is not None and at - end < 6 and at - start < WINDOW - 2 * MARGIN and "\n" not in text[end:at]:
+        if start is not None and at - end < 6 and "\n" not in text[end:at]:
             end = at + 1
             continue
         if start is not None:
@@ -103,12 +113,17 @@ def windows(text: str) -> Iterator[tuple[int, int]]:
 
 
 def around(text: str, start: int, end: int) -> tuple[int, int]:
-    """``start`` to ``end`` with the rest of the words at its ends and a bracket or sign before it."""
+    """``start`` to ``end`` with the rest of the words at its ends and a bracket or sign before it.
+
+    An @ at an end may stand apart from the word next to it, which then belongs to the stretch.
+    """
     low, high = max(0, start - MARGIN), min(len(text), end + MARGIN)
     before = text[low:start]
-    cut = max(before.rfind(c) for c in " \n\t")
+    word = before.rstrip(" ") if text[start] == "@" else before
+    cut = max(word.rfind(c) for c in " \n\t")
     after = text[end:high]
-    ends = [k for k in map(after.find, " \n\t") if k >= 0]
+    gap = len(after) - len(after.lstrip(" ")) if text[end - 1] == "@" else 0
+    ends = [k for k in (after.find(c, gap) for c in " \n\t") if k >= 0]
     return low + cut + 1, end + (min(ends) if ends else len(after))
 
 
@@ -144,30 +159,43 @@ def kind_of(character: str) -> str:
     return "a" if character.isalpha() else "0" if character.isdigit() else "_" if character.isspace() else character
 
 
-def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, str]]]:
-    """Boundaries of the pieces of a stretch, and the segments (first, last boundary, group) an entity may fill.
+def boundaries(text: str, start: int, end: int) -> array:
+    """Where the pieces of a stretch begin and end."""
+    return array("q", [start, *(m.end() for m in PIECE.finditer(text, start, end))])
+
+
+def segments(text: str, bounds: Sequence[int], i: int) -> Iterator[tuple[int, str]]:
+    """The segments (last boundary, span) from boundary ``i`` that an entity may fill.
 
     Segments start and end at words' edges: with a letter or digit, or a + or bracket that opens one.
-    They hold seven digits or more, or an @ between other characters.
+    They hold seven digits or more, four groups of up to three digits with a dot in every gap, or an @
+    between other characters.
     """
-    pieces = [m for m in PIECE.finditer(text, start, end)]
-    bounds = [start, *[m.end() for m in pieces]]
-    found = []
-    words = [m[0][0].isascii() and m[0][0].isalnum() for m in pieces]
-    digits = [len(m[0]) if m[0][0] in "0123456789" else 0 for m in pieces]
-    for i, first in enumerate(pieces):
-        if not (words[i] or first[0] in "+("):
-            continue
-        n, at, alpha = 0, 0, 0
-        for j in range(i, min(len(pieces), i + LONGEST)):
-            n += digits[j]
-            at += pieces[j][0] == "@"
-            alpha += words[j] and not digits[j]
-            if at > 1 or n > 20 or (pieces[j][0] == " " and j + 1 < len(pieces) and pieces[j + 1][0] == " "):
-                break
-            if words[j] and (at == 1 and j > i + 1 or n >= 7 and not alpha and not at):
-                found.append((i, j + 1, text[bounds[i] : bounds[j + 1]]))
-    return bounds, found
+    first, last = text[bounds[i]], len(bounds) - 1
+    if not (first.isascii() and first.isalnum() or first in "+("):
+        return
+    n, at, alpha, groups, short, dot = 0, 0, 0, 0, True, True
+    for j in range(i, min(last, i + LONGEST)):
+        character = text[bounds[j]]
+        word = character.isascii() and character.isalnum()
+        if character in DIGITS:
+            size = bounds[j + 1] - bounds[j]
+            n, groups, short, dot = n + size, groups + 1, short and size <= 3 and dot, False
+        elif word:
+            alpha += 1
+        at += character == "@"
+        dot |= character == "."
+        if at > 1 or n > 20 or (character == " " and j + 1 < last and text[bounds[j + 1]] == " "):
+            return
+        enough = n >= 7 or groups == 4 and short and first in DIGITS
+        if word and (at == 1 and j > i + 1 or enough and not alpha and not at):
+            yield j + 1, text[bounds[i] : bounds[j + 1]]
+
+
+def candidates(text: str, start: int, end: int) -> tuple[Sequence[int], list[tuple[int, int, str]]]:
+    """Boundaries of the pieces of a stretch, and all its segments (first, last boundary, span)."""
+    bounds = boundaries(text, start, end)
+    return bounds, [(i, j, span) for i in range(len(bounds) - 1) for j, span in segments(text, bounds, i)]
 
 
 class Field:
@@ -176,36 +204,30 @@ class Field:
     def __init__(self, weights: dict[str, float] | None = None):
         self.weights = defaultdict(float, weights or {})
 
-    def scores(self, text: str, bounds: list[int], found: list[tuple[int, int, str]]) -> list[tuple[int, int, str, list[str], float]]:
-        out = []
-        for i, j, span in found:
-            names = span_features(span, text[max(0, bounds[i] - 1) : bounds[i]], text[bounds[j] : bounds[j] + 1])
-            for kind in KINDS:
-                if (kind == "email") != ("@" in span):
-                    continue
-                out.append((i, j, kind, names, sum(self.weights.get(f"{kind} {n}", 0.0) for n in names)))
-        return out
+    def scores(self, text: str, bounds: Sequence[int], i: int, j: int, span: str) -> Iterator[tuple[str, list[str], float]]:
+        """Each type a segment may have, its features, and its score."""
+        names = span_features(span, text[max(0, bounds[i] - 1) : bounds[i]], text[bounds[j] : bounds[j] + 1])
+        for kind in ("email",) if "@" in span else KINDS[1:]:
+            yield kind, names, sum(self.weights.get(f"{kind} {n}", 0.0) for n in names)
 
     def decode(self, text: str, start: int, end: int) -> list[Span]:
-        """The best segmentation's entities."""
-        bounds, found = candidates(text, start, end)
-        if not found:
-            return []
-        ending = defaultdict(list)
-        for segment in self.scores(text, bounds, found):
-            ending[segment[1]].append(segment)
-        best: list[tuple[float, int, str | None]] = [(0.0, 0, None)]
-        for j in range(1, len(bounds)):
-            choice = (best[j - 1][0], j - 1, None)
-            for i, _, kind, _, score in ending[j]:
-                if best[i][0] + score > choice[0]:
-                    choice = (best[i][0] + score, i, kind)
-            best.append(choice)
-        spans, j = [], len(bounds) - 1
+        """The best segmentation's entities. Of a piece of the stretch, its score and its way back are kept."""
+        bounds = boundaries(text, start, end)
+        n = len(bounds)
+        best, back, kinds = array("d", [-math.inf]) * n, array("i", [0]) * n, bytearray(n)
+        best[0] = 0.0
+        for i in range(n - 1):
+            for j, span in segments(text, bounds, i):
+                for kind, _, score in self.scores(text, bounds, i, j, span):
+                    if best[i] + score > best[j]:
+                        best[j], back[j], kinds[j] = best[i] + score, i, KINDS.index(kind) + 1
+            if best[i] >= best[i + 1]:  # the piece is no part of an entity
+                best[i + 1], back[i + 1], kinds[i + 1] = best[i], i, 0
+        spans, j = [], n - 1
         while j:
-            _, i, kind = best[j]
-            if kind:
-                spans.append((bounds[i], bounds[j], kind))
+            i = back[j]
+            if kinds[j]:
+                spans.append((bounds[i], bounds[j], KINDS[kinds[j] - 1]))
             j = i
         return spans[::-1]
 
@@ -214,7 +236,7 @@ class Field:
         bounds, found = candidates(text, start, end)
         place = {b: k for k, b in enumerate(bounds)}
         right = {(place.get(s), place.get(e), kind) for s, e, kind in gold}
-        scored = self.scores(text, bounds, found)
+        scored = [(i, j, *one) for i, j, span in found for one in self.scores(text, bounds, i, j, span)]
         if not scored or not right <= {s[:3] for s in scored}:
             return
         ending, starting = defaultdict(list), defaultdict(list)
@@ -252,42 +274,50 @@ def variants(span: str, kind: str) -> list[str]:
         digits = NOT_DIGIT.sub("", span)
         parts = [digits[k : k + 4] for k in range(0, len(digits), 4)]
         return [".".join(parts), "  ".join(parts).replace("  ", " / ")]
+    if kind == "ip":
+        return [span.replace(".", ". "), span.replace(".", "[.]"), span.replace(".", " . ")]
     if kind == "email":
-        return [span.replace("@", " @ ")]
+        return [span.replace("@", " @ "), span.replace("@", " @")]
     return []
 
 
 def examples(text: str) -> Iterator[tuple[str, int, int, list[Span]]]:
-    """Stretches with their base spans, and the same with a span written in another way."""
+    """Stretches with their base spans, the same with a span written in another way, and with a decoy in its place."""
     spans = base_spans(text)
     for start, end in windows(text):
         own = [s for s in spans if start <= s[0] and s[1] <= end]
         yield text, start, end, own
-        for s, e, kind in own[:1]:
-            for other in variants(text[s:e], kind):
+        for s, e, kind in own:
+            decoy = DECOYS[zlib.crc32(text[s:e].encode()) % len(DECOYS)]
+            for other in [*variants(text[s:e], kind), decoy]:
                 low, high = max(0, s - 60), e + 60
                 changed = text[low:s] + other + text[e:high]
                 span = (s - low, s - low + len(other), kind)
                 for a, b in windows(changed):
                     if a <= span[0] and span[1] <= b:
+                        named = [span] if other != decoy else []
                         kept = [(x - low, y - low, k) for x, y, k in own if y <= s and x - low >= a]
                         shift = len(other) - (e - s) - low
                         kept += [(x + shift, y + shift, k) for x, y, k in own if x >= e and y + shift <= b]
-                        yield changed, a, b, sorted([span, *kept])
+                        yield changed, a, b, sorted([*named, *kept])
+
 
+def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, most: int = STRETCHES) -> Field:
+    """A field fitted on at most ``most`` different stretches of at most ``sample`` texts with digits or an @.
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Field:
-    """A field fitted on at most ``sample`` texts with digits or an @, chosen by a hash of their content."""
+    Texts and stretches are chosen by hashes of their content, so no place in a text is left out.
+    """
     texts = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text"))
     mark = F.xxhash64(F.lit(SEED), "text")
     some = max(1, texts.count() // sample)  # a hash keeps about the bound, before anything meets
     texts = texts.where(F.pmod(mark, F.lit(some)) == 0)
     chosen = texts.select(mark.alias("mark"), "text").orderBy("mark").limit(sample)
     near = F.regexp_extract_all("text", F.lit(r"([^\n]{0,100}(?:@|[0-9]{3})[^\n]{0,200})"), F.lit(1))
-    rows = chosen.select("mark", F.slice(near, 1, 6).alias("parts")).collect()
+    parts = chosen.select(F.explode(near).alias("part")).distinct()
+    turn = F.xxhash64(F.lit(SEED), "part")
+    rows = parts.select("part", turn.alias("turn")).orderBy("turn", "part").limit(most).collect()
     field, seen = Field(), defaultdict(lambda: 1e-2)
-    parts = [p for row in rows for p in row["parts"]]
-    stretches = [e for p in dict.fromkeys(parts) for e in examples(p)]
+    stretches = [e for row in rows for e in examples(row["part"])]
     for _ in range(EPOCHS):
         for example in stretches:
             field.learn(*example, seen)

@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, partition_value, status_class
-from strata.operators.skew import lookup_join, trailing_hour_counts
-from strata.session import stored
+from strata.operators.skew import trailing_hour_counts
 
 RAW_PARTITIONS = ["partition_column", "entity_name"]
-ROWS_PER_SLICE = 100_000
 
 
 def bronze_envelope(
@@ -25,15 +23,16 @@ def bronze_envelope(
     run_id: str | None = None,
     endpoint: str | None = None,
     status: int = 200,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    spread: int = 1,
 ) -> DataFrame:
     """Raw rows holding JSON arrays of at most ``page_size`` records each.
 
     ``entity`` is a name, or a column when the records mix entities. An entity without a period is
-    a snapshot. Records are counted per (entity, period) first, and a large one is dealt over slices
-    of about ``rows_per_slice``, so that many tasks page it. A slice depends on the content of a
-    record and on the partition it is read from, which a retry reproduces and which also spreads
-    copies of one record.
+    a snapshot. The records of one (entity, period) are paged apart for each input partition, so they
+    are read once and move once, and no task pages more of them than another one read. A slice follows
+    from the partition a record is read from, which a retry reproduces and which also spreads copies of
+    one record. It ends with a page that may not be full. Input in few, large partitions can be dealt
+    over ``spread`` slices each, by content.
     """
     period = F.lit(FULL_LOAD) if period_col is None else partition_value(F.lit("INCREMENTAL"), period_col)
     name = F.lit(entity) if isinstance(entity, str) else entity
@@ -46,10 +45,7 @@ def bronze_envelope(
         F.xxhash64(*fields).alias("__content"),
         F.spark_partition_id().alias("__part"),
     )
-    sizes = routed.groupBy(*RAW_PARTITIONS).agg(F.ceil(F.count(F.lit(1)) / rows_per_slice).alias("__slices"))
-    on = [(c, c) for c in RAW_PARTITIONS]
-    sized = lookup_join(routed, stored(sizes, "sizes"), on, ["__slices"])
-    dealt = sized.withColumn("__slice", F.pmod(F.col("__content") + F.col("__part"), F.col("__slices")))
+    dealt = routed.withColumn("__slice", F.col("__part") * spread + F.pmod("__content", F.lit(spread)))
     position = F.row_number().over(Window.partitionBy(*keys).orderBy("__content"))
     pages = (
         dealt.withColumn("__page", F.floor((position - 1) / page_size))

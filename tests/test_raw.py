@@ -23,11 +23,28 @@ def test_envelope_keeps_every_record_in_pages_of_the_given_size(spark):
 def test_envelope_spreads_copies_of_one_record(spark):
     """A record repeated many times over several input partitions does not meet in one slice."""
     copies = spark.range(0, 4000, numPartitions=8).select(F.lit("same").alias("name"), F.lit(1).alias("period"))
-    pages = landing.bronze_envelope(copies, "fact_x", "period", page_size=5000, ingested_at=AT, rows_per_slice=500)
+    pages = landing.bronze_envelope(copies, "fact_x", "period", page_size=5000, ingested_at=AT)
     sizes = [r["record_count"] for r in pages.select("record_count").collect()]
     assert sum(sizes) == 4000 and max(sizes) <= 1000
 
 
+def test_envelope_reads_its_source_once_and_moves_it_once(spark, plan, tmp_path):
+    spark.range(1000).select("id", F.lit(3).alias("period")).write.parquet(str(tmp_path / "r"))
+    records = spark.read.parquet(str(tmp_path / "r"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    pages = landing.bronze_envelope(records, "fact_x", "period", ingested_at=AT)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before, "no job runs ahead"
+    text = plan(pages)
+    assert (text.count("FileScan"), text.count("Exchange")) == (1, 1)
+
+
+def test_envelope_deals_large_partitions_over_slices(spark):
+    records = spark.range(0, 1000, numPartitions=1).select("id", F.lit(3).alias("period"))
+    pages = landing.bronze_envelope(records, "fact_x", "period", page_size=5000, ingested_at=AT, spread=4)
+    sizes = [r["record_count"] for r in pages.select("record_count").collect()]
+    assert len(sizes) == 4 and sum(sizes) == 1000 and max(sizes) < 400
+
+
 def test_envelope_of_a_snapshot_and_of_nothing(spark):
     one = landing.bronze_envelope(spark.range(1), "dim_x", None, ingested_at=AT, endpoint="/x", status=200)
     row = one.first()

@@ -16,22 +16,49 @@ from strata.sources.tables import replace_partitions
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 LEAST_BITS, DEFAULT_BITS, MOST_BITS = 6, 10, 16
 SAMPLED = 8
+LISTED_BYTES = 1 << 37  # of the files that one task lists
 SPLITTER_CHARS = 256
 
 
-def file_stats(df: DataFrame) -> DataFrame:
-    """Number of files behind ``df``, their total and average size."""
-    per_file = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.max("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("rows")
+def file_stats(spark: SparkSession, path: str, count_rows: bool = True) -> DataFrame:
+    """Number of Parquet files below ``path``, their total and average size, and their rows.
+
+    No row is read: sizes come from the listing, and rows from the footers. Without ``count_rows`` the
+    footers are left alone too, and the number of rows is NULL.
+    """
+    session = _footers(spark)
+    files = listed(session, path).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.lit(None).cast("long").alias("rows")
     )
-    return per_file.agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("size_bytes"),
-        F.avg("bytes").alias("avg_file_bytes"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+    if count_rows:
+        rows = session.read.schema("`__none` INT").parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+        none = F.lit(None).cast("long")
+        files = files.unionByName(rows.select(none.alias("files"), none.alias("bytes"), "rows"))
+    n, size = F.sum("files"), F.coalesce(F.sum("bytes"), F.lit(0))
+    return files.agg(
+        n.alias("file_count"), size.alias("size_bytes"), F.try_divide(size, n).alias("avg_file_bytes"),
+        F.sum("rows").alias("row_count"),
+    )
+
+
+def listed(session: SparkSession, path: str) -> DataFrame:
+    """One row per Parquet file below ``path``: path, folder, length and modification time. Contents stay unread."""
+    files = session.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    where = F.col("_metadata.file_path")
+    return files.load(path).select(
+        where.alias("path"), F.regexp_replace(where, "/[^/]*$", "").alias("folder"), "length", "modificationTime"
     )
 
 
+def _footers(spark: SparkSession) -> SparkSession:
+    """A session that lists many files per task and counts Parquet rows by their footers."""
+    session = _packing(spark, LISTED_BYTES)
+    sources = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in sources if s != "parquet"))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
 def compact_files(
     spark: SparkSession,
     source: str,
@@ -175,7 +202,10 @@ def files_matching(df: DataFrame, point: dict) -> DataFrame:
 
 
 def table_statistics(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Compute statistics of a catalog table and return what the catalog recorded for each column."""
+    """Compute statistics of a catalog table for the optimizer and return what the catalog recorded for each column.
+
+    That reads the whole table; ``statistics.refresh_statistics`` reads what changed.
+    """
     what = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS {what}")
     names = columns or spark.table(table).columns

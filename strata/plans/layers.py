@@ -144,7 +144,7 @@ def extra_columns(bronze: DataFrame, entity: Entity, added: Mapping[str, str]) -
     declared = StructType([StructField(c, StringType()) for c in entity.columns])
     names, types = {c.lower(): c for c in added}, dict(added)
     for column, kind in detect_new_columns(infer_payload_schema(bronze), declared):
-        name = names.get(column.lower(), column)
+        name = names.setdefault(column.lower(), column)
         if kind == "void":
             types.setdefault(name, "string")
             continue

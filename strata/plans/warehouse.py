@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.functions.expr import FULL_LOAD, SOURCE_SYSTEM, typed
@@ -66,6 +67,7 @@ from strata.sources.tables import (
     vacuum_snapshots,
     write_note,
 )
+from strata.streaming.silver_stream import clear_rejects, settle, stream_bronze_to_silver, streamed_rejects
 
 
 JOB_RUNS = """orchestrator_run_id STRING, job_name STRING, job_start TIMESTAMP, job_end TIMESTAMP, status STRING,
@@ -203,6 +205,36 @@ class Warehouse:
         released(judged)
         return new
 
+    def stream_silver(self, name: str, as_of: str, **options: object) -> StreamingQuery:
+        """Start typing the pages that landed since the last call; ``settle_silver`` merges them.
+
+        The table then equals what ``build_silver`` makes of the same pages, as long as no raw partition
+        was replaced by one with fewer keys: the stream never takes a key back.
+        """
+        return stream_bronze_to_silver(
+            self.spark, self.path("bronze", "extracts"), self.RAW_SCHEMA, self.entities[name], self._new_rows(name),
+            self.path("control", f"streams/{name}"), as_of=as_of, **options,
+        )
+
+    def settle_silver(self, name: str) -> int:
+        """Merge what streams typed into the table, and their rejects into ``rejects``. Returns the rows written.
+
+        Rejects replace those of the same pages, so a settling that failed can be repeated.
+        """
+        new = self._new_rows(name)
+        written = settle(self.spark, self.entities[name], self.path("silver", name), new, self._schema_note(name))
+        lost = streamed_rejects(self.spark, new)
+        if lost is not None:
+            pages = lost.select("ingestion_id").distinct()
+            kept = flag_join(self.rejects(), pages, [("ingestion_id", "ingestion_id")], "__again")
+            with staged(kept.where("not __again").drop("__again").unionByName(lost), "rejects") as rows:
+                replace_partitions(rows, self.path("silver", "_rejects"), ["entity_name", "partition_column"])
+            clear_rejects(self.spark, new)
+        return written
+
+    def _new_rows(self, name: str) -> str:
+        return self.path("silver", f"_new/{name}")
+
     def _keep_rejects(self, name: str, judged: DataFrame, raw: DataFrame, counts: Mapping[str, int]) -> None:
         """Replace what earlier loads of the same raw partitions rejected by what this one does."""
         path = self.path("silver", "_rejects")

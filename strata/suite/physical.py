@@ -1,12 +1,11 @@
 """Queries over file layout, table statistics and the streaming load."""
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import layout
 from strata.operators import quality as q
+from strata.operators.statistics import merged_statistics, refresh_statistics
 from strata.plans.layers import Entity
 from strata.plans.warehouse import Warehouse
 from strata.session import scratch_path
@@ -29,7 +28,7 @@ def scattered(s: Samples) -> str:
 
 @query("file_stats", f"SELECT count(*) AS row_count, {SMALL_FILES}::BIGINT AS file_count, TRUE AS sizes_known FROM lineitem")
 def file_stats(s: Samples, l: Layers) -> DataFrame:
-    stats = layout.file_stats(s.spark.read.parquet(scattered(s)))
+    stats = layout.file_stats(s.spark, scattered(s))
     known = (F.col("size_bytes") > 0) & (F.col("avg_file_bytes") > 0)
     return stats.select("row_count", "file_count", known.alias("sizes_known"))
 
@@ -42,7 +41,7 @@ def compact_files(s: Samples, l: Layers) -> DataFrame:
     source, target = scattered(s), scratch_path(s.spark, "compact")
     layout.compact_files(s.spark, source, target)
     after = s.spark.read.parquet(target)
-    files = layout.file_stats(after).select("row_count", (F.col("file_count") < SMALL_FILES).alias("fewer_files"))
+    files = layout.file_stats(s.spark, target).select("row_count", (F.col("file_count") < SMALL_FILES).alias("fewer_files"))
     amount = after.agg(F.sum(F.col("l_extendedprice").cast("decimal(10,2)")).alias("amount")).scalar()
     return files.withColumn("amount", amount)
 
@@ -84,12 +83,33 @@ def cluster_zorder(s: Samples, l: Layers) -> DataFrame:
     return totals.withColumn("skips_files", fewer)
 
 
-@query("table_statistics")
+MEASURED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"]
+_READ = "(SELECT count(DISTINCT year(o_orderdate)) FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01')"
+
+
+@query(
+    "table_statistics",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS num_nulls, CAST(min({c}) AS VARCHAR) AS min,
+          CAST(max({c}) AS VARCHAR) AS max, TRUE AS distinct_close, {_READ} AS folders_read FROM orders"""
+        for c in MEASURED
+    ),
+)
 def table_statistics(s: Samples, l: Layers) -> DataFrame:
-    name = f"strata_stats_{uuid.uuid4().hex}"
-    path = scratch_path(s.spark, "stats")
-    s.table("orders").select("o_orderkey", "o_custkey", "o_totalprice").write.option("path", path).saveAsTable(name)
-    return layout.table_statistics(s.spark, name, ["o_orderkey", "o_custkey"])
+    """Orders by year, measured before and after the last years arrive: only these are read the second time."""
+    path, store = scratch_path(s.spark, "measured"), scratch_path(s.spark, "measures")
+    orders = s.table("orders").select(*MEASURED).withColumn("order_year", F.year("o_orderdate"))
+    replace_partitions(orders.where("order_year < 2000"), path, ["order_year"])
+    refresh_statistics(s.spark, path, store, MEASURED)
+    replace_partitions(orders.where("order_year >= 2000"), path, ["order_year"])
+    read = refresh_statistics(s.spark, path, store, MEASURED)
+    exact = s.spark.read.parquet(path).agg(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in MEASURED
+    ]).alias("all")).select(F.inline("all"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.04
+    found = merged_statistics(s.spark, store).join(exact, "column_name")
+    return found.select("column_name", "row_count", "num_nulls", "min", "max", close.alias("distinct_close"),
+                        F.lit(read).cast("long").alias("folders_read"))
 
 
 @query(

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from strata.operators import layout
 from strata.operators import quality as q
 from strata.operators.control import failed_runs, failed_worklist
+from strata.operators.statistics import merged_statistics, refresh_statistics
 from strata.plans import analytics
 from strata.plans.layers import ENTITIES, Entity, silver
 from strata.plans.warehouse import Warehouse
 from strata.sources import landing
 from strata.sources.catalog import read_catalog, table_configs
-from strata.sources.tables import append_rows, replace_partitions
+from strata.sources.tables import append_rows, remove_partitions, replace_partitions
 from strata.streaming.silver_stream import latest_rows, settle, stream_bronze_to_silver
 
 DAYS = ("2024-01-10 00:00:00", "2024-01-24 00:00:00")
@@ -316,7 +317,7 @@ def test_compaction(spark, tmp_path):
     source, target = str(tmp_path / "s"), str(tmp_path / "t")
     spark.range(1000).repartition(20).write.parquet(source)
     layout.compact_files(spark, source, target)
-    stats = [layout.file_stats(spark.read.parquet(p)).first() for p in (source, target)]
+    stats = [layout.file_stats(spark, p).first() for p in (source, target)]
     assert [(s["file_count"], s["row_count"]) for s in stats] == [(20, 1000), (1, 1000)]
 
 
@@ -334,7 +335,7 @@ def test_compact_one_partition(spark, tmp_path):
     for _ in range(3):
         append_rows(df.repartition(4), path, ["p"])
     assert layout.compact_partition(spark, path, ["p"], "p = 1", str(tmp_path / "stage")) == 150
-    files = {p: layout.file_stats(spark.read.parquet(f"{path}/p={p}")).first()["file_count"] for p in (0, 1)}
+    files = {p: layout.file_stats(spark, f"{path}/p={p}").first()["file_count"] for p in (0, 1)}
     assert files[1] == 1 and files[0] > 1 and spark.read.parquet(path).count() == 300
     large, bytes_a_file = str(tmp_path / "large"), 1 << 20
     spark.range(400000).select(F.xxhash64("id").alias("v"), F.lit(1).alias("p")).repartition(24).write.partitionBy("p").parquet(large)
@@ -374,6 +375,36 @@ def test_statistics(spark, tmp_path):
     spark.sql("DROP TABLE measured")
 
 
+def test_file_statistics_read_no_row(spark, plan, tmp_path):
+    path = str(tmp_path / "f")
+    spark.range(300).select("id", (F.col("id") % 3).alias("p")).repartition(2).write.partitionBy("p").parquet(path)
+    found = layout.file_stats(spark, path)
+    text = plan(found)
+    assert "PushedAggregation: [COUNT(*)]" in text and "content" not in text
+    row = found.first()
+    sizes = [f.stat().st_size for f in (tmp_path / "f").rglob("*.parquet")]
+    assert (row.file_count, row.size_bytes, row.row_count) == (len(sizes), sum(sizes), 300)
+    assert layout.file_stats(spark, path, count_rows=False).first().row_count is None
+
+
+def test_statistics_read_changed_folders_only(spark, tmp_path):
+    path, store = str(tmp_path / "t"), str(tmp_path / "s")
+    def part(p, low, high):
+        return spark.range(low, high).select(F.nullif("id", F.lit(5)).alias("id"), F.lit(None).cast("double").alias("d"), F.lit(p).alias("p"))
+    def read():
+        return {r.column_name: r for r in merged_statistics(spark, store).collect()}
+    replace_partitions(part("a b", 0, 100).union(part("x/y", 50, 200)).union(part("1%2", 0, 10)), path, ["p"])
+    assert refresh_statistics(spark, path, store) == 3 and refresh_statistics(spark, path, store) == 0
+    row = read()["id"]
+    assert (row.row_count, row.num_nulls, row.min, row.max) == (260, 2, "0", "199") and abs(row.distinct_count - 199) <= 4
+    assert (read()["d"].num_nulls, read()["d"].min, read()["d"].distinct_count, read()["p"].max) == (260, None, 0, "x/y")
+    replace_partitions(part("x/y", 1000, 1001), path, ["p"])
+    remove_partitions(spark, path, ["p"], [("1%2",)])
+    assert refresh_statistics(spark, path, store) == 1
+    assert (read()["id"].row_count, read()["id"].max) == (101, "1000")
+    assert refresh_statistics(spark, path, store, ["id"]) == 2 and list(read()) == ["id"]
+
+
 def sample_entity():
     return Entity(
         "fact_x", {"k": "string", "p": "int", "v": "int", "at": "timestamp"}, ["k", "p"], order=["at"],
@@ -411,6 +442,37 @@ def test_stream_equals_batch(spark, rows, tmp_path, delay):
     assert streamed == [("a", 1, 2), ("b", 1, 1), ("c", 2, 1), ("d", 2, 1)]
 
 
+@pytest.mark.parametrize("delay", [None, "10 days"])
+def test_streamed_table_equals_the_batch_table_with_new_columns(spark, rows, tmp_path, delay):
+    """A column appears, then widens from whole numbers to text; a record is rejected and a page is broken."""
+    entity = sample_entity()
+    late = {"event_time": "at", "delay": delay} if delay else {}
+    batches = [
+        '[{"k":"a","p":1,"v":1,"at":"2024-01-01"},{"k":"b","p":2,"v":1,"at":"2024-01-01"},{"k":null,"p":1,"v":3,"at":"2024-01-01"}]',
+        '[{"k":"a","p":1,"v":2,"at":"2024-01-03","bonus":7},{"k":"c","p":1,"v":"x","at":"2024-01-02","bonus":3}]',
+        '[{"k":"c","p":1,"v":5,"at":"2024-01-02","bonus":9},{"k":"b","p":2,"v":9,"at":"2023-01-01"}]',
+        '[{"k":"d","p":1,"v":2,"at":"2024-01-03","bonus":"none","extra":{"n":1}},{"k":"c","p":1,"v":5,"at":"2024-01-02","bonus":3}]',
+        '[{"k":"d","p":1,"v":2',
+    ]
+    stream, batch = (Warehouse(spark, str(tmp_path / n), entities={"fact_x": entity}) for n in ("stream", "batch"))
+    for i, payload in enumerate(batches):
+        page = landing.bronze_envelope(spark.createDataFrame([("z", 1)], "k STRING, p INT"), "fact_x", "p", ingested_at="2024-02-01")
+        page = page.withColumns({"payload_json": F.lit(payload), "record_count": F.lit(2), "ingestion_id": F.lit(f"page{i}")})
+        for w in (stream, batch):
+            append_rows(page, w.path("bronze", "extracts"), landing.RAW_PARTITIONS)
+        stream.stream_silver("fact_x", "2024-03-01", **late).awaitTermination()
+        if i in (0, 2, 4):
+            assert stream.settle_silver("fact_x") > 0
+            assert stream.settle_silver("fact_x") == 0
+    batch.build_silver("fact_x", "2024-03-01")
+    one, two = stream.silver("fact_x"), batch.silver("fact_x")
+    assert {(f.name.lower(), f.dataType.simpleString()) for f in one.schema} == {(f.name.lower(), f.dataType.simpleString()) for f in two.schema}
+    columns = sorted(one.columns)
+    assert rows(one, *columns) == rows(two, *columns) and one.count() == 4
+    lost = ["ingestion_id", "outcome", "reasons", "records", "partition_column"]
+    assert rows(stream.rejects(), *lost) == rows(batch.rejects(), *lost) and stream.rejects().count() == 3
+
+
 def test_settle_only_touches_the_periods_of_the_increments(spark, rows, tmp_path):
     path, new, entity = str(tmp_path / "t"), str(tmp_path / "n"), sample_entity()
     ddl = "k STRING, p INT, v INT, at TIMESTAMP, source_file_id STRING"

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import governance as g
 from strata.operators.skew import lookup_join
+from strata.session import stored
 from strata.suite.registry import Layers, query
 from strata.suite.samples import FINAL, Samples
 
@@ -37,9 +38,9 @@ def rls_self_or_admin(s: Samples, l: Layers) -> DataFrame:
     """One employee's view, and the view of an administrator (employees with the title LEAD)."""
     admins = s.employees().where("job_title = 'LEAD' AND department <> 'FURNITURE'").select("email")
     boss = admins.agg(F.max("email")).first()[0]
-    out = None
+    held, out = stored(secured(s, l), "secured"), None
     for seen_as, user in (("self", someone(s)), ("admin", boss)):
-        rows = g.rls_self_or_admin(secured(s, l), admins, user)
+        rows = g.rls_self_or_admin(held, admins, user)
         view = rows.groupBy("employee_email").agg(F.count(F.lit(1)).alias("n")).agg(
             F.lit(seen_as).alias("seen_as"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("people")
         )
@@ -58,10 +59,10 @@ def rls_role_department(s: Samples, l: Layers) -> DataFrame:
     user = someone(s)
     segments = s.table("customer").select(F.col("c_mktsegment").alias("dept")).distinct()
     managed = segments.where("dept IN ('BUILDING', 'MACHINERY')").withColumn("manager_email", F.lit(user))
-    out = None
+    held, out = stored(secured(s, l), "secured"), None
     for seen_as, role in (("employee", "Employees"), ("payroll", "PayrollManagers"), ("manager", "DepartmentManagers")):
         roles = s.employees().select(F.lit(role).alias("role"), "email").where(F.col("email") == user)
-        rows = g.rls_role_department(secured(s, l), roles, managed, user)
+        rows = g.rls_role_department(held, roles, managed, user)
         view = rows.groupBy("department").agg(F.count(F.lit(1)).alias("n")).withColumn("seen_as", F.lit(seen_as))
         out = view if out is None else out.unionByName(view)
     return out

@@ -117,7 +117,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Machin
 
 
 def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
-    """Fit on at most ``sample`` labelled rows that are not held out."""
+    """Fit on at most ``sample`` rows that are labelled and not held out, chosen by a hash of their ids.
+
+    Repeated documents and labels count as often as they come, within the same bound.
+    """
     known = labels.select(F.col(id).alias("doc_id"), F.col("quality").cast("double").alias("quality"))
     known = known.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "quality").limit(sample)  # the documented bound
@@ -129,7 +132,8 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     texts = docs.select(F.col(id).alias("doc_id"), text_bytes(text).alias("data"))
     chosen = texts.join(F.broadcast(known), "doc_id").select("doc_id", "quality", "data")
     made = map_rows(chosen, "doc_id bigint, quality double, slots array<bigint>, vals array<float>", work)
-    found = made.orderBy("doc_id", "quality", F.xxhash64("slots")).limit(2 * sample).toArrow()
+    turn = [F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "quality", F.xxhash64("slots")]
+    found = made.orderBy(*turn).limit(sample).orderBy(*turn[1:]).toArrow()
     rows = [(np.array(s, np.int64), np.array(v, np.float32)) for s, v in zip(
         found["slots"].to_pylist(), found["vals"].to_pylist(), strict=True)]
     return fit(rows, np.array(found["quality"].to_pylist(), np.float64))

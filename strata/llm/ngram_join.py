@@ -12,8 +12,12 @@ most by which two of them may differ.
 * **One-deletion neighbourhoods.** A segment indexed whole and also without each one of its shingles
   finds partners that differ by one in it, and counts double. Sets of bands with d below ``SMALL_GAP``
   use m = (d + 2) // 2 such segments: their segments would be too short otherwise. Sets of other bands
-  that have to leave out too much get back the missing count from one-deletion segments; if even that
-  falls short, they keep what they would leave out, which only sets in the same case do.
+  that have to leave out too much are cut again by frequency, below; those that leave out too much even
+  so get back the missing count from one-deletion segments of the first cut; if even that falls short,
+  they keep what they would leave out, which only sets in the same case do.
+* **Allocation by cost.** Sets that have to leave out too much, because a passage of many texts spoils
+  many of their segments, are cut once more: all shingles of costly contents go to one segment, and
+  the others to 2d + 1, of which a set needs d + 1 that it keeps.
 
 The cost of a content is the number of pairs of sets with it that are not yet in one component.
 Candidates are therefore made in steps: first each set with the first set of its key's group (already
@@ -82,55 +86,109 @@ class Bands:
         return gap + 1 + spare, gap, spare
 
 
-def set_keys(found: np.ndarray, bands: Bands, costly: set[int] | None = None) -> Iterator[tuple[np.ndarray, int]]:
-    """Keys of a set of shingle hashes under its own band and the one below, with their kind.
+class Cut:
+    """A set of shingle hashes cut into the segments of a band: the key of each one that is not empty.
 
-    ``costly`` holds contents that were measured as frequent; None at first. With it, only bands in
-    which the set has to leave out too much give keys.
+    Shingles in ``common`` are in segment 0, and no others then.
     """
+
+    def __init__(self, found: np.ndarray, band: int, segments: int, deleting: bool = False, common: np.ndarray | None = None):
+        self.segments, self.salt = segments, np.uint64(mixed(np.array([band + 1], np.uint64))[0])
+        self.low = np.uint64((band & 1) * PARITY + deleting * DELETING)
+        spread = mixed(found ^ self.salt)
+        part = (spread >> np.uint64(32)).astype(np.int64)
+        if common is None:
+            part %= segments
+        else:
+            part = np.where(np.isin(found, common), 0, 1 + part % (segments - 1))
+        order = np.argsort(part)
+        self.found, self.part, self.inner = found[order], part[order], mixed(spread[order] ^ SALT_A)
+        first = np.flatnonzero(np.r_[True, self.part[1:] != self.part[:-1]])
+        self.sizes = np.diff(np.r_[first, len(part)])
+        self.owner = np.repeat(np.arange(len(first)), self.sizes)
+        self.held, self.sums = self.part[first], np.add.reduceat(self.inner, first)
+        self.whole = self.key(self.held, self.sums)
+
+    def key(self, of: np.ndarray, content: np.ndarray) -> np.ndarray:
+        made = mixed(content ^ mixed(of.astype(np.uint64) + self.salt))
+        return (made & ~np.uint64(PARITY | DELETING)) | self.low
+
+    def without_one(self) -> np.ndarray:
+        """The key of each segment without each one of its shingles."""
+        return self.key(self.part, self.sums[self.owner] - self.inner)
+
+    def nothing(self) -> np.ndarray:
+        """The keys of the empty segments."""
+        empty = np.setdiff1d(np.arange(self.segments), self.held)
+        return self.key(empty, np.zeros(len(empty), np.uint64))
+
+    def among(self, keys: set[int] | None) -> np.ndarray:
+        """Which segments' keys are among ``keys``."""
+        if not keys:
+            return np.zeros(len(self.whole), bool)
+        return np.fromiter((k in keys for k in self.whole.view(np.int64).tolist()), bool, len(self.whole))
+
+    def left_out(self, out: np.ndarray) -> int:
+        return self.segments - len(self.held) + int(out.sum())
+
+
+def cuts_of(found: np.ndarray, bands: Bands) -> Iterator[tuple[int, Cut, int, int]]:
+    """(band, cut, gap, spare) of a set under its own band and the one below, but for bands of equal sets only."""
     own = bands.of(len(found))
     for band in {own, max(0, own - 1)}:
         segments, gap, spare = bands.plan(band)
-        if gap == 0:
-            continue  # only equal sets, which are one set here
-        salt = np.uint64(mixed(np.array([band + 1], np.uint64))[0])
-        spread = mixed(found ^ salt)
-        part = (spread >> np.uint64(32)).astype(np.int64) % segments
-        order = np.argsort(part)
-        part, inner = part[order], mixed(spread[order] ^ SALT_A)
-        first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        sizes = np.diff(np.r_[first, len(part)])
-        held, sums = part[first], np.add.reduceat(inner, first)
-        low = np.uint64((band & 1) * PARITY + (spare < 0) * DELETING)
-
-        def key(of, content, salt=salt, low=low):
-            made = mixed(content ^ mixed(of.astype(np.uint64) + salt))
-            return (made & ~np.uint64(PARITY | DELETING)) | low
-
-        whole = key(held, sums)
-        if spare >= 0:
-            out = np.zeros(len(whole), bool)
-            if costly is not None:
-                out = np.fromiter((k in costly for k in whole.view(np.int64).tolist()), bool, len(whole))
-            left_out = segments - len(held) + int(out.sum())
-            if left_out <= spare:
-                if costly is None:
-                    yield whole, EXACT
-                continue
-        elif costly is not None:
-            continue
-        owner = np.repeat(np.arange(len(held)), sizes)
-        yield key(part, sums[owner] - inner), SHORTER
-        empty = np.setdiff1d(np.arange(segments), held)
-        nothing = key(empty, np.zeros(len(empty), np.uint64))
-        if spare < 0:
-            yield np.concatenate([whole, nothing]), EXACT
-            continue
-        yield whole[~out], EXACT
-        strong = int((~out & (sizes > 1)).sum())
-        yield np.concatenate([whole[out], nothing]), LEFT_OUT
-        if left_out - spare > strong:
-            yield np.concatenate([whole[out], nothing]), EXACT
+        if gap:  # otherwise only equal sets, which are one set here
+            yield band, Cut(found, band, segments, spare < 0), gap, spare
+
+
+def set_keys(found: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, int]]:
+    """Keys of a set of shingle hashes under its own band and the one below, with their kind."""
+    for _, cut, _, spare in cuts_of(found, bands):
+        if spare >= 0 and cut.left_out(cut.among(None)) <= spare:
+            yield cut.whole, EXACT
+        else:
+            yield from deleted_keys(cut, spare, cut.among(None))
+
+
+def deleted_keys(cut: Cut, spare: int, out: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Keys with one-deletion segments, where the segments in ``out`` and the empty ones are left out."""
+    yield cut.without_one(), SHORTER
+    nothing = cut.nothing()
+    if spare < 0:
+        yield np.concatenate([cut.whole, nothing]), EXACT
+        return
+    yield cut.whole[~out], EXACT
+    yield np.concatenate([cut.whole[out], nothing]), LEFT_OUT
+    if cut.left_out(out) - spare > int((~out & (cut.sizes > 1)).sum()):
+        yield np.concatenate([cut.whole[out], nothing]), EXACT
+
+
+def hard_cuts(found: np.ndarray, bands: Bands, costly: set[int]) -> Iterator[tuple[int, Cut, int, int, np.ndarray]]:
+    """(band, cut, gap, spare, out) of the bands in which a set has to leave out more than it may.
+
+    ``costly`` holds contents that were measured as frequent, and ``out`` tells which segments have one.
+    """
+    for band, cut, gap, spare in cuts_of(found, bands):
+        if spare >= 0 and cut.left_out(out := cut.among(costly)) > spare:
+            yield band, cut, gap, spare, out
+
+
+def allocated(found: np.ndarray, band: int, gap: int, common: np.ndarray) -> Cut:
+    """The cut of a hard set: frequent shingles in a segment of their own, the others in twice as many as pairs may differ in."""
+    return Cut(found, band, 2 * (gap + 1), common=common)
+
+
+def hard_keys(
+    found: np.ndarray, bands: Bands, costly: set[int], common: np.ndarray, again: set[int] | None = None
+) -> Iterator[tuple[np.ndarray, int]]:
+    """Keys of a set in its hard bands, with their kind: of its segments by frequency, or with ``again``, the
+    contents that are frequent among these as well, the one-deletion keys of bands that leave out too much even so."""
+    for band, cut, gap, spare, out in hard_cuts(found, bands, costly):
+        anew = allocated(found, band, gap, common)
+        if again is None:
+            yield anew.whole, EXACT
+        elif anew.left_out(anew.among(again)) > anew.segments - gap - 1:
+            yield from deleted_keys(cut, spare, out)
 
 
 def met(kind: int, other: int) -> bool:
@@ -164,14 +222,20 @@ def sets_of(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
 ROWS = "key bigint, head bigint, member bigint"
 
 
+def known_of(costly: list | None, common: list | None = None, *again: list | None) -> tuple:
+    """The columns of a hard set as ``hard_keys`` takes them."""
+    return set(costly or ()), np.array(common or (), np.int64).view(np.uint64), *(set(keys or ()) for keys in again)
+
+
 def index_rows(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, head, member) of the sets of ``texts`` (set, data[, costly]).
+    """(key, head, member) of the sets of ``texts`` (set, data[, costly, common[, again]]).
 
     Within a batch, rows of a key are led by its first whole segment: ``head`` is then that row and
     differs from ``member`` in the others. ``member`` is the set's number with the kind above it. A set
     that has to leave out too many empty segments gives a row with the head SHORT_OF_SEGMENTS as well.
     """
-    columns = [c for c in ("set", "data", "costly") if c in texts.columns]
+    columns = [c for c in ("set", "data", "costly", "common", "again") if c in texts.columns]
+    hard = "costly" in columns
 
     def led(keys, members):
         key, member = np.concatenate(keys).view(np.int64), np.concatenate(members)
@@ -184,13 +248,13 @@ def index_rows(texts: DataFrame, width: int, percent: int) -> DataFrame:
     def run(batches):
         hashes, bands = WordHashes(), Bands(percent)
         keys, members, short, size = [], [], [], 0
-        for number, data, *costly in rows_of(batches):
+        for number, data, *known in rows_of(batches):
             found = np.unique(shingle_hashes(hashes(words(data.lower())), width))
-            for made, kind in set_keys(found, bands, set(costly[0] or ()) if costly else None):
+            for made, kind in hard_keys(found, bands, *known_of(*known)) if hard else set_keys(found, bands):
                 keys.append(made)
                 members.append(np.full(len(made), number | kind << KIND, np.int64))
                 size += len(made)
-                if kind == LEFT_OUT and not costly:
+                if kind == LEFT_OUT and not hard:
                     short.append(number)
             if size > BATCH_KEYS:
                 yield led(keys, members)
@@ -317,61 +381,111 @@ def matched(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return links
 
 
-def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) between sets that give the components of all similar pairs."""
-    found = stored(grouped(index_rows(texts, width, percent)), "groups")
-    groups = found.where(F.col("head") != SHORT_OF_SEGMENTS)
+def apart(rows: DataFrame, links: DataFrame, most: int) -> DataFrame:
+    """(key, set, kind, root) of the ``rows`` (key, member) whose key has several components and more than ``most`` rows, as a table."""
+    roots = roots_of(links)
+    placed = lookup_join(rows.withColumn("set", number_of("member")), roots, [("set", "set")], ["root"])
+    placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
+    several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
+    several = stored(several.where((F.col("low") != F.col("high")) & (F.col("n") > most)).select("key"), "several")
+    placed = stored(flag_join(placed, several, [("key", "key")], "there").where("there").drop("there"), "placed")
+    released(roots, several)
+    return placed
+
+
+def settled(
+    groups: DataFrame, links: DataFrame | None, done: DataFrame | None, used: list[DataFrame],
+    texts: DataFrame, classes: DataFrame, width: int, percent: int,
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Links by what the keys of ``groups`` (key, head, member) share, but for costly keys.
+
+    Gives all links so far, all pairs that were checked, and (key, set, kind, root) of the costly keys whose
+    sets are still in several components; None if no key has several. ``used`` takes the tables behind these.
+    """
     star = groups.select(number_of("head").alias("a"), number_of("member").alias("b")).where("a <> b")
+    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star = star if done is None else star.join(done, ["a", "b"], "left_anti")
     star = stored(sized(star, classes, percent), "star")
-    links = matched(star, texts, width, percent)
+    found = matched(star, texts, width, percent)
+    links, done = (found, star) if links is None else (links.union(found), done.union(star))
     # What is left: members of one key that are in several components.
     members = groups.select("key", "member").union(groups.select("key", F.col("head").alias("member"))).distinct()
-    roots = roots_of(links)
-    placed = lookup_join(members.withColumn("set", number_of("member")), roots, [("set", "set")], ["root"])
-    placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
-    several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    several = stored(several.where("low <> high and n > 2").select("key"), "several")
-    placed = stored(placed.join(several, "key"), "placed")
-    short = found.where(F.col("head") == SHORT_OF_SEGMENTS).select(F.col("member").alias("set")).distinct()
-    short = stored(short, "short")
-    released(found, several, roots)
+    placed = apart(members, links, 2)
+    used += [star, placed]
     if placed.isEmpty():
-        return links
+        return links, done, None
     by_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     n, squares = F.sum("n"), F.sum(F.col("n") * F.col("n"))
     priced = by_root.groupBy("key").agg(((n * n - squares) / 2 > n * PAIRS).alias("frequent"))
     costly = F.col("frequent") & (F.col("key").bitwiseAND(F.lit(DELETING)) == 0)
-    priced = stored(priced.select("key", costly.alias("costly")), "priced")
-    priced_rows = placed.join(priced, "key")
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = links.union(checked(priced_rows.where("not costly"), texts, classes, done, width, percent))
-    dear = priced_rows.where("costly")
-    if not dear.isEmpty():
-        links = links.union(hard_links(dear, short, links, texts, classes, done, width, percent))
-    released(placed, priced, short, star)
+    priced = stored(placed.join(priced.select("key", costly.alias("costly")), "key"), "priced")
+    used.append(priced)
+    links = links.union(checked(priced.where("not costly"), texts, classes, done, width, percent))
+    return links, done, priced.where("costly").drop("costly")
+
+
+def joined_sets(texts: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between sets that give the components of all similar pairs."""
+    found = stored(grouped(index_rows(texts, width, percent)), "groups")
+    used = [found]
+    groups = found.where(F.col("head") != SHORT_OF_SEGMENTS)
+    links, done, dear = settled(groups, None, None, used, texts, classes, width, percent)
+    if dear is not None and not dear.isEmpty():
+        short = found.where(F.col("head") == SHORT_OF_SEGMENTS).select(F.col("member").alias("set")).distinct()
+        links = hard_links(dear, short, links, done, used, texts, classes, width, percent)
+    released(*used)
     return links
 
 
 def hard_links(
-    dear: DataFrame, short: DataFrame, links: DataFrame, texts: DataFrame, classes: DataFrame, done: DataFrame,
-    width: int, percent: int,
+    dear: DataFrame, short: DataFrame, links: DataFrame, done: DataFrame, used: list[DataFrame],
+    texts: DataFrame, classes: DataFrame, width: int, percent: int,
 ) -> DataFrame:
-    """Links between sets that have to leave out more than they may, because of costly keys.
+    """``links`` and those between sets that have to leave out more than they may, because of costly keys.
 
-    Any other set finds its partners by what it keeps. These are indexed once more, without the
-    costly contents and with as many one-deletion segments as that takes.
+    Any other set finds its partners by what it keeps. These are cut once more by frequency: the shingles
+    of costly contents share one segment, so they spoil one and not many. Only sets that leave out too
+    much of this cut too are indexed by as many one-deletion segments of the first as that takes.
     """
     over = dear.where(F.col("kind") == EXACT).select("set", "key").union(short.select("set", F.lit(None).cast("long")))
     over = stored(over.groupBy("set").agg(F.collect_set("key").alias("costly")), "hard")
-    hard = lookup_join(texts, over, [("set", "set")], ["costly"]).where("costly is not null")
-    rows = index_rows(hard, width, percent).where(F.col("head") != SHORT_OF_SEGMENTS).select("key", "member").distinct()
-    rows = stored(rows.withColumn("set", number_of("member")), "hard-index")
-    roots = roots_of(links)
-    placed = lookup_join(rows, roots, [("set", "set")], ["root"])
-    placed = placed.select("key", "set", F.shiftright("member", KIND).alias("kind"), F.coalesce("root", "set").alias("root"))
-    found = checked(placed, texts, classes, done, width, percent)
-    released(over, rows, roots)
-    return found
+    hard = stored(lookup_join(texts, over, [("set", "set")], ["costly"]).where("costly is not null"), "hard-texts")
+    frequent = stored(shingles_of(hard, width, percent, in_costly=True).select("shingle").distinct(), "frequent")
+    common = flag_join(shingles_of(hard, width, percent), frequent, [("shingle", "shingle")], "common").where("common")
+    common = stored(common.groupBy("set").agg(F.collect_list("shingle").alias("common")), "common")
+    allocated_sets = stored(lookup_join(hard, common, [("set", "set")], ["common"]), "allocated")
+    released(over, hard, frequent, common)
+    groups = stored(grouped(index_rows(allocated_sets, width, percent)), "hard-groups")
+    links, done, dear = settled(groups, links, done, used, texts, classes, width, percent)
+    again = F.lit(None).cast("array<bigint>")
+    left = allocated_sets.withColumn("again", again)
+    if dear is not None:
+        keys = stored(dear.groupBy("set").agg(F.collect_set("key").alias("again")), "again")
+        left = lookup_join(allocated_sets, keys, [("set", "set")], ["again"])
+    rows = index_rows(left, width, percent).where(F.col("head") != SHORT_OF_SEGMENTS).select("key", "member").distinct()
+    rows = stored(rows, "hard-index")
+    placed = apart(rows, links, 1)
+    links = links.union(checked(placed, texts, classes, done, width, percent))
+    released(groups, allocated_sets, rows, placed)
+    return links
+
+
+def shingles_of(hard: DataFrame, width: int, percent: int, in_costly: bool = False) -> DataFrame:
+    """(set, shingle) of the sets of ``hard`` that have a hard band; with ``in_costly``, those of costly contents there."""
+
+    def work():
+        hashes, bands = WordHashes(), Bands(percent)
+
+        def one(number, data, costly):
+            found = np.unique(shingle_hashes(hashes(words(data.lower())), width))
+            held = [cut.found[out[cut.owner]] if in_costly else found for _, cut, _, _, out in hard_cuts(found, bands, set(costly))]
+            if held:
+                for shingle in np.unique(np.concatenate(held)).view(np.int64).tolist():
+                    yield number, shingle
+
+        return one
+
+    return map_rows(hard.select("set", "data", "costly"), "set bigint, shingle bigint", work, many=True)
 
 
 def paired(placed: DataFrame, percent: int | None = None) -> DataFrame:

@@ -369,6 +369,54 @@ def test_similar_sets_share_a_key(size, change, seed):
     assert len(x) == len(y) or whole & other or whole & shorter or short & other
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(30, 400), st.integers(0, 60), st.integers(0, 2**31), st.floats(0, 0.6), st.sampled_from([80, 85]))
+def test_hard_sets_meet_by_one_of_three_cuts(size, change, seed, share, percent):
+    """Whatever contents are costly, two similar sets share a key that neither leaves out, in the first cut, the second or the third."""
+    rng, bands = np.random.default_rng(seed), ngram_join.Bands(percent)
+    x = np.unique(rng.integers(0, 2**63, size + change, dtype=np.uint64))
+    y = np.sort(x[rng.permutation(len(x))[:size]])
+    if 100 * len(y) < percent * len(x) or len(x) == len(y):
+        return
+    first = [list(ngram_join.set_keys(s, bands)) for s in (x, y)]
+
+    def some(made):
+        return {k for keys, kind in made if kind == 0 for k in keys.view(np.int64).tolist() if k % 4 // 2 == 0 and rng.random() < share}
+
+    costly = some(first[0]) | some(first[1])
+    spoiled = [cut.found[out[cut.owner]] for s in (x, y) for _, cut, _, _, out in ngram_join.hard_cuts(s, bands, costly)]
+    common = np.unique(np.concatenate([*spoiled, np.array([], np.uint64)]))
+    second = [list(ngram_join.hard_keys(s, bands, costly, np.intersect1d(common, s))) for s in (x, y)]
+    again = some(second[0]) | some(second[1])
+    third = [list(ngram_join.hard_keys(s, bands, costly, np.intersect1d(common, s), again)) for s in (x, y)]
+
+    def meet(made, without):
+        one, two = ({(k, kind) for keys, kind in m for k in keys.view(np.int64).tolist() if k not in without} for m in made)
+        return any((k, other) in two and ngram_join.met(kind, other) for k, kind in one for other in (0, 1, 2))
+
+    assert meet(first, costly) or meet(second, again) or meet(third, ())
+
+
+@pytest.mark.parametrize("percent, width, pairs", [(85, 4, 2), (80, 5, 2), (80, 5, 0)])
+def test_texts_with_passages_of_many_texts_equal_brute_force(spark, rows, monkeypatch, percent, width, pairs):
+    monkeypatch.setattr(ngram_join, "PAIRS", pairs)
+    rng = np.random.default_rng(11)
+    passages = [[f"p{k}_{i}" for i in range(60)] for k in range(3)]
+    docs = []
+    for i in range(160):
+        if i % 4 == 3:
+            w = docs[int(rng.integers(len(docs)))][1].split()
+            for _ in range(int(rng.integers(0, 5))):
+                w[int(rng.integers(len(w)))] = f"e{rng.integers(1000)}"
+        else:
+            w = [f"w{rng.integers(9000)}" for _ in range(int(rng.integers(5, 120)))]
+            for k in range(i % 3 + 1):
+                w += passages[k]
+        docs.append((i, " ".join(w)))
+    found = ngram_join.near_classes(spark.createDataFrame(docs, "doc_id long, text string"), width=width, percent=percent)
+    assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(brute_components(docs, width, percent), key=repr)
+
+
 def test_differencing_beats_dealing():
     sizes = [int(s) for s in np.random.default_rng(2).pareto(1.5, 3000) * 1000 + 1]
     part = sharding.differencing(sizes, 16)

@@ -12,17 +12,18 @@ most by which two of them may differ.
 * **One-deletion neighbourhoods.** A segment indexed whole and also without each one of its shingles
   finds partners that differ by one in it, and counts double. Sets of bands with d below ``SMALL_GAP``
   use m = (d + 2) // 2 such segments: their segments would be too short otherwise. Sets of other bands
-  that have to leave out too much are cut again by frequency, below; those that leave out too much even
-  so get back the missing count from one-deletion segments of the first cut; if even that falls short,
-  they keep what they would leave out, which only sets in the same case do.
+  that have too many empty segments get back the missing count from one-deletion segments; if even that
+  falls short, they keep the empty ones, which only sets in the same case do.
 * **Allocation by cost.** Sets that have to leave out too much, because a passage of many texts spoils
   many of their segments, are cut once more: all shingles of costly contents go to one segment, and
-  the others to 2d + 1, of which a set needs d + 1 that it keeps.
+  the others to 2d + 1, of which a set needs d + 1 that it keeps. Sets that have fewer, since most of
+  their shingles are in frequent contents, are cut a third time, into (d + 2) // 2 one-deletion segments.
 
 The cost of a content is the number of pairs of sets with it that are not yet in one component.
 Candidates are therefore made in steps: first each set with the first set of its key's group (already
 within a batch, before the shuffle, so a frequent key is not one row per set); those are checked, and
-only members of groups that still hold several components are paired, up to ``PAIRS`` per member.
+only members of groups that still hold several components are paired, up to ``PAIRS`` per member but for
+one-deletion segments, whose members are compared by sizes and parities where they meet.
 A group of copies thus costs one pair per member and key, never all pairs, and no link between
 components is lost. Every candidate is checked exactly, on the words of both texts. Texts with one
 set travel once, as their representative.
@@ -147,20 +148,20 @@ def set_keys(found: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, int]
         if spare >= 0 and cut.left_out(cut.among(None)) <= spare:
             yield cut.whole, EXACT
         else:
-            yield from deleted_keys(cut, spare, cut.among(None))
+            yield from deleted_keys(cut, spare)
 
 
-def deleted_keys(cut: Cut, spare: int, out: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """Keys with one-deletion segments, where the segments in ``out`` and the empty ones are left out."""
+def deleted_keys(cut: Cut, spare: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Keys with one-deletion segments; with a ``spare`` from 0 the empty segments are left out."""
     yield cut.without_one(), SHORTER
     nothing = cut.nothing()
     if spare < 0:
         yield np.concatenate([cut.whole, nothing]), EXACT
         return
-    yield cut.whole[~out], EXACT
-    yield np.concatenate([cut.whole[out], nothing]), LEFT_OUT
-    if cut.left_out(out) - spare > int((~out & (cut.sizes > 1)).sum()):
-        yield np.concatenate([cut.whole[out], nothing]), EXACT
+    yield cut.whole, EXACT
+    yield nothing, LEFT_OUT
+    if len(nothing) - spare > int((cut.sizes > 1).sum()):
+        yield nothing, EXACT
 
 
 def hard_cuts(found: np.ndarray, bands: Bands, costly: set[int]) -> Iterator[tuple[int, Cut, int, int, np.ndarray]]:
@@ -183,12 +184,12 @@ def hard_keys(
 ) -> Iterator[tuple[np.ndarray, int]]:
     """Keys of a set in its hard bands, with their kind: of its segments by frequency, or with ``again``, the
     contents that are frequent among these as well, the one-deletion keys of bands that leave out too much even so."""
-    for band, cut, gap, spare, out in hard_cuts(found, bands, costly):
+    for band, _, gap, _, _ in hard_cuts(found, bands, costly):
         anew = allocated(found, band, gap, common)
         if again is None:
             yield anew.whole, EXACT
         elif anew.left_out(anew.among(again)) > anew.segments - gap - 1:
-            yield from deleted_keys(cut, spare, out)
+            yield from deleted_keys(Cut(found, band, (gap + 2) // 2, deleting=True), -1)
 
 
 def met(kind: int, other: int) -> bool:
@@ -445,7 +446,8 @@ def hard_links(
 
     Any other set finds its partners by what it keeps. These are cut once more by frequency: the shingles
     of costly contents share one segment, so they spoil one and not many. Only sets that leave out too
-    much of this cut too are indexed by as many one-deletion segments of the first as that takes.
+    much of this cut too are cut into one-deletion segments, half as many and twice as long as those of
+    the first, which leave nothing out. Each cut is settled before the next one pairs what is still apart.
     """
     over = dear.where(F.col("kind") == EXACT).select("set", "key").union(short.select("set", F.lit(None).cast("long")))
     over = stored(over.groupBy("set").agg(F.collect_set("key").alias("costly")), "hard")
@@ -462,11 +464,9 @@ def hard_links(
     if dear is not None:
         keys = stored(dear.groupBy("set").agg(F.collect_set("key").alias("again")), "again")
         left = lookup_join(allocated_sets, keys, [("set", "set")], ["again"])
-    rows = index_rows(left, width, percent).where(F.col("head") != SHORT_OF_SEGMENTS).select("key", "member").distinct()
-    rows = stored(rows, "hard-index")
-    placed = apart(rows, links, 1)
-    links = links.union(checked(placed, texts, classes, done, width, percent))
-    released(groups, allocated_sets, rows, placed)
+    rows = stored(grouped(index_rows(left, width, percent)), "hard-index")
+    links, *_ = settled(rows, links, done, used, texts, classes, width, percent)
+    released(groups, allocated_sets, rows)
     return links
 
 

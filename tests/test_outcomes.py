@@ -2,6 +2,7 @@
 
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,19 @@ def test_payloads_are_parsed_in_one_scan(w, plan):
     judged = judged_records(w.bronze("fact_earnings"), ENTITIES["fact_earnings"], AT)
     assert plan(judged).count("FileScan") == 1 and "Exchange" not in plan(judged)
     assert read_pages(w.bronze("fact_earnings"), "employee_number STRING", ["ingestion_id"]).count() == 3
+
+
+def test_records_do_not_carry_their_page_along(w, plan):
+    land(w, (1, GOOD_PAGE, 3))
+    text = plan(judged_records(w.bronze("fact_earnings"), ENTITIES["fact_earnings"], AT))
+    explode = next(line for line in text.splitlines() if "Generate" in line)
+    assert "payload" not in explode and "__found" not in explode and text.count("from_json(") == 1
+
+
+def test_pages_are_written_in_small_row_groups(w, tmp_path):
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.sha2(F.concat(F.col("id"), i), 512)), "")
+    pages = w.spark.range(2400, numPartitions=1).select(text.alias("payload_json"), F.lit("01").alias("partition_column"))
+    replace_partitions(pages, str(tmp_path / "pages"), ["partition_column"])
+    files = list((tmp_path / "pages").rglob("*.parquet"))
+    groups = [g for f in files for g in map(pq.ParquetFile(f).metadata.row_group, range(pq.ParquetFile(f).metadata.num_row_groups))]
+    assert sum(g.num_rows for g in groups) == 2400 and max(g.total_byte_size for g in groups) < 24e6

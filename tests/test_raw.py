@@ -174,3 +174,21 @@ def test_synthetic_employees_are_repeatable(spark, rows):
     assert rows(one) != rows(landing.synthetic_employees(spark, 50, "2024-01-01", seed=1))
     found = one.agg(F.min("EMPLOYEE_NUMBER"), F.min("SALARY") >= 40000, F.max("SALARY") <= 150000).first()
     assert found[:] == ("TEST00000", True, True)
+
+
+def test_arranged_records_move_once_and_pages_lie_by_partition(spark, plan, tmp_path):
+    records = spark.range(0, 9000, numPartitions=6).select("id", (F.col("id") % 9 + 1).cast("int").alias("p"))
+    for entity, period in (("x", "p"), ("x", None), (F.concat(F.lit("e"), F.col("id") % 2), "p")):
+        pages = landing.bronze_envelope(records, entity, period, ingested_at="2024-01-01", page_size=50, arranged=True)
+        text = plan(pages)
+        assert text.count("Exchange") == 1 and "rangepartitioning" in text
+        where = F.spark_partition_id().alias("task")
+        held = pages.select("partition_column", "entity_name", "record_count", where).groupBy("task").agg(
+            F.count_distinct("partition_column", "entity_name").alias("parts"), F.sum("record_count").alias("records"))
+        rows = held.collect()
+        assert sum(r.records for r in rows) == 9000
+        groups = pages.select("partition_column", "entity_name").distinct().count()
+        # Ranges cut the partitions into one piece more for each further task.
+        assert sum(r.parts for r in rows) <= groups + len(rows) - 1
+        ids = pages.select(F.explode(F.from_json("payload_json", "array<struct<id: bigint>>")).alias("r")).select("r.id")
+        assert ids.distinct().count() == 9000

@@ -4,8 +4,10 @@ import json
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from strata import session
 from strata.operators.outcomes import check_accounted, read_pages, reject_summary
 from strata.plans.layers import ENTITIES, judged_records
 from strata.plans.warehouse import Warehouse
@@ -103,3 +105,37 @@ def test_pages_are_written_in_small_row_groups(w, tmp_path):
     files = list((tmp_path / "pages").rglob("*.parquet"))
     groups = [g for f in files for g in map(pq.ParquetFile(f).metadata.row_group, range(pq.ParquetFile(f).metadata.num_row_groups))]
     assert sum(g.num_rows for g in groups) == 2400 and max(g.total_byte_size for g in groups) < 24e6
+
+
+def test_loads_read_and_write_in_small_tasks(spark, w, monkeypatch):
+    writes, write = [], DataFrameWriter.parquet
+
+    def parquet(writer, path, *args, **options):
+        writes.append((path, *[spark.conf.get(key) for key in session.TASK_SIZES], spark.conf.get(session.OPEN)))
+        return write(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    monkeypatch.setattr(session, "TASK_BYTES", 4096)
+    sizes = [spark.conf.get(key) for key in session.TASK_SIZES]
+    open_files = spark.conf.get(session.OPEN)
+    records = spark.range(20000).selectExpr(
+        "concat('p', id) AS employee_number", "1 AS pay_period_id", "'a' AS earning_code", "id % 7 - 1 AS earning_amount")
+    w.land(records, "fact_earnings", "pay_period_id", AT)
+    w.build_silver("fact_earnings", AT, evolve=False)
+    loads = [x for x in writes if "/bronze/" in x[0] or "/silver/" in x[0] or "/judged-" in x[0]]
+    assert len(loads) == 4 and all(x[1:3] == ("4096b", "4096b") for x in loads)
+    assert [x[3] for x in writes if "/judged-" in x[0]] == [str(session.OPEN_FILES)]
+    assert [spark.conf.get(key) for key in session.TASK_SIZES] == sizes and spark.conf.get(session.OPEN) == open_files
+    assert w.silver("fact_earnings").count() == 20000 - w.rejects().count() == 20000 - 2858
+
+
+def test_small_tasks_cut_files_and_keep_smaller_sizes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(200000).selectExpr("id", "sha2(string(id), 256) AS h").coalesce(1).write.option("parquet.block.size", 65536).parquet(path)
+    monkeypatch.setattr(session, "TASK_BYTES", 256 * 1024)
+    whole = spark.read.parquet(path).rdd.getNumPartitions()
+    with session.small_tasks(spark):
+        assert spark.read.parquet(path).rdd.getNumPartitions() > 4 * whole
+        monkeypatch.setattr(session, "TASK_BYTES", 1024 * 1024)
+        with session.small_tasks(spark):
+            assert spark.conf.get(session.TASK_SIZES[0]) == f"{256 * 1024}b"

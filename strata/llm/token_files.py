@@ -18,11 +18,13 @@ are repeated are encoded as often; their order among themselves goes by content.
 from __future__ import annotations
 
 import functools
+import json
 import math
 import os
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 from itertools import pairwise
 
 import numpy as np
@@ -39,17 +41,45 @@ PAGE_BYTES = 256 << 10
 
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 UNSAFE = re.compile(r"\s\s|\s\Z")
+# A word of letters, after a line's end or else a space, and the marks that follow it up to the next white space.
+PLAIN = re.compile(r"(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)")
 SHORT, MOST = 64, 250_000
 
 
+def byte_letters() -> dict[int, str]:
+    """The character by which byte-level BPE writes each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
+class Known(dict):
+    """Ids by word; a word that is missing is taken from the older table or made."""
+
+    def __init__(self, make: Callable[[str], bytes], older: dict[str, bytes]):
+        self._make, self._older = make, older
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._make(word)
+        if len(word) <= SHORT:
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, word by word.
 
-    Byte-level BPE merges inside the matches of its pattern only, and no match spans a space between
-    two other characters. So a text is the sum of its words, each with the space before it, and the
-    library sees a word once as long as one of two bounded tables holds it; the older is dropped when
-    the newer is full, and what is still in use moves over. Tokens that were added to the vocabulary
-    match before the pattern does and may hold spaces, so a text with one goes to the library whole.
+    Byte-level BPE merges inside the matches of its pattern only, and no match spans a space or a line's
+    end between two other characters. So a text is the sum of its words, each with the character before
+    it, and the library sees a word once as long as one of two bounded tables holds it; the older is dropped
+    when the newer is full, and what is still in use moves over. The pattern cuts a word of letters and the
+    marks after it in two, so these go to the library's model as they are; all other words go through
+    its pattern. Tokens that were added to the vocabulary match before the pattern does and may hold
+    spaces, so a text with one goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -57,30 +87,50 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        added = sorted({t.content for t in self._tokenizer.get_added_tokens_decoder().values()})
-        self._added = re.compile("|".join(map(re.escape, added))) if added else None
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._model = self._tokenizer.model
+        stated = json.loads(self._tokenizer.to_str())
+        cut = stated["pre_tokenizer"] or {}
+        self._bytewise = (
+            stated["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut["add_prefix_space"]
+        )
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values() if t.content]
+        self._known = Known(self._ids, {})
+        self._marks: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [array("i", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _merged(self, match: str) -> bytes:
+        """Ids of one match of the pattern, whose space is written as in the vocabulary."""
+        return array("i", [t.id for t in self._model.tokenize(match)]).tobytes()
+
+    def _ids(self, word: str) -> bytes:
+        """Ids of a word that stands after a space, unless it begins with a line's end."""
+        plain = PLAIN.fullmatch(word) if self._bytewise and len(word) <= SHORT else None
+        if plain is None:
+            return self._encoded([word if word.startswith("\n") else f" {word}"])[0]
+        line, letters, marks = plain.groups()
+        if not line and marks and letters in self._known:
+            return self._known[letters] + self._after(marks)
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self._after(line) + self._merged(shown) if line else self._merged(BYTE_LETTERS[32] + shown)
+        return ids + self._after(marks) if marks else ids
+
+    def _after(self, marks: str) -> bytes:
+        ids = self._marks.get(marks)
+        if ids is None:
+            ids = self._merged(marks.translate(BYTE_LETTERS))
+            if len(self._marks) < MOST:
+                self._marks[marks] = ids
+        return ids
+
     def __call__(self, text: str, end: int) -> np.ndarray:
-        if self._added and self._added.search(text):
+        if any(token in text for token in self._added):
             return np.frombuffer(self._encoded([text])[0] + array("i", [end]).tobytes(), np.int32)
-        first, *rest = SAFE.split(text) if UNSAFE.search(text) else text.split(" ")
+        first, *rest = SAFE.split(text) if UNSAFE.search(text) else text.replace("\n", " \n").split(" ")
         if len(self._known) > MOST:
-            self._known, self._older = {}, self._known
-        known, older = self._known, self._older
-        new = set(rest).difference(known)
-        if new:
-            known.update([(w, older[w]) for w in new if w in older])
-            unseen = [w for w in new if w not in older]
-            known.update(zip(unseen, self._encoded([f" {w}" for w in unseen]), strict=True))
-        ids = b"".join([*self._encoded([first]), *map(known.__getitem__, rest), array("i", [end]).tobytes()])
-        for word in new:
-            if len(word) > SHORT:
-                del known[word]
+            self._known = Known(self._ids, dict(self._known))
+        ids = b"".join([*self._encoded([first]), *map(self._known.__getitem__, rest), array("i", [end]).tobytes()])
         return np.frombuffer(ids, np.int32)
 
 

@@ -139,3 +139,12 @@ def test_small_tasks_cut_files_and_keep_smaller_sizes(spark, tmp_path, monkeypat
         monkeypatch.setattr(session, "TASK_BYTES", 1024 * 1024)
         with session.small_tasks(spark):
             assert spark.conf.get(session.TASK_SIZES[0]) == f"{256 * 1024}b"
+
+
+def test_partitions_are_replaced_in_small_tasks(spark, tmp_path, monkeypatch):
+    source = str(tmp_path / "source")
+    spark.range(100000).selectExpr("id", "sha2(string(id), 256) AS h", "1 AS p").coalesce(1).write.option("parquet.block.size", 65536).parquet(source)
+    monkeypatch.setattr(session, "TASK_BYTES", 1024 * 1024)
+    assert spark.read.parquet(source).rdd.getNumPartitions() < 5
+    assert replace_partitions(spark.read.parquet(source), str(tmp_path / "t"), ["p"], arranged=True) == 100000
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 5

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata import session
 from strata.operators.outcomes import check_accounted, read_pages, reject_summary
+from strata.operators.skew import lookup_join
 from strata.plans.layers import ENTITIES, judged_records
 from strata.plans.warehouse import Warehouse
 from strata.sources.landing import RAW_PARTITIONS
@@ -148,3 +149,19 @@ def test_partitions_are_replaced_in_small_tasks(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(source).rdd.getNumPartitions() < 5
     assert replace_partitions(spark.read.parquet(source), str(tmp_path / "t"), ["p"], arranged=True) == 100000
     assert len(list((tmp_path / "t").rglob("*.parquet"))) > 5
+
+
+def test_large_tables_are_not_broadcast_by_their_file_size(spark, plan, tmp_path):
+    for name, n in (("facts", 400_000), ("people", 200_000)):
+        spark.range(n).selectExpr("id AS k", f"id AS {name}").write.parquet(str(tmp_path / name))
+    facts, people = (spark.read.parquet(str(tmp_path / name)) for name in ("facts", "people"))
+    found = lookup_join(facts, people, [("k", "k")], ["people"], max_bytes=1024)
+    assert "SortMergeJoin" in plan(found)
+    assert found.agg({"people": "count"}).first()[0] == 200_000
+    joined = facts.join(people, "k")
+    assert "BroadcastHashJoin" in plan(joined)
+    before = spark.conf.get(session.AUTO_BROADCAST)
+    with session.small_tasks(spark):
+        assert "SortMergeJoin" in plan(facts.join(people, "k"))
+        assert all(int(spark.conf.get(key)[:-1]) <= 8 << 20 for key in session.TASK_SIZES)
+    assert spark.conf.get(session.AUTO_BROADCAST) == before

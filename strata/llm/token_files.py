@@ -24,15 +24,16 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.text import importable, map_rows
+from strata.llm.text import importable, map_task
 from strata.operators.skew import lookup_join
 
 FILE_BYTES = 64 << 20
@@ -43,7 +44,9 @@ SAFE = re.compile(r"(?<=\S) (?=\S)")
 UNSAFE = re.compile(r"\s\s|\s\Z")
 # A word of letters, after a line's end or else a space, and the marks that follow it up to the next white space.
 PLAIN = re.compile(r"(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)")
-SHORT, MOST = 64, 250_000
+SHORT, MOST = 64, 500_000
+# Characters of the texts that are encoded together, at least.
+GROUP_CHARS = 4 << 20
 
 
 def byte_letters() -> dict[int, str]:
@@ -80,6 +83,9 @@ class Encoder:
     marks after it in two, so these go to the library's model as they are; all other words go through
     its pattern. Tokens that were added to the vocabulary match before the pattern does and may hold
     spaces, so a text with one goes to the library whole.
+
+    Texts are encoded in groups (``many``), whose words are cut and numbered by Arrow, so a table is asked
+    once for each different word of a group.
     """
 
     def __init__(self, path: str):
@@ -106,7 +112,10 @@ class Encoder:
 
     def _ids(self, word: str) -> bytes:
         """Ids of a word that stands after a space, unless it begins with a line's end."""
-        plain = PLAIN.fullmatch(word) if self._bytewise and len(word) <= SHORT else None
+        short = self._bytewise and len(word) <= SHORT
+        if short and word.isascii() and word.isalpha():
+            return self._merged(BYTE_LETTERS[32] + word)
+        plain = PLAIN.fullmatch(word) if short else None
         if plain is None:
             return self._encoded([word if word.startswith("\n") else f" {word}"])[0]
         line, letters, marks = plain.groups()
@@ -134,6 +143,44 @@ class Encoder:
         return np.frombuffer(ids, np.int32)
 
 
+    def many(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
+        """The ids of each of ``texts``, as one call for each would give them."""
+        apart = {i for i, t in enumerate(texts) if UNSAFE.search(t) or any(token in t for token in self._added)}
+        plain = pa.array([t for i, t in enumerate(texts) if i not in apart], pa.large_string())
+        if len(self._known) > MOST:
+            self._known = Known(self._ids, dict(self._known))
+        found = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        bounds = found.offsets.to_numpy()
+        numbered = found.values.dictionary_encode()
+        # A text's first word stands after no space. It has an entry of its own behind those of the words, and
+        # the end id has the last one.
+        names, firsts = numbered.dictionary.to_pylist(), found.values.take(pa.array(bounds[:-1])).to_pylist()
+        entries = [*map(self._known.__getitem__, names), *(self._encoded(firsts) if firsts else []), array("i", [end]).tobytes()]
+        codes = numbered.indices.to_numpy().astype(np.int64)
+        codes[bounds[:-1]] = np.arange(len(names), len(names) + len(firsts))
+        codes = np.insert(codes, bounds[1:], len(entries) - 1)
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        lengths, begins = sizes[codes], (np.cumsum(sizes) - sizes)[codes]
+        stops = np.cumsum(lengths)
+        ids = np.frombuffer(b"".join(entries), np.int32)[np.repeat(begins - stops + lengths, lengths) + np.arange(lengths.sum())]
+        ends = iter(np.split(ids, stops[bounds[1:] + np.arange(len(firsts))])[:-1])
+        for i, text in enumerate(texts):
+            yield self(text, end) if i in apart else next(ends)
+
+
+def text_groups(rows: Iterable[tuple], chars: int) -> Iterator[list[tuple]]:
+    """Rows (key, text) in groups whose texts have ``chars`` characters together, or are what is left."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1])
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 @functools.lru_cache(maxsize=2)
 def encoder_of(path: str) -> Encoder:
     """The encoder of a file; a worker keeps it, with its tables, from task to task."""
@@ -156,19 +203,15 @@ def write_tokens(
         .sortWithinPartitions(id, "tie")
     )
 
-    def work():
+    def run(rows):
         encoder, at = encoder_of(tokenizer), 0
+        for group in text_groups(rows, GROUP_CHARS):
+            for (key, _), ids in zip(group, encoder.many([data for _, data in group], end), strict=True):
+                yield key, at, len(ids), ids
+                at += len(ids)
 
-        def one(key, data):
-            nonlocal at
-            ids = encoder(data, end)
-            at += len(ids)
-            return key, at - len(ids), len(ids), ids
-
-        return one
-
-    rows = map_rows(
-        ranged.select(id, "text"), f"`{id}` bigint, file_start bigint, n_tokens bigint, token_ids array<int>", work
+    rows = map_task(
+        ranged.select(id, "text"), f"`{id}` bigint, file_start bigint, n_tokens bigint, token_ids array<int>", run
     )
     writer = rows.write.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
     writer = writer.option("parquet.writer.version", "v2").option("compression", "zstd")

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from strata.llm.token_files import Encoder
+from strata.llm.token_files import Encoder, text_groups
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["ab", "Word", "é", "ß", "×", "ƀ", "ɏ", "'", "'s", "'ll", "_", "1", "²", " ", " ", "\n", "\t", "\r", " ", "\u0085",
@@ -31,3 +31,24 @@ def test_ids_are_those_of_the_whole_text(encoder):
     texts = ["", " ", "\n", "\na", " a\n", "a \nb", "a\n\nb", "a.\nb,", *("".join(rng.choices(PARTS, k=rng.randrange(1, 14))) for _ in range(20000))]
     for text, want in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
         assert encoder(text, 7).tolist() == [*want.ids, 7], repr(text)
+
+
+def test_a_group_of_texts_asks_for_each_word_once(encoder, monkeypatch):
+    asked, library = [], Tokenizer.from_file(PATH)
+    monkeypatch.setattr(encoder._known, "_make", lambda word, make=encoder._ids: asked.append(word) or make(word))
+    looked_up = []
+    monkeypatch.setattr(type(encoder._known), "__getitem__", lambda known, w: looked_up.append(w) or dict.__getitem__(known, w), raising=False)
+    texts = ["one two two\ntwo", "two one two", "", "x <|endoftext|> two", "a  two", "one"]
+    got = [ids.tolist() for ids in encoder.many(texts, 7)]
+    assert got == [[*library.encode(text, add_special_tokens=False).ids, 7] for text in texts]
+    assert looked_up.count("two") <= 2 and asked.count("two") == 1  # once for the group, once for the text with two spaces
+    assert list(encoder.many([], 7)) == [] and [list(x) for x in encoder.many(["a  b"], 7)] == [[*library.encode("a  b").ids, 7]]
+
+
+def test_groups_give_the_ids_of_the_whole_texts(encoder):
+    rng, library = random.Random(5), Tokenizer.from_file(PATH)
+    texts = ["".join(rng.choices(PARTS, k=rng.randrange(0, 14))) for _ in range(20000)]
+    for group in text_groups([(None, t) for t in texts], 3000):
+        of = [text for _, text in group]
+        for text, ids, want in zip(of, encoder.many(of, 7), library.encode_batch_fast(of, add_special_tokens=False), strict=True):
+            assert ids.tolist() == [*want.ids, 7], repr(text)

@@ -44,7 +44,7 @@ SAFE = re.compile(r"(?<=\S) (?=\S)")
 UNSAFE = re.compile(r"\s\s|\s\Z")
 # A word of letters, after a line's end or else a space, and the marks that follow it up to the next white space.
 PLAIN = re.compile(r"(\n?)([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\[-`{-~]*)")
-SHORT, MOST = 64, 500_000
+SHORT, MOST = 64, 350_000
 # Characters of the texts that are encoded together, at least.
 GROUP_CHARS = 4 << 20
 
@@ -154,15 +154,18 @@ class Encoder:
         numbered = found.values.dictionary_encode()
         # A text's first word stands after no space. It has an entry of its own behind those of the words, and
         # the end id has the last one.
-        names, firsts = numbered.dictionary.to_pylist(), found.values.take(pa.array(bounds[:-1])).to_pylist()
+        names = numbered.dictionary.to_numpy(zero_copy_only=False)
+        firsts = found.values.take(pa.array(bounds[:-1])).to_pylist()
         entries = [*map(self._known.__getitem__, names), *(self._encoded(firsts) if firsts else []), array("i", [end]).tobytes()]
-        codes = numbered.indices.to_numpy().astype(np.int64)
+        codes = numbered.indices.to_numpy().copy()
         codes[bounds[:-1]] = np.arange(len(names), len(names) + len(firsts))
         codes = np.insert(codes, bounds[1:], len(entries) - 1)
         sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-        lengths, begins = sizes[codes], (np.cumsum(sizes) - sizes)[codes]
+        begins, lengths = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
         stops = np.cumsum(lengths)
-        ids = np.frombuffer(b"".join(entries), np.int32)[np.repeat(begins - stops + lengths, lengths) + np.arange(lengths.sum())]
+        at = np.repeat(begins - stops + lengths, lengths)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(entries), np.int32)[at]
         ends = iter(np.split(ids, stops[bounds[1:] + np.arange(len(firsts))])[:-1])
         for i, text in enumerate(texts):
             yield self(text, end) if i in apart else next(ends)

@@ -52,3 +52,31 @@ def test_groups_give_the_ids_of_the_whole_texts(encoder):
         of = [text for _, text in group]
         for text, ids, want in zip(of, encoder.many(of, 7), library.encode_batch_fast(of, add_special_tokens=False), strict=True):
             assert ids.tolist() == [*want.ids, 7], repr(text)
+
+
+def test_word_hashes_tell_words_apart_as_split_does():
+    import random
+
+    from strata.llm.text import word_hashes, words
+
+    draw, seen = random.Random(1), {}
+    parts = [b"a", b"B", b"b", b"\xc3\xa9", b"\x00", b"\xc2\xa0", b"\x1c", b".", b"z" * 30, b" ", b"\n", b"\t\r", b"\x0b", b"\x0c "]
+    for n in range(2000):
+        text = b"".join(draw.choice(parts) for _ in range(n % 60)) + b"q" * (n % 7 * 50)
+        found = words(text.lower())
+        hashes = word_hashes(text).tolist()
+        assert len(hashes) == len(found)
+        assert all(seen.setdefault(word, h) == h for word, h in zip(found, hashes))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_small_tables_of_links_take_few_tasks(spark):
+    from strata.llm.links import FEWEST_TASKS, _packed
+
+    many = spark.range(0, 1000, 1, 40)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        assert _packed(many, 1000).rdd.getNumPartitions() == FEWEST_TASKS
+        assert _packed(many, 10**9).rdd.getNumPartitions() == 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
